@@ -69,3 +69,8 @@ def as_date(value: DateLike) -> dt.date:
         except ValueError:
             continue
     raise ValueError(f"not a date: {value!r}")
+
+
+def timestamp_literal(value: dt.datetime) -> Column:
+    """Naive timestamp literal, independent of any time zone setting."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")

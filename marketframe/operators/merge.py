@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERWRITE = "overwrite"  # the batch value wins, NULL included
@@ -32,7 +32,7 @@ def merge_keyed(
     keys: Sequence[str],
     rules: dict[str, str],
     *,
-    now: dt.datetime | Column | None = None,
+    now: dt.datetime | None = None,
     only_if_changed: Sequence[str] | None = None,
     insert: bool = True,
     defaults: dict[str, object] | None = None,
@@ -53,49 +53,52 @@ def merge_keyed(
     missing = [c for c in keys if c not in updates.columns]
     if missing:
         raise ValueError(f"updates lack key columns: {missing}")
-    stamp = F.lit(now) if now is not None else F.current_timestamp().cast("timestamp_ntz")
-
-    stored = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in target.columns if c not in keys])
     types = dict(target.dtypes)
-    batch_columns = [c for c in updates.columns if c in target.columns and c not in keys]
-    batch = updates.select(
-        *[F.col(k).cast(types[k]).alias(k) for k in keys],
-        *[F.col(c).cast(types[c]).alias(f"_u_{c}") for c in batch_columns],
+    carried = {c for c in updates.columns if c in types and c not in keys}
+    stored = target.selectExpr(
+        *[_id(k) for k in keys], *[f"{_id(c)} AS {_id('_t_' + c)}" for c in types if c not in keys], "true AS _t"
     )
-    both = stored.withColumn("_t", F.lit(True)).join(
-        batch.withColumn("_u", F.lit(True)), list(keys), "full" if insert else "left"
+    batch = updates.selectExpr(
+        *[f"CAST({_id(k)} AS {types[k]}) AS {_id(k)}" for k in keys],
+        *[f"CAST({_id(c)} AS {types[c]}) AS {_id('_u_' + c)}" for c in types if c in carried],
+        "true AS _u",
     )
-    present = F.col("_t").isNotNull()
-    applies = F.col("_u").isNotNull()
-    if only_if_changed:
-        same = F.lit(True)
-        for c in only_if_changed:
-            same = same & F.col(f"_t_{c}").eqNullSafe(F.col(f"_u_{c}"))
-        applies = applies & (~present | ~same)
+    joined = stored.join(batch, list(keys), "full" if insert else "left")
 
+    applies = "_u IS NOT NULL"
+    if only_if_changed:
+        same = " AND ".join(f"{_id('_t_' + c)} <=> {_id('_u_' + c)}" for c in only_if_changed)
+        applies = f"_u IS NOT NULL AND (_t IS NULL OR NOT ({same}))"
     out = []
-    for c in target.columns:
+    for c in types:
         if c in keys:
-            out.append(F.col(c))
+            out.append(_id(c))
             continue
-        old = F.col(f"_t_{c}")
-        new = F.col(f"_u_{c}") if c in batch_columns else None
-        rule = rules.get(c)
-        default = F.lit((defaults or {}).get(c)).cast(types[c])
-        if rule is None:
-            value = F.when(present, old).otherwise(default)
-        elif rule == NOW:
-            value = F.when(applies, stamp).otherwise(old)
+        old, new, rule = _id("_t_" + c), _id("_u_" + c), rules.get(c)
+        stamp = f"TIMESTAMP_NTZ '{now.isoformat(sep=' ')}'" if now is not None else "localtimestamp()"
+        default = _sql_literal((defaults or {}).get(c))
+        if rule == NOW:
+            value = f"CASE WHEN {applies} THEN {stamp} ELSE {old} END"
         elif rule == KEEP:
-            value = F.when(present, old).otherwise(new if new is not None else stamp)
-        elif new is None:  # an owned column this batch does not carry
-            value = F.when(present, old).otherwise(default)
+            value = f"CASE WHEN _t THEN {old} ELSE {new if c in carried else stamp} END"
+        elif rule is None or c not in carried:  # not owned, or owned but absent from this batch
+            value = f"CASE WHEN _t THEN {old} ELSE {default} END"
         elif rule == COALESCE:
-            value = F.when(applies, F.coalesce(new, old)).otherwise(old)
+            value = f"CASE WHEN {applies} THEN coalesce({new}, {old}) ELSE {old} END"
         else:
-            value = F.when(applies, new).otherwise(old)
-        out.append(value.cast(types[c]).alias(c))
-    return both.select(*out)
+            value = f"CASE WHEN {applies} THEN {new} ELSE {old} END"
+        out.append(f"CAST({value} AS {types[c]}) AS {_id(c)}")
+    return joined.selectExpr(*out)
+
+
+def _id(name: str) -> str:
+    return f"`{name}`"
+
+
+def _sql_literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return f"'{value}'" if isinstance(value, str) else str(value)
 
 
 def merge_window(

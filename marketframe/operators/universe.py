@@ -20,8 +20,9 @@ def candidates(
     codes: Iterable[str] | None = None,
     include_delisted: bool = False,
     index: bool = False,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Securities with the interval a job has to cover, ordered by symbol.
+    """Securities with the interval a job has to cover, ordered by symbol unless told not to.
 
     Named codes beat exchanges. The interval starts no earlier than the listing date and
     ends no later than ``as_of`` (listed) or the delisting date (delisted).
@@ -38,15 +39,15 @@ def candidates(
     )
     if not include_delisted:
         chosen = chosen.where(F.col("list_status") == "L")
-    return (
+    found = (
         chosen.withColumns({"from_date": first, "to_date": last})
         .where(F.col("from_date") <= F.col("to_date"))
         .select(
             "symbol", "exchange", "from_date", "to_date", "list_status",
             suffixed(F.col("symbol"), F.col("exchange")).alias("code"),
         )
-        .orderBy("symbol", "exchange")
     )
+    return found.orderBy("symbol", "exchange") if ordered else found
 
 
 def fetchable(candidate_rows: DataFrame) -> DataFrame:

@@ -56,8 +56,7 @@ def dense_rows(
 ) -> DataFrame:
     """The daily factor rows this run has to write, from the events already in ``raw``."""
     ranges = recompute_ranges(targets, events, dense, as_of)
-    history = raw.join(ranges.select("code").distinct(), "code", "left_semi")
-    return densify(ranges, history, calendar, values=FACTORS)
+    return densify(ranges, raw, calendar, values=FACTORS)
 
 
 def run_factors(

@@ -36,15 +36,18 @@ def _category_name(number: Column) -> Column:
     return F.create_map(*pairs)[number.cast("int")]
 
 
-def capital_events(raw: DataFrame, code: str = "code") -> DataFrame:
-    """Capital events with day, category name and the four value columns its family fills."""
+def capital_events(raw: DataFrame, code: str = "code", keep: Sequence[str] = ()) -> DataFrame:
+    """Capital events with day, category name and the four value columns its family fills.
+
+    ``keep`` names raw columns to carry along, such as an arrival order.
+    """
     named = raw.withColumns({"date": _day_of_parts(), "category": _category_name(F.col("category"))})
     dividend_family = F.coalesce(F.col("category") == EX_RIGHTS, F.lit(False))
     values = [
         F.when(dividend_family, F.col(ex)).otherwise(F.col(shares)).cast("double").alias(out)
         for out, (ex, shares) in CAPITAL_FIELDS.items()
     ]
-    return named.select(F.col(code).cast("string").alias("code"), "date", "category", *values)
+    return named.select(F.col(code).cast("string").alias("code"), "date", "category", *values, *keep)
 
 
 def _day_of_parts() -> Column:
