@@ -20,6 +20,11 @@ def by_days(width: int = 366) -> Chunk:
     return lambda time: F.floor(F.unix_date(time.cast("date")) / F.lit(width)).cast("int")
 
 
+def chunks_between(begin: Column, end: Column, chunk: Chunk) -> Column:
+    """Every chunk number a closed interval touches, one per row."""
+    return F.explode(F.sequence(chunk(begin), chunk(end)))
+
+
 def tick_of(time: Column, kind: str) -> Column:
     """Integer order of a time column, so that strictness is an exact range offset."""
     if kind == "date":
@@ -37,29 +42,36 @@ def scan_known(
     chunk: Chunk,
     at_or_before: str | None = "_known",
     strictly_before: str | None = None,
+    left_chunks: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` plus the latest right row as a struct of ``values`` (NULL when none).
 
     ``right`` must be unique on (on, right_time); ``left`` may repeat a time, but then the
-    repeats of one time share a group (see ``asof_join`` for the remedy).
+    repeats of one time share a group (see ``asof_join`` for the remedy). ``left_chunks``
+    gives the (on, _chunk) pairs of the left side where they are cheaper to list than to
+    derive from its rows; extra pairs do no harm.
     """
     on = list(on)
     kind = dict(right.dtypes)[right_time]
-    known = right.where(F.col(right_time).isNotNull() & ~_any_null(on)).select(
+    flat = right.where(F.col(right_time).isNotNull() & ~_any_null(on)).select(
         *on,
         tick_of(F.col(right_time), kind).alias("_tick"),
         chunk(F.col(right_time)).alias("_chunk"),
-        F.struct(*values).alias("_value"),
+        *[F.col(v).alias(f"_v_{v}") for v in values],
     )
-    rows = left.withColumn("_tick", tick_of(F.col(left_time), dict(left.dtypes)[left_time])).withColumn(
-        "_chunk", chunk(F.col(left_time))
+    packed = F.struct(*[F.col(f"_v_{v}").alias(v) for v in values])
+    known = flat.select(*on, "_tick", "_chunk", packed.alias("_value"))
+    rows = left.withColumns(
+        {"_tick": tick_of(F.col(left_time), dict(left.dtypes)[left_time]), "_chunk": chunk(F.col(left_time))}
     )
 
     # The last right row of each chunk, carried to every later chunk that has left rows.
-    tails = known.groupBy(*on, "_chunk").agg(
-        F.max_by(F.struct("_tick", "_value"), "_tick").alias("_tail")
-    )
-    wanted = rows.select(*on, "_chunk").distinct().withColumn("_wanted", F.lit(True))
+    tails = flat.groupBy(*on, "_chunk").agg(
+        F.max("_tick").alias("_last"), *[F.max_by(f"_v_{v}", "_tick").alias(f"_v_{v}") for v in values]
+    ).select(*on, "_chunk", F.struct(F.col("_last").alias("_tick"), packed.alias("_value")).alias("_tail"))
+    if left_chunks is None:
+        left_chunks = rows.select(*on, "_chunk").distinct()
+    wanted = left_chunks.select(*on, "_chunk", F.lit(True).alias("_wanted"))
     earlier_chunks = Window.partitionBy(*on).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
         tails.unionByName(wanted, allowMissingColumns=True)
@@ -95,6 +107,7 @@ def asof_join(
     strict: bool = False,
     chunk: Chunk | None = None,
     left_unique: bool = True,
+    left_chunks: DataFrame | None = None,
 ) -> DataFrame:
     """Latest right row at or before (``strict``: before) each left row, per key.
 
@@ -111,7 +124,7 @@ def asof_join(
     base = left if left_unique else left.select(*on, left_time).distinct()
     marks = {"at_or_before": None, "strictly_before": "_known"} if strict else {}
     scanned = scan_known(
-        base, right, on, left_time, right_time, list(names), chunk or by_days(), **marks
+        base, right, on, left_time, right_time, list(names), chunk or by_days(), left_chunks=left_chunks, **marks
     )
     if how == "inner":
         scanned = scanned.where(F.col("_known").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .calendar import expand_open_days
-from .joins import Chunk, asof_join, by_days, scan_known
+from .joins import Chunk, asof_join, by_days, chunks_between, scan_known
 
 
 def trailing_mean(
@@ -54,6 +54,12 @@ def trailing_mean(
     )
 
 
+def interval_chunks(intervals: DataFrame, key: str, begin: str, end: str) -> DataFrame:
+    """Distinct (key, chunk) pairs of day intervals, without listing their days."""
+    valid = intervals.where(F.col(begin) <= F.col(end))
+    return valid.select(key, chunks_between(F.col(begin), F.col(end), by_days()).alias("_chunk")).distinct()
+
+
 def densify(
     intervals: DataFrame,
     events: DataFrame,
@@ -75,7 +81,10 @@ def densify(
         key, F.col("_day").alias(out_day)
     )
     history = events.select(key, F.col(event_day).alias("_event_day"), *values)
-    dense = asof_join(grid, history, [key], out_day, "_event_day", list(values))
+    dense = asof_join(
+        grid, history, [key], out_day, "_event_day", list(values),
+        left_chunks=interval_chunks(intervals, key, begin, end),
+    )
     filled = [F.coalesce(F.col(v), F.lit(default)).alias(v) for v in values]
     return dense.select(key, out_day, *filled)
 
@@ -110,6 +119,7 @@ def fill_suspensions(
     rows = scan_known(
         grid, source, [key], day, "_bar_day", fields, by_days(),
         at_or_before="_bar", strictly_before="_before",
+        left_chunks=interval_chunks(intervals, key, begin, end),
     )
     real = F.coalesce(F.col("_bar._bar_day") == F.col(day), F.lit(False))
     last_close = F.col("_before.close")

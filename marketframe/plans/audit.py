@@ -132,9 +132,9 @@ def missing_codes(
     )
     grid = expand_open_days(intervals, "_from", "_to", only_gaps, "date").select("date", "code", "name")
     present = _in_range(table, day, scope).select("code", F.col(day).alias("date"))
-    return grid.join(present, ["code", "date"], "left_anti").join(
-        _suspended(bars, scope, "date"), ["code", "date"], "left_anti"
-    ).select("date", "code", "name")
+    if not is_bars:  # the bar table stores suspended days itself
+        present = present.unionByName(_suspended(bars, scope, "date"))
+    return grid.join(present, ["code", "date"], "left_anti").select("date", "code", "name")
 
 
 # Rules of the indicator and bar checks, by column.
@@ -402,14 +402,24 @@ def audit_status(summary: DataFrame) -> DataFrame:
 
 
 def audit_document(t: AuditTables, scope: Scope, include_index: bool = False, limit: int | None = None) -> DataFrame:
-    """The whole audit as one JSON document per check plus one for the status."""
+    """The whole audit as JSON lines: status, then checks, gap days and missing securities.
+
+    ``part`` says what a line is. Only missing securities share the row budget; gap days
+    are always complete, and each check's line says how much of its detail was cut.
+    """
     summary = audit_summary(t, scope, include_index)
-    missing = audit_missing(t, scope, include_index)
-    shown, totals = limit_detail(missing, ["check_order", "date", "code"], "check_name", limit)
-    detail = totals.select(
-        "check_name", F.to_json(F.struct("check_name", "total", "shown", "truncated")).alias("document")
+    shown, totals = limit_detail(
+        audit_missing(t, scope, include_index), ["check_order", "date", "code"], "check_name", limit
     )
-    status = audit_status(summary).select(
-        F.lit("status").alias("check_name"), F.to_json(F.struct("status", "core_missing", "warnings")).alias("document")
+
+    def lines(part: str, df: DataFrame) -> DataFrame:
+        return df.select(F.lit(part).alias("part"), F.to_json(F.struct(*df.columns)).alias("document"))
+
+    return concat_sources(
+        [
+            lines("status", audit_status(summary)),
+            lines("check", summary.join(totals, "check_name", "left")),
+            lines("gap", audit_gaps(t, scope, include_index)),
+            lines("missing", shown),
+        ]
     )
-    return detail.unionByName(status)
