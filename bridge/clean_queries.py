@@ -1 +1,422 @@
-"""placeholder"""
+"""Source-normalisation queries: numbers of the given tables rendered as landed text, then cleaned."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketframe.functions import codes, dates, numeric
+from marketframe.schemas import MARGIN_COLUMNS, REPORT_FIELDS, STATEMENT_FIELDS, TABLES, statement_view
+from marketframe.sources import bars as bar_sources
+from marketframe.sources import events as event_sources
+
+from .registry import query
+from .shapes import Shapes
+
+# --- numbers, dates, codes -------------------------------------------------------------
+
+
+@query("""WITH texts AS (
+  SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'n/a' WHEN 2 THEN '  ' || format('{:,}', o_orderkey) || ' '
+         WHEN 3 THEN '-' WHEN 4 THEN o_orderkey::varchar || 'e2' ELSE format('{:,.2f}', o_totalprice) END AS t FROM orders),
+numbers AS (SELECT o_orderkey, TRY_CAST(replace(trim(t), ',', '') AS DOUBLE) AS amount FROM texts)
+SELECT o_orderkey, amount, trunc(amount)::bigint AS whole FROM numbers""")
+def number_clean(s: Shapes) -> DataFrame:
+    text = s.table("orders").selectExpr(
+        "o_orderkey",
+        """CASE o_orderkey % 6 WHEN 0 THEN '' WHEN 1 THEN 'n/a' WHEN 2 THEN concat('  ', format_number(o_orderkey, 0), ' ')
+           WHEN 3 THEN '-' WHEN 4 THEN concat(o_orderkey, 'e2') ELSE format_number(o_totalprice, 2) END AS t""",
+    )
+    return text.select(
+        "o_orderkey", numeric.to_number(F.col("t")).alias("amount"), numeric.to_number(F.col("t"), "long").alias("whole")
+    )
+
+
+@query("""WITH texts AS (
+  SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN strftime(o_orderdate, '%Y%m%d') WHEN 1 THEN strftime(o_orderdate, '%Y%m%d') || '.0'
+    WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 10:20:30'
+    WHEN 4 THEN '2024-02-31' ELSE 'unknown' END AS t, o_orderkey % 6 AS kind, o_orderdate::date AS day FROM orders)
+SELECT o_orderkey, t, CASE WHEN kind < 4 THEN day END AS loose, CASE WHEN kind = 0 THEN day END AS compact,
+       CASE WHEN kind = 2 THEN day END AS iso, CASE WHEN kind = 0 THEN strftime(day, '%Y-%m-%d') END AS iso_text FROM texts""")
+def date_parse(s: Shapes) -> DataFrame:
+    texts = s.table("orders").selectExpr(
+        "o_orderkey",
+        """CASE o_orderkey % 6 WHEN 0 THEN date_format(o_orderdate, 'yyyyMMdd') WHEN 1 THEN concat(date_format(o_orderdate, 'yyyyMMdd'), '.0')
+           WHEN 2 THEN date_format(o_orderdate, 'yyyy-MM-dd') WHEN 3 THEN concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' 10:20:30')
+           WHEN 4 THEN '2024-02-31' ELSE 'unknown' END AS t""",
+    )
+    t = F.col("t")
+    return texts.select(
+        "o_orderkey", "t", dates.loose_date(t).alias("loose"), dates.compact_date(t).alias("compact"),
+        dates.iso_date(t).alias("iso"), dates.iso_text(t).alias("iso_text"),
+    )
+
+
+@query("""
+SELECT c_custkey, lpad(c_custkey::varchar, 6, '0') AS padded, lpad(c_custkey::varchar, 6, '0') || '.SZ' AS code,
+       c_custkey::varchar || '1234567' AS kept, 'SH' AS exchange, c_custkey::varchar AS symbol FROM customer""")
+def code_normalise(s: Shapes) -> DataFrame:
+    raw = s.table("customer").selectExpr(
+        "c_custkey", "concat(' ', c_custkey) AS bare", "concat(c_custkey, '1234567') AS long", "concat('sh.', c_custkey) AS dotted"
+    )
+    exchange, symbol = codes.dotted_parts(F.col("dotted"))
+    padded = codes.zero_pad(F.col("bare"))
+    return raw.select(
+        "c_custkey", padded.alias("padded"), codes.suffixed(padded, F.lit(" sz")).alias("code"),
+        codes.zero_pad(F.col("long")).alias("kept"), exchange.alias("exchange"), symbol.alias("symbol"),
+    )
+
+
+@query("""WITH
+texts AS (SELECT c_name AS code, CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE c_acctbal::varchar END AS balance,
+                 CASE WHEN c_nationkey < 5 THEN '' ELSE c_mktsegment END AS segment FROM customer),
+cells AS (SELECT 'balance' AS column_name, code FROM texts WHERE trim(balance) = '' UNION ALL SELECT 'segment', code FROM texts WHERE trim(segment) = ''),
+per_code AS (SELECT column_name, code, count(*) AS n FROM cells GROUP BY ALL)
+SELECT p.column_name, sum(n)::bigint AS blank_cells, count(*) AS blank_codes,
+       (SELECT string_agg(q.code, ',' ORDER BY q.code) FROM (SELECT code FROM per_code r WHERE r.column_name = p.column_name ORDER BY code LIMIT 20) q) AS first_codes
+FROM per_code p GROUP BY p.column_name""")
+def blank_report(s: Shapes) -> DataFrame:
+    texts = s.table("customer").selectExpr(
+        "c_name AS code", "CASE WHEN c_custkey % 3 = 0 THEN ' ' ELSE CAST(c_acctbal AS STRING) END AS balance",
+        "CASE WHEN c_nationkey < 5 THEN '' ELSE c_mktsegment END AS segment",
+    )
+    return numeric.blank_report(texts, ["balance", "segment"], "code")
+
+
+# --- bars and securities ---------------------------------------------------------------
+
+
+@query("""
+SELECT code, date, close, CASE WHEN volume % 3 = 0 THEN -1.0 ELSE pre_close END AS pre_close,
+       CASE WHEN volume % 2 = 0 AND day(date) % 5 = 0 THEN -1 ELSE tradestatus END AS tradestatus FROM bars""")
+def bars_normalise(s: Shapes) -> DataFrame:
+    raw = s.bars().selectExpr(
+        "code", "date", "close", "CASE WHEN volume % 3 <> 0 THEN pre_close END AS pre_close",
+        "CASE WHEN NOT (volume % 2 = 0 AND dayofmonth(date) % 5 = 0) THEN tradestatus END AS trade_status",
+    )
+    return bar_sources.normalize_bars(raw)
+
+
+@query("""
+SELECT code, date, CASE WHEN day(date) % 4 = 0 THEN NULL ELSE open END AS open, close, CASE WHEN day(date) % 3 = 0 THEN NULL ELSE volume END AS volume,
+       amount, -1 AS tradestatus, -1.0::double AS pre_close FROM bars""")
+def bars_from_text(s: Shapes) -> DataFrame:
+    raw = s.bars().selectExpr(
+        "code", "date", "CASE WHEN dayofmonth(date) % 4 = 0 THEN ' ' ELSE CAST(open AS STRING) END AS open", "CAST(close AS STRING) AS close",
+        "CASE WHEN dayofmonth(date) % 3 = 0 THEN '' ELSE CAST(volume AS STRING) END AS volume", "CAST(amount AS STRING) AS amount",
+    )
+    return bar_sources.numeric_bars(raw)
+
+
+SECURITY_RAW = """
+SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN 'sh' WHEN 1 THEN 'sz' ELSE 'bj' END AS mkt,
+  CASE c_custkey % 8 WHEN 0 THEN '300' WHEN 1 THEN '301' WHEN 2 THEN '688' WHEN 3 THEN '689' WHEN 4 THEN '9' WHEN 5 THEN '600' ELSE '000' END || c_custkey::varchar AS sym,
+  (c_custkey % 5)::varchar AS type, CASE c_custkey % 7 WHEN 0 THEN '0' WHEN 1 THEN '' ELSE '1' END AS status, c_name AS name,
+  CASE WHEN c_custkey % 10 = 0 THEN '' ELSE strftime(DATE '2001-01-01' + (c_custkey % 5000)::int, '%Y-%m-%d') END AS ipo,
+  CASE WHEN c_custkey % 7 = 0 THEN '2020-05-0' || (c_custkey % 9 + 1)::varchar ELSE '' END AS out_day FROM customer"""
+
+
+@query(f"""
+SELECT sym || '.' || upper(mkt) AS code, sym AS symbol, name, upper(mkt) AS exchange,
+       CASE WHEN type = '2' THEN 'INDEX' WHEN sym[1:3] IN ('688', '689') THEN 'STAR' WHEN sym[1:3] IN ('300', '301') THEN 'GEM'
+            WHEN sym[1] = '9' THEN 'BJ' ELSE 'MAIN' END AS board,
+       TRY_CAST(nullif(ipo, '') AS DATE) AS list_date, TRY_CAST(nullif(out_day, '') AS DATE) AS delist_date,
+       CASE WHEN status = '0' THEN 'D' ELSE 'L' END AS list_status
+FROM ({SECURITY_RAW}) WHERE type IN ('1', '2')""")
+def security_master(s: Shapes) -> DataFrame:
+    raw = s.table("customer").selectExpr(
+        """concat(CASE c_custkey % 3 WHEN 0 THEN 'sh' WHEN 1 THEN 'sz' ELSE 'bj' END, '.',
+             CASE c_custkey % 8 WHEN 0 THEN '300' WHEN 1 THEN '301' WHEN 2 THEN '688' WHEN 3 THEN '689' WHEN 4 THEN '9' WHEN 5 THEN '600' ELSE '000' END,
+             c_custkey) AS code""",
+        "CAST(c_custkey % 5 AS STRING) AS type", "CASE c_custkey % 7 WHEN 0 THEN '0' WHEN 1 THEN '' ELSE '1' END AS status", "c_name AS code_name",
+        "CASE WHEN c_custkey % 10 = 0 THEN '' ELSE CAST(date_add(DATE '2001-01-01', CAST(c_custkey % 5000 AS INT)) AS STRING) END AS ipoDate",
+        "CASE WHEN c_custkey % 7 = 0 THEN concat('2020-05-0', c_custkey % 9 + 1) ELSE '' END AS outDate",
+    )
+    return bar_sources.securities(raw)
+
+
+def beijing_raw(s: Shapes) -> DataFrame:
+    return s.table("supplier").selectExpr(
+        "CAST(s_suppkey + 430000 AS STRING) AS `证券代码`", "s_name AS `证券简称`",
+        "CAST(date_add(DATE '2021-11-15', CAST(s_suppkey % 300 AS INT)) AS STRING) AS `上市日期`",
+        "CASE WHEN s_suppkey % 9 = 0 THEN '-' ELSE format_number(s_suppkey * 12345 + 1000000, 0) END AS `总股本`",
+        "format_number(s_suppkey * 2345 + 500000, 0) AS `流通股本`",
+    )
+
+
+@query("""
+SELECT (s_suppkey + 430000)::varchar || '.BJ' AS code, (s_suppkey + 430000)::varchar AS symbol, s_name AS name, 'BJ' AS exchange, 'BJ' AS board,
+       DATE '2021-11-15' + (s_suppkey % 300)::int AS list_date, NULL::date AS delist_date, 'L' AS list_status FROM supplier""")
+def beijing_master(s: Shapes) -> DataFrame:
+    return bar_sources.beijing_securities(beijing_raw(s))
+
+
+@query("""
+SELECT (s_suppkey + 430000)::varchar || '.BJ' AS code, DATE '2024-01-30' AS date,
+       CASE WHEN s_suppkey % 9 <> 0 THEN s_suppkey * 12345 + 1000000 END AS total_shares, s_suppkey * 2345 + 500000 AS float_shares FROM supplier""")
+def beijing_share_counts(s: Shapes) -> DataFrame:
+    return bar_sources.beijing_shares(beijing_raw(s), F.lit("2024-01-30"))
+
+
+def combined_raw(s: Shapes) -> DataFrame:
+    return s.bars().selectExpr(
+        "concat(lower(substring(code, -2)), '.', substring_index(code, '.', 1)) AS code", "CAST(date AS STRING) AS date",
+        "CAST(open AS STRING) AS open", "CAST(high AS STRING) AS high", "CASE WHEN tradestatus = 1 THEN CAST(low AS STRING) ELSE '' END AS low",
+        "CAST(close AS STRING) AS close", "CAST(pre_close AS STRING) AS preclose", "CASE WHEN volume > 0 THEN CAST(volume AS STRING) ELSE '' END AS volume",
+        "CAST(amount AS STRING) AS amount", "CASE WHEN tradestatus = 0 OR (user_id % 4 = 0 AND dayofmonth(date) = 15) THEN '' ELSE CAST(volume / 1000 AS STRING) END AS turn",
+        "CAST(tradestatus AS STRING) AS tradestatus", "CASE WHEN user_id % 3 = 0 THEN '1' WHEN user_id % 3 = 1 THEN '' ELSE '0' END AS isST",
+        "CASE WHEN tradestatus = 1 THEN CAST(close + 5 AS STRING) ELSE '' END AS peTTM", "CAST(close + 1 AS STRING) AS pbMRQ",
+    )
+
+
+REJECTED = "rejected AS (SELECT DISTINCT code FROM bars WHERE tradestatus = 1 AND user_id % 4 = 0 AND day(date) = 15)"
+
+
+@query(f"""WITH {REJECTED}
+SELECT code, date, open, high, CASE WHEN tradestatus = 1 THEN low ELSE 0.0 END AS low, close, pre_close, tradestatus, volume, amount
+FROM bars WHERE code NOT IN (SELECT code FROM rejected)""")
+def combined_bars(s: Shapes) -> DataFrame:
+    return bar_sources.split_combined(combined_raw(s))[0]
+
+
+@query(f"""WITH {REJECTED}
+SELECT code, date AS trade_date, CASE WHEN tradestatus = 1 AND NOT (user_id % 4 = 0 AND day(date) = 15) THEN volume / 1000 END AS turnover_rate,
+       CASE WHEN tradestatus = 1 THEN close + 5 END AS pe, close + 1 AS pb, CASE WHEN user_id % 3 = 0 THEN 1 ELSE 0 END AS is_st
+FROM bars WHERE code NOT IN (SELECT code FROM rejected)""")
+def combined_indicators(s: Shapes) -> DataFrame:
+    return bar_sources.split_combined(combined_raw(s))[1]
+
+
+@query("SELECT code, count(*) AS missing_turnover FROM bars WHERE tradestatus = 1 AND user_id % 4 = 0 AND day(date) = 15 GROUP BY code")
+def combined_rejected(s: Shapes) -> DataFrame:
+    return bar_sources.split_combined(combined_raw(s))[2]
+
+
+@query("""
+SELECT code, date, open, high, CASE WHEN tradestatus = 1 THEN low END AS low, close, pre_close, 1 AS tradestatus, volume, amount FROM bars""")
+def index_bars(s: Shapes) -> DataFrame:
+    return bar_sources.index_bars(combined_raw(s))
+
+
+def lot_raw(s: Shapes) -> DataFrame:
+    return s.bars().selectExpr(
+        "code", "CAST(date AS STRING) AS `日期`", "open AS `开盘`", "high AS `最高`", "low AS `最低`", "close AS `收盘`",
+        "volume + 7 AS `成交量`", "amount AS `成交额`", "CASE WHEN volume > 0 THEN close / 4 END AS `换手率`",
+    )
+
+
+@query("SELECT code, date, open, high, low, close, (volume + 7) * 100 AS volume, amount, 1 AS tradestatus FROM bars")
+def lot_bars(s: Shapes) -> DataFrame:
+    return bar_sources.lot_bars(lot_raw(s), F.col("code"))[0]
+
+
+@query("""SELECT code, date AS trade_date, CASE WHEN volume > 0 THEN close / 4 END AS turnover_rate, NULL::double AS pe, NULL::double AS pb,
+                 NULL::int AS is_st FROM bars""")
+def lot_indicators(s: Shapes) -> DataFrame:
+    return bar_sources.lot_bars(lot_raw(s), F.col("code"))[1]
+
+
+@query("""
+SELECT code, date, open, high, low, close, volume * 100 AS volume, amount, CASE WHEN volume = 0 AND open = close AND high = low AND open = high THEN 0 ELSE 1 END AS tradestatus
+FROM (SELECT code, date, volume, amount, open, high, CASE WHEN day(date) % 2 = 0 THEN open ELSE low END AS low,
+             CASE WHEN day(date) % 2 = 0 THEN open ELSE close END AS close FROM (SELECT * REPLACE (CASE WHEN day(date) % 2 = 0 THEN open ELSE high END AS high) FROM bars))""")
+def online_bars(s: Shapes) -> DataFrame:
+    flat = "CASE WHEN dayofmonth(date) % 2 = 0 THEN open ELSE {0} END AS {0}"
+    raw = s.bars().selectExpr(
+        "code", "concat(date, ' 15:00') AS datetime", "open", flat.format("high"), flat.format("low"), flat.format("close"),
+        "CAST(volume AS INT) AS vol", "amount",
+    )
+    return bar_sources.online_bars(raw)
+
+
+@query("SELECT code, date AS trade_date, NULL::double AS turnover_rate, NULL::double AS pe, NULL::double AS pb, NULL::int AS is_st FROM bars")
+def indicator_skeleton(s: Shapes) -> DataFrame:
+    return bar_sources.indicator_skeleton(s.bars())
+
+
+@query("SELECT cal_date, is_open FROM cal")
+def calendar_rename(s: Shapes) -> DataFrame:
+    raw = s.calendar().selectExpr("CAST(cal_date AS STRING) AS calendar_date", "CAST(is_open AS STRING) AS is_trading_day")
+    return bar_sources.calendar_days(raw)
+
+
+@query("SELECT code, date, fore_factor, back_factor, adjust_factor FROM factor_events")
+def factor_rename(s: Shapes) -> DataFrame:
+    raw = s.factor_events().selectExpr(
+        "concat(lower(substring(code, -2)), '.', substring_index(code, '.', 1)) AS code", "CAST(date AS STRING) AS dividOperateDate",
+        "CAST(fore_factor AS STRING) AS foreAdjustFactor", "CAST(back_factor AS STRING) AS backAdjustFactor", "CAST(adjust_factor AS STRING) AS adjustFactor",
+    )
+    return bar_sources.factor_events(raw)
+
+
+# --- capital events ----------------------------------------------------------------------
+
+
+@query("SELECT event_id, code, date, category, dividend, allotment_price, bonus_share, allotment_share FROM capital_named")
+def capital_normalise(s: Shapes) -> DataFrame:
+    return event_sources.capital_events(s.capital_raw(), keep=["event_id"])
+
+
+@query("SELECT category, count(*) AS row_count FROM capital_raw WHERE category NOT BETWEEN 1 AND 15 GROUP BY category")
+def capital_unknown(s: Shapes) -> DataFrame:
+    return event_sources.unknown_categories(s.capital_raw())
+
+
+@query("""
+SELECT r.code, make_date(year, month, day) AS date, n.name AS category, fenhong AS dividend, peigujia AS allotment_price,
+       songzhuangu AS bonus_share, peigu AS allotment_share
+FROM capital_raw r LEFT JOIN category_names n ON n.category = r.category""")
+def capital_decoded(s: Shapes) -> DataFrame:
+    raw = s.capital_raw().selectExpr(
+        "code", "CAST(year * 10000 + month * 100 + day AS STRING) AS date", "category", "fenhong AS dividend",
+        "peigujia AS allotment_price", "songzhuangu AS bonus_share", "peigu AS allotment_share",
+    )
+    return event_sources.decoded_capital_events(raw)
+
+
+# --- margin balances ---------------------------------------------------------------------
+
+# Each stored column's multiple of the order number in the landed text; the balance is the price.
+MULTIPLE = {c: i + 1 for i, c in enumerate(MARGIN_COLUMNS)}
+
+
+def margin_raw(s: Shapes, names: dict[str, str], symbol: str | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Orders as one landed margin row each, under the source's own column names."""
+    out = []
+    for header, column in names.items():
+        if column == "symbol":
+            out.append(f"{symbol} AS `{header}`")
+        elif column == "margin_balance":
+            out.append(
+                "CASE o_orderkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'note: see rules' ELSE concat(' ', format_number(o_totalprice, 2)) END"
+                f" AS `{header}`"
+            )
+        elif column in MULTIPLE:
+            out.append(f"format_number(o_orderkey * {MULTIPLE[column]}, 0) AS `{header}`")
+    return s.table("orders").selectExpr("CAST(o_orderdate AS DATE) AS trade_date", *out, *extra)
+
+
+def margin_sql(exchange: str, names: dict[str, str], symbol: str | None = None, keep: str = "true", scale: str = "") -> str:
+    carried = set(names.values())
+    values = []
+    for c in MARGIN_COLUMNS:
+        if c not in carried:
+            values.append(f"NULL::double AS {c}")
+        elif c == "margin_balance":
+            values.append(f"CASE WHEN o_orderkey % 11 > 1 THEN o_totalprice{scale} END AS {c}")
+        else:
+            values.append(f"(o_orderkey * {MULTIPLE[c]})::double{scale} AS {c}")
+    ids = "" if symbol is None else f"lpad({symbol}, 6, '0') AS symbol, lpad({symbol}, 6, '0') || '.{exchange}' AS code, "
+    return f"SELECT o_orderdate::date AS trade_date, '{exchange}' AS exchange_code, {ids}{', '.join(values)} FROM orders WHERE {keep}"
+
+
+SH_SYMBOL, SZ_SYMBOL = "CAST(o_custkey + 599000 AS STRING)", "CAST(o_custkey * 100 AS STRING)"
+SH_KEEP = "(o_custkey + 599000)::varchar LIKE '6%' AND length((o_custkey + 599000)::varchar) = 6"
+SZ_KEEP = "lpad((o_custkey * 100)::varchar, 6, '0')[1] IN ('0', '3')"
+
+
+@query(margin_sql("SH", event_sources.SH_SUMMARY, keep="o_orderkey % 11 > 1"))
+def margin_summary_sh(s: Shapes) -> DataFrame:
+    return event_sources.margin_summary_sh(margin_raw(s, event_sources.SH_SUMMARY))
+
+
+@query(margin_sql("SH", event_sources.SH_DETAIL, "(o_custkey + 599000)::varchar", SH_KEEP))
+def margin_detail_sh(s: Shapes) -> DataFrame:
+    raw = margin_raw(s, event_sources.SH_DETAIL, SH_SYMBOL)
+    legacy = {"本日融券余量": "本日融券余量(股)", "本日融券卖出量": " 本日融券卖出量(股)", "标的证券代码": " 标的证券代码"}
+    return event_sources.margin_detail_sh(raw.withColumnsRenamed(legacy))
+
+
+@query(margin_sql("SZ", event_sources.SZ_SUMMARY, keep="o_orderkey % 11 > 1"))
+def margin_summary_sz(s: Shapes) -> DataFrame:
+    return event_sources.margin_summary_sz(margin_raw(s, event_sources.SZ_SUMMARY))
+
+
+@query(margin_sql("SZ", event_sources.SZ_DETAIL, "(o_custkey * 100)::varchar", SZ_KEEP))
+def margin_detail_sz(s: Shapes) -> DataFrame:
+    return event_sources.margin_detail_sz(margin_raw(s, event_sources.SZ_DETAIL, SZ_SYMBOL))
+
+
+@query(margin_sql("SH", event_sources.SH_SUMMARY_ALT))
+def margin_summary_sh_alt(s: Shapes) -> DataFrame:
+    dated = "date_format(o_orderdate, 'yyyyMMdd') AS `信用交易日期`"
+    return event_sources.margin_summary_sh_alt(margin_raw(s, event_sources.SH_SUMMARY_ALT, extra=(dated,)).drop("trade_date"))
+
+
+@query(margin_sql("SZ", event_sources.SZ_SUMMARY_ALT, keep="o_orderstatus = 'F'", scale=" * 1e8"))
+def margin_summary_sz_alt(s: Shapes) -> DataFrame:
+    extra = ("CAST(CAST(o_orderdate AS DATE) AS STRING) AS `数据日期`", "CASE o_orderstatus WHEN 'F' THEN ' 融资融券 ' ELSE '股票' END AS `项目`")
+    return event_sources.margin_summary_sz_alt(margin_raw(s, event_sources.SZ_SUMMARY_ALT, extra=extra).drop("trade_date"))
+
+
+@query(margin_sql("SZ", event_sources.SZ_DETAIL_ALT, "(o_custkey * 100)::varchar", SZ_KEEP))
+def margin_detail_sz_alt(s: Shapes) -> DataFrame:
+    return event_sources.margin_detail_sz_alt(margin_raw(s, event_sources.SZ_DETAIL_ALT, SZ_SYMBOL))
+
+
+@query(margin_sql("SH", event_sources.SH_DETAIL_ALT, "(o_custkey + 599000)::varchar", SH_KEEP))
+def margin_detail_sh_alt(s: Shapes) -> DataFrame:
+    return event_sources.margin_detail_sh_alt(margin_raw(s, event_sources.SH_DETAIL_ALT, SH_SYMBOL))
+
+
+# --- industry history, financial reports -------------------------------------------------
+
+
+@query("""
+SELECT lpad(o_custkey::varchar, 6, '0') AS symbol, o_orderdate::date AS start_date, (o_orderkey % 20)::varchar AS industry_code,
+       o_orderdate + INTERVAL 9 HOUR AS update_time FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
+QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate, o_orderkey % 20 ORDER BY o_orderkey DESC) = 1""")
+def industry_history(s: Shapes) -> DataFrame:
+    raw = s.table("orders").selectExpr(
+        "o_orderkey", "concat(o_custkey, ' ') AS `股票代码`", "CASE WHEN o_orderkey % 13 = 0 THEN '1999-02-30' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS `计入日期`",
+        "CASE WHEN o_orderkey % 17 = 0 THEN ' ' ELSE concat(' ', o_orderkey % 20) END AS `行业代码`", "concat(CAST(o_orderdate AS DATE), ' 09:00:00') AS `更新日期`",
+    )
+    return event_sources.industry_history(event_sources.rename_industry(raw), "o_orderkey")
+
+
+REPORT_WIDTH = {0: 320, 1: 120}
+
+
+def report_raw(s: Shapes) -> DataFrame:
+    """One report per supplier and quarter; the older layout carries fewer fields."""
+    quarters = s.table("lineitem").selectExpr(
+        "l_suppkey", "CAST(date_trunc('quarter', l_shipdate) AS DATE) AS report_date"
+    ).distinct()
+    return quarters.selectExpr(
+        "report_date", "lpad(CAST(l_suppkey AS STRING), 6, '0') AS code",
+        """transform(sequence(1, CASE WHEN year(report_date) < 1998 THEN 120 ELSE 320 END),
+             n -> CASE WHEN (l_suppkey + n) % 29 = 0 THEN CAST('NaN' AS FLOAT)
+                  ELSE CAST((l_suppkey * n + month(report_date)) % 1000 / 8 AS FLOAT) END) AS fields""",
+    )
+
+
+def _report_columns(names: list[str]) -> str:
+    by_name = {name: number for number, name in REPORT_FIELDS.items()}
+    return ", ".join(
+        f"CASE WHEN (l_suppkey + {by_name[c]}) % 29 <> 0 AND {by_name[c]} <= CASE WHEN year(report_date) < 1998 THEN 120 ELSE 320 END "
+        f"THEN (l_suppkey * {by_name[c]} + month(report_date)) % 1000 / 8 END AS {c}" for c in names
+    )
+
+
+REPORTS = "(SELECT DISTINCT l_suppkey, date_trunc('quarter', l_shipdate)::date AS report_date FROM lineitem)"
+
+
+def _report_sql(names: list[str]) -> str:
+    return f"SELECT lpad(l_suppkey::varchar, 6, '0') AS code, report_date, {_report_columns(names)} FROM {REPORTS}"
+
+
+@query(_report_sql(list(REPORT_FIELDS.values())))
+def finance_report(s: Shapes) -> DataFrame:
+    return event_sources.finance_report(report_raw(s))
+
+
+def _register_statement(statement: str) -> None:
+    names = [REPORT_FIELDS[n] for n in STATEMENT_FIELDS[statement]]
+
+    @query(_report_sql(names), name=statement)
+    def view(s: Shapes) -> DataFrame:
+        return statement_view(event_sources.finance_report(report_raw(s)), statement)
+
+
+for _statement in STATEMENT_FIELDS:
+    _register_statement(_statement)

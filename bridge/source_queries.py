@@ -1 +1,161 @@
-"""placeholder"""
+"""Scan, file-format, period-selection and export queries."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketframe.plans import transfer
+from marketframe.sources import files
+from marketframe.sources.files import DAY_RECORD, REPORT_ENTRY, REPORT_HEADER
+
+from .clean_queries import REPORTS, report_raw
+from .daily_queries import dense_table
+from .registry import query
+from .shapes import NOW, OLD, Shapes
+
+OLD_TS, NEW_TS = f"TIMESTAMP '{OLD}'", f"TIMESTAMP '{NOW}'"
+
+
+@query("SELECT count(*) AS row_count, min(l_shipdate) AS min_date, max(l_shipdate) AS max_date FROM lineitem")
+def scan_stats(s: Shapes) -> DataFrame:
+    return files.scan_stats(s.table("lineitem"), "l_shipdate")
+
+
+@query("SELECT DISTINCT exchange FROM master")
+def distinct_exchanges(s: Shapes) -> DataFrame:
+    return s.master().select("exchange").distinct()
+
+
+@query("""SELECT '{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '","gap":' ||
+  CASE WHEN o_custkey % 2 = 0 THEN o_custkey::varchar ELSE 'null' END || '}' AS document FROM orders""")
+def json_documents(s: Shapes) -> DataFrame:
+    return files.as_document(s.table("orders").selectExpr("o_orderkey", "o_orderstatus", "CASE WHEN o_custkey % 2 = 0 THEN o_custkey END AS gap"))
+
+
+NAMES = """
+names AS (
+  SELECT 'gpcw' || strftime(q, '%Y%m%d') || '.dat' AS name, q::date AS period FROM (
+    SELECT DISTINCT last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS q FROM orders)
+  UNION ALL SELECT DISTINCT 'gpcw-' || o_orderpriority || '.dat', NULL::date FROM orders)"""
+
+
+def report_names(s: Shapes) -> DataFrame:
+    orders = s.table("orders")
+    dated = orders.selectExpr("last_day(add_months(date_trunc('quarter', o_orderdate), 2)) AS q").distinct()
+    return dated.selectExpr("concat('gpcw', date_format(q, 'yyyyMMdd'), '.dat') AS name").unionByName(
+        orders.selectExpr("concat('gpcw-', o_orderpriority, '.dat') AS name").distinct()
+    )
+
+
+@query(f"WITH {NAMES} SELECT name FROM names WHERE period IS NULL OR period IN (SELECT DISTINCT period FROM names WHERE period IS NOT NULL ORDER BY period DESC LIMIT 8)")
+def recent_periods(s: Shapes) -> DataFrame:
+    return files.recent_periods(report_names(s), "name", 8)
+
+
+@query(f"WITH {NAMES} SELECT DISTINCT period AS report_date FROM names WHERE period BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'")
+def period_list(s: Shapes) -> DataFrame:
+    return files.list_periods(report_names(s), "name", "1996-01-01", "1999-12-31")
+
+
+def day_files(s: Shapes) -> DataFrame:
+    """One fixed-record file per security and year; at most one record per day of the year."""
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            contents = []
+            for records in batch["records"]:
+                packed = np.zeros(len(records), dtype=DAY_RECORD)
+                for field in ("date", "open", "high", "low", "close", "volume", "amount"):
+                    packed[field] = [r[field] for r in records]
+                contents.append(packed.tobytes() + b"\x00\x01")  # a torn record at the end
+            yield pd.DataFrame({"path": batch["path"], "content": contents})
+
+    cents = ", ".join(f"CAST(round({p} * 100) AS BIGINT) AS {p}" for p in ("open", "high", "low", "close"))
+    grouped = s.bars().selectExpr(
+        "concat('/vipdoc/', year(date), '/', lower(substring(code, -2)), substring_index(code, '.', 1), '.day') AS path",
+        f"struct(CAST(date_format(date, 'yyyyMMdd') AS BIGINT) AS date, {cents}, volume, CAST(amount AS FLOAT) AS amount) AS record",
+    ).groupBy("path").agg(F.sort_array(F.collect_list("record")).alias("records"))
+    return grouped.mapInPandas(encode, "path string, content binary")
+
+
+@query("SELECT code, date, open, high, low, close, volume, amount::float::double AS amount FROM bars")
+def day_file_scan(s: Shapes) -> DataFrame:
+    return files.decode_day_files(day_files(s))
+
+
+def report_files(s: Shapes) -> DataFrame:
+    """Report files per period and block of 200 suppliers, so that no file grows with the data."""
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            contents = []
+            for stocks in batch["stocks"]:
+                stocks = sorted(stocks, key=lambda r: r["code"])
+                width = max(len(r["fields"]) for r in stocks)
+                start = REPORT_HEADER.itemsize + REPORT_ENTRY.itemsize * len(stocks)
+                header = np.zeros(1, dtype=REPORT_HEADER)
+                header["count"], header["report_size"] = len(stocks), 4 * width
+                entries = np.zeros(len(stocks), dtype=REPORT_ENTRY)
+                entries["code"] = [r["code"].encode() for r in stocks]
+                entries["offset"] = start + 4 * width * np.arange(len(stocks))
+                blocks = b"".join(np.asarray(r["fields"], dtype="<f4").tobytes() for r in stocks)
+                contents.append(header.tobytes() + entries.tobytes() + blocks)
+            yield pd.DataFrame({"path": batch["path"], "content": contents})
+
+    grouped = report_raw(s).selectExpr(
+        "concat('/cw/', CAST(code AS BIGINT) div 200, '/gpcw', date_format(report_date, 'yyyyMMdd'), '.dat') AS path",
+        "struct(code, fields) AS stock",
+    ).groupBy("path").agg(F.collect_list("stock").alias("stocks"))
+    return grouped.mapInPandas(encode, "path string, content binary")
+
+
+@query(f"""
+SELECT report_date, lpad(l_suppkey::varchar, 6, '0') AS code, w AS field_count,
+       CASE WHEN (l_suppkey + 1) % 29 = 0 THEN NULL ELSE (l_suppkey + month(report_date)) % 1000 / 8 END AS first_field,
+       CASE WHEN (l_suppkey + w) % 29 = 0 THEN NULL ELSE (l_suppkey * w + month(report_date)) % 1000 / 8 END AS last_field
+FROM (SELECT *, CASE WHEN year(report_date) < 1998 THEN 120 ELSE 320 END AS w FROM {REPORTS})""")
+def report_file_scan(s: Shapes) -> DataFrame:
+    rows = files.decode_report_files(report_files(s))
+    return rows.selectExpr(
+        "report_date", "code", "size(fields) AS field_count", "CAST(nullif(fields[0], CAST('NaN' AS FLOAT)) AS DOUBLE) AS first_field",
+        "CAST(nullif(element_at(fields, -1), CAST('NaN' AS FLOAT)) AS DOUBLE) AS last_field",
+    )
+
+
+@query("""
+SELECT code, date, open, high, low, close, pre_close, tradestatus, volume, amount FROM bars
+WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND code IN (SELECT code FROM master WHERE board <> 'INDEX')""")
+def export_shares(s: Shapes) -> DataFrame:
+    spec = transfer.resolve_table_specs(["import_daily"])["stock_daily"]
+    return transfer.export_rows(s.bars(), spec, s.master(), "2024-01-05", "2024-01-25")
+
+
+@query("""
+SELECT code, date, open, high, low, close, pre_close, tradestatus, volume, amount FROM bars
+WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND code IN (SELECT code FROM master WHERE board = 'INDEX')""")
+def export_indexes(s: Shapes) -> DataFrame:
+    spec = transfer.resolve_table_specs(["fetch_index"])["stock_daily"]
+    return transfer.export_rows(s.bars(), spec, s.master(), "2024-01-05", "2024-01-25")
+
+
+@query("SELECT code, trade_date, turnover_rate, pe, pb, is_st FROM basic WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'")
+def export_indicators(s: Shapes) -> DataFrame:
+    spec = transfer.resolve_table_specs(["all"])["daily_basic"]
+    return transfer.export_rows(s.basic(), spec, s.master(), "2024-01-05", "2024-01-25")
+
+
+@query(f"""
+SELECT code, trade_date, fore_factor, back_factor, adjust_factor, {OLD_TS} AS created_at, CASE WHEN code LIKE '%.BJ' THEN {NEW_TS} ELSE {OLD_TS} END AS updated_at
+FROM dense WHERE trade_date BETWEEN DATE '2024-01-20' AND DATE '2024-01-25' OR code LIKE '%.BJ'""")
+def export_corrected(s: Shapes) -> DataFrame:
+    """Factors of a few days plus everything corrected since, whatever its day."""
+    stored = dense_table(s).selectExpr(
+        "*", f"TIMESTAMP_NTZ '{OLD}' AS created_at", f"CASE WHEN code LIKE '%.BJ' THEN TIMESTAMP_NTZ '{NOW}' ELSE TIMESTAMP_NTZ '{OLD}' END AS updated_at"
+    )
+    spec = transfer.resolve_table_specs(["adjust"])["adj_factor"]
+    return transfer.export_rows(stored, spec, s.master(), "2024-01-20", "2024-01-25", updated_since="2024-01-01")

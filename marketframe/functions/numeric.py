@@ -60,19 +60,19 @@ def blank_report(df: DataFrame, columns: list[str], code: str, sample: int = 20)
     """
     marks = F.array(*[F.when(is_blank(F.col(c)), F.lit(c)) for c in columns])
     per_code = (
-        df.select(F.col(code).alias("code"), F.explode(marks).alias("column"))
-        .where(F.col("column").isNotNull())
-        .groupBy("column", "code")
+        df.select(F.col(code).alias("code"), F.explode(marks).alias("column_name"))
+        .where(F.col("column_name").isNotNull())
+        .groupBy("column_name", "code")
         .agg(F.count(F.lit(1)).alias("cells"))
     )
-    totals = per_code.groupBy("column").agg(
+    totals = per_code.groupBy("column_name").agg(
         F.sum("cells").alias("blank_cells"), F.count(F.lit(1)).alias("blank_codes")
     )
-    rank = F.row_number().over(Window.partitionBy("column").orderBy("code"))
+    rank = F.row_number().over(Window.partitionBy("column_name").orderBy("code"))
     first = (
-        per_code.select("column", "code", rank.alias("rank"))
+        per_code.select("column_name", "code", rank.alias("rank"))
         .where(F.col("rank") <= sample)
-        .groupBy("column")
+        .groupBy("column_name")
         .agg(F.concat_ws(",", F.sort_array(F.collect_list("code"))).alias("first_codes"))
     )
-    return totals.join(first, "column")
+    return totals.join(first, "column_name")
