@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_NUMBER_CHARACTERS = "0123456789.+-eE"
 
 
 def round_at(value: Column, digits: int) -> Column:
@@ -21,9 +21,12 @@ def round_at(value: Column, digits: int) -> Column:
 
 
 def to_number(text: Column, dtype: str = "double") -> Column:
-    """Parse text such as ``'1,234.50'``; blanks, notes and other non-numbers become NULL."""
-    bare = F.trim(F.regexp_replace(text.cast("string"), ",", ""))
-    number = F.when(bare.rlike(_NUMBER), bare).try_cast("double")
+    """Parse text such as ``'1,234.50'``; blanks, notes and other non-numbers become NULL.
+
+    The character check keeps out spellings a cast would accept, such as ``1d`` or ``NaN``.
+    """
+    bare = F.trim(F.translate(text.cast("string"), ",", ""))
+    number = F.when(F.translate(bare, _NUMBER_CHARACTERS, "") == "", bare).try_cast("double")
     return number if dtype == "double" else number.try_cast(dtype)
 
 

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import NOT_AUDITED, in_codes, in_exchanges, not_in_boards
-from ..functions.dates import DateLike, between_days
+from ..functions.dates import DateLike, as_date, between_days
 from ..functions.numeric import any_of, failing_columns, missing_or_not_positive, missing_or_zero, round_at
-from ..operators.calendar import expand_open_days, open_days, previous_open_day
+from ..operators.calendar import expand_open_days, last_open_day, open_days, previous_open_day
 from ..operators.merge import concat_sources
 from ..schemas import TABLES, Table
+from ..session import checkpointed
 from ..sources.events import EX_RIGHTS
 
 COMPLETE, GAPS_FOUND = "complete", "gaps_found"
@@ -118,10 +119,14 @@ def gap_dates(
 
 def missing_codes(
     table: DataFrame, day: str, bars: DataFrame, master: DataFrame, calendar: DataFrame, scope: Scope,
-    is_bars: bool = False, index: bool = False,
+    is_bars: bool = False, index: bool = False, gaps: DataFrame | None = None,
 ) -> DataFrame:
-    """The securities missing on every gap day: listed, absent from the table, not suspended."""
-    gaps = gap_dates(table, day, bars, master, calendar, scope, is_bars, index)
+    """The securities missing on every gap day: listed, absent from the table, not suspended.
+
+    ``gaps`` passes gap days that are already known.
+    """
+    if gaps is None:
+        gaps = gap_dates(table, day, bars, master, calendar, scope, is_bars, index)
     only_gaps = gaps.select("cal_date", F.lit(1).alias("is_open"))
     active = active_securities(master, scope, index)
     first, last = F.lit(scope.begin).cast("date"), F.lit(scope.end).cast("date")
@@ -200,30 +205,6 @@ def bad_factors(
     return _findings(suspects.join(traded, ["code", "trade_date"], "left_semi"), "trade_date", rules)
 
 
-def _on_days(events: DataFrame, table: DataFrame, day: str, fields: dict[str, str]) -> DataFrame:
-    """Values of a daily table on an event's own day (``cur``) and previous open day (``prev``).
-
-    Both days are looked up in one join, with the events as the small side, so the daily
-    table is scanned once and never sorted for a second join.
-    """
-    wanted = events.select(
-        "code", "xdr_date",
-        F.explode(
-            F.array(
-                F.struct(F.lit("prev").alias("at"), F.col("prev_open").alias("day")),
-                F.struct(F.lit("cur").alias("at"), F.col("xdr_date").alias("day")),
-            )
-        ).alias("w"),
-    ).select("code", "xdr_date", F.col("w.at").alias("at"), F.col("w.day").alias("day"))
-    sources = {c for c in fields.values()}
-    values = table.select("code", F.col(day).alias("day"), *sources)
-    picks = [
-        F.max(F.when(F.col("at") == name.split("_")[0], F.col(source))).alias(name)
-        for name, source in fields.items()
-    ]
-    return wanted.join(values, ["code", "day"]).groupBy("code", "xdr_date").agg(*picks)
-
-
 def xdr_check(
     capital: DataFrame, bars: DataFrame, factors: DataFrame, master: DataFrame, calendar: DataFrame, scope: Scope
 ) -> DataFrame:
@@ -231,6 +212,10 @@ def xdr_check(
 
     ``status`` is mismatch, ok or uncomputable (an input price is missing). Events without a
     confirmed factor change and suspended days are not ex-rights days and leave.
+
+    Each event asks for its own day and the open day before it. Both days of both daily
+    tables are found in one join with the few events as the small side, and collapse back to
+    one row per event; an event that finds no factors is dropped by the gate anyway.
     """
     active = active_securities(master, scope).select("symbol", F.col("code").alias("_code"), "name")
     terms = ("dividend", "allotment_price", "bonus_share", "allotment_share")
@@ -243,31 +228,35 @@ def xdr_check(
         )
     )
     dated = previous_open_day(events, "xdr_date", calendar)
-    prices = _on_days(
-        dated, bars, "date",
-        {"prev_close": "close", "cur_pre_close": "pre_close", "cur_status": "tradestatus"},
+    days = F.explode(F.expr("array(struct(false AS now, prev_open AS day), struct(true AS now, xdr_date AS day))"))
+    wanted = dated.withColumn("_w", days).select("code", "name", "xdr_date", *terms, "_w.now", "_w.day")
+
+    # Only days from the open day before the range on can be asked for.
+    first = F.coalesce(last_open_day(calendar, scope.begin).scalar(), F.lit(as_date(scope.begin)))
+    reachable = (F.col("day") >= first) & (F.col("day") <= F.lit(as_date(scope.end)))
+    daily = bars.select("code", F.col("date").alias("day"), "close", "pre_close", "tradestatus").where(reachable).unionByName(
+        factors.select("code", F.col("trade_date").alias("day"), "adjust_factor").where(reachable), allowMissingColumns=True
+    )
+    found = wanted.join(daily, ["code", "day"]).groupBy("code", "name", "xdr_date", *terms).agg(
+        F.expr("max(close) FILTER (WHERE NOT now) AS close_prev"),
+        F.expr("max(pre_close) FILTER (WHERE now) AS pre_close"),
+        F.expr("max(tradestatus) FILTER (WHERE now) AS tradestatus"),
+        F.expr("max(adjust_factor) FILTER (WHERE now) - max(adjust_factor) FILTER (WHERE NOT now) AS change"),
     )
-    changes = _on_days(dated, factors, "trade_date", {"prev_factor": "adjust_factor", "cur_factor": "adjust_factor"})
-    per_share = {t: F.col(t) / 10 for t in terms}
-    theory = (
-        F.col("prev_close") - per_share["dividend"] + F.col("allotment_price") * F.col("allotment_share") / 10
-    ) / (1 + per_share["bonus_share"] + per_share["allotment_share"])
-    off = round_at(F.abs(F.col("cur_pre_close") - F.col("theory")), 4)
+    theory = F.expr(
+        "(close_prev - dividend / 10 + allotment_price * allotment_share / 10)"
+        " / (1 + bonus_share / 10 + allotment_share / 10)"
+    )
+    off = round_at(F.abs(F.col("pre_close") - F.col("theory")), 4)
     status = (
-        F.when(F.col("prev_close").isNull() | F.col("cur_pre_close").isNull(), "uncomputable")
+        F.when(F.col("close_prev").isNull() | F.col("pre_close").isNull(), "uncomputable")
         .when(off > PRICE_TOLERANCE, "mismatch")
         .otherwise("ok")
     )
     return (
-        dated.join(changes, ["code", "xdr_date"])
-        .where(F.abs(F.col("cur_factor") - F.col("prev_factor")) > FACTOR_CHANGE)
-        .join(prices, ["code", "xdr_date"], "left")
-        .where(F.coalesce(F.col("cur_status"), F.lit(1)) != 0)
+        found.where((F.abs(F.col("change")) > FACTOR_CHANGE) & (F.coalesce(F.col("tradestatus"), F.lit(1)) != 0))
         .withColumn("theory", theory)
-        .select(
-            "xdr_date", "code", "name", F.col("prev_close").alias("close_prev"),
-            F.col("cur_pre_close").alias("pre_close"), "theory", off.alias("diff"), status.alias("status"),
-        )
+        .select("xdr_date", "code", "name", "close_prev", "pre_close", "theory", off.alias("diff"), status.alias("status"))
     )
 
 
@@ -355,11 +344,14 @@ def audit_gaps(t: AuditTables, scope: Scope, include_index: bool = False) -> Dat
     return concat_sources(parts)
 
 
-def audit_missing(t: AuditTables, scope: Scope, include_index: bool = False) -> DataFrame:
-    """Missing securities of all blocking checks."""
+def audit_missing(
+    t: AuditTables, scope: Scope, include_index: bool = False, gaps: DataFrame | None = None
+) -> DataFrame:
+    """Missing securities of all blocking checks; ``gaps`` is an ``audit_gaps`` result to reuse."""
     parts = []
     for position, (name, table, day, is_bars, index) in enumerate(core_checks(t, include_index)):
-        rows = missing_codes(table, day, t.bars, t.master, t.calendar, scope, is_bars, index)
+        known = None if gaps is None else gaps.where(F.col("check_name") == name)
+        rows = missing_codes(table, day, t.bars, t.master, t.calendar, scope, is_bars, index, known)
         parts.append(rows.select(F.lit(position).alias("check_order"), F.lit(name).alias("check_name"), "*"))
     return concat_sources(parts)
 
@@ -378,13 +370,16 @@ def audit_warnings(t: AuditTables, scope: Scope) -> DataFrame:
     )
 
 
-def audit_summary(t: AuditTables, scope: Scope, include_index: bool = False) -> DataFrame:
+def audit_summary(
+    t: AuditTables, scope: Scope, include_index: bool = False, gaps: DataFrame | None = None
+) -> DataFrame:
     """One row per check: blocking checks count missing rows, warnings count findings."""
-    names = [c[0] for c in core_checks(t, include_index)]
-    gaps = audit_gaps(t, scope, include_index).groupBy("check_name").agg(F.sum("missing").alias("row_count"))
-    spark = t.bars.sparkSession
-    every = spark.createDataFrame([(n,) for n in names], "check_name string")
-    core = every.join(gaps, "check_name", "left").select(
+    if gaps is None:
+        gaps = audit_gaps(t, scope, include_index)
+    names = ", ".join(f"'{check[0]}'" for check in core_checks(t, include_index))
+    every = t.bars.sparkSession.range(1).select(F.explode(F.expr(f"array({names})")).alias("check_name"))
+    found = gaps.groupBy("check_name").agg(F.sum("missing").alias("row_count"))
+    core = every.join(found, "check_name", "left").select(
         "check_name", F.lit("core").alias("kind"), F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count")
     )
     warnings = audit_warnings(t, scope).select("check_name", F.lit("warning").alias("kind"), "row_count")
@@ -405,12 +400,14 @@ def audit_document(t: AuditTables, scope: Scope, include_index: bool = False, li
     """The whole audit as JSON lines: status, then checks, gap days and missing securities.
 
     ``part`` says what a line is. Only missing securities share the row budget; gap days
-    are always complete, and each check's line says how much of its detail was cut.
+    are always complete, and each check's line says how much of its detail was cut. Gap
+    days, findings and the summary are each computed once and checkpointed, because several
+    parts of the document read them.
     """
-    summary = audit_summary(t, scope, include_index)
-    shown, totals = limit_detail(
-        audit_missing(t, scope, include_index), ["check_order", "date", "code"], "check_name", limit
-    )
+    gaps = checkpointed(audit_gaps(t, scope, include_index))
+    missing = checkpointed(audit_missing(t, scope, include_index, gaps))
+    summary = checkpointed(audit_summary(t, scope, include_index, gaps))
+    shown, totals = limit_detail(missing, ["check_order", "date", "code"], "check_name", limit)
 
     def lines(part: str, df: DataFrame) -> DataFrame:
         return df.select(F.lit(part).alias("part"), F.to_json(F.struct(*df.columns)).alias("document"))
@@ -419,7 +416,7 @@ def audit_document(t: AuditTables, scope: Scope, include_index: bool = False, li
         [
             lines("status", audit_status(summary)),
             lines("check", summary.join(totals, "check_name", "left")),
-            lines("gap", audit_gaps(t, scope, include_index)),
+            lines("gap", gaps),
             lines("missing", shown),
         ]
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins by measured size and splits hot join partitions even where that adds
 # a shuffle; dynamic overwrite makes a merge rewrite only the partitions it touched.
@@ -34,3 +36,16 @@ def local_session(cores: int = 8, app: str = "marketframe", memory: str = "8g")
     )
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute a result once and cut its lineage, in the folder the cluster names.
+
+    A temporary folder is set only where the session names none, as in tests. The files are
+    in shared storage, so losing an executor loses nothing.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+    return df.checkpoint()
