@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import NOT_TRADED_AS_SHARE, SHARE_BOARDS, in_boards, in_codes, in_exchanges, not_in_boards
@@ -143,12 +143,6 @@ def _set_where(df: DataFrame, condition: Column, values: dict[str, Column], colu
     ).select(*columns)
 
 
-def _observed(df: DataFrame, observation: Observation | None, **counts: Column) -> DataFrame:
-    if observation is None:
-        return df
-    return df.observe(observation, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()])
-
-
 def fill_price_limits(
     basic: DataFrame,
     bars: DataFrame,
@@ -247,13 +241,8 @@ def fill_shares(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
-    observation: Observation | None = None,
 ) -> DataFrame:
-    """Total and float shares from the latest share-count state on or before each day.
-
-    ``observation`` receives total / updated / skipped row counts of the scope when the
-    result is written.
-    """
+    """Total and float shares from the latest share-count state on or before each day."""
     inside, outside = _scope(basic, begin, end, codes)
     eligible = in_boards(F.col("board"), SHARE_BOARDS) & in_exchanges(F.col("exchange"), exchanges)
     states = share_events(capital, master).select(
@@ -266,14 +255,33 @@ def fill_shares(
     rows = asof_join(
         scoped, states, ["code"], "trade_date", "_state_day", ["_total", "_float", "_stated"]
     )
-    in_scope, hit = F.col("_eligible"), F.col("_eligible") & F.col("_stated")
-    filled = F.when(F.coalesce(hit, F.lit(False)), F.col("_total")).otherwise(F.col("total_shares"))
-    rows = _observed(
-        rows, observation,
-        total=in_scope, updated=in_scope & filled.isNotNull(), skipped=in_scope & filled.isNull(),
-    )
     values = {"total_shares": F.col("_total"), "float_shares": F.col("_float")}
-    return outside.unionByName(_set_where(rows, hit, values, basic.columns))
+    return outside.unionByName(
+        _set_where(rows, F.col("_eligible") & F.col("_stated"), values, basic.columns)
+    )
+
+
+def fill_report(
+    filled: DataFrame,
+    master: DataFrame,
+    column: str,
+    begin: DateLike | None = None,
+    end: DateLike | None = None,
+    codes: Iterable[str] | None = None,
+    exchanges: Iterable[str] | None = None,
+) -> DataFrame:
+    """One row over a fill's scope: rows in all, rows with a value, rows left without one.
+
+    Counted on the result itself: counters collected while writing can count a task twice
+    when a lost executor makes Spark run it again.
+    """
+    inside, _ = _scope(filled, begin, end, codes)
+    eligible = in_boards(F.col("board"), SHARE_BOARDS) & in_exchanges(F.col("exchange"), exchanges)
+    scoped = inside.join(master.where(eligible).select("code"), "code", "left_semi")
+    return scoped.agg(
+        F.count(F.lit(1)).alias("total"), F.count(column).alias("updated"),
+        F.count_if(F.col(column).isNull()).alias("skipped"),
+    )
 
 
 def stated_codes(capital: DataFrame) -> DataFrame:
@@ -285,6 +293,20 @@ def stated_codes(capital: DataFrame) -> DataFrame:
     return capital.where(usable).agg(F.count_distinct("code").alias("stated_codes"))
 
 
+def _turnover_rows(basic, bars, master, begin, end, codes, exchanges, overwrite) -> tuple[DataFrame, DataFrame, Column]:
+    """(rows in scope with bar and eligibility, other rows, which rows get a rate)."""
+    inside, outside = _scope(basic, begin, end, codes)
+    eligible = in_boards(F.col("board"), SHARE_BOARDS) & in_exchanges(F.col("exchange"), exchanges)
+    traded = _bars(bars, begin, end, "volume", "tradestatus").where(
+        (F.col("_tradestatus") == 1) & F.col("_volume").isNotNull()
+    )
+    rows = inside.join(traded, ["code", "trade_date"], "left").join(
+        _attributes(master, eligible), "code", "left"
+    )
+    hit = F.col("_traded") & F.col("_eligible") & (F.col("float_shares") > 0)
+    return rows, outside, hit if overwrite else hit & F.col("turnover_rate").isNull()
+
+
 def fill_turnover(
     basic: DataFrame,
     bars: DataFrame,
@@ -294,25 +316,28 @@ def fill_turnover(
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
     overwrite: bool = False,
-    observation: Observation | None = None,
 ) -> DataFrame:
     """Turnover rate in percent on trading rows; only NULLs unless ``overwrite``."""
-    inside, outside = _scope(basic, begin, end, codes)
-    eligible = in_boards(F.col("board"), SHARE_BOARDS) & in_exchanges(F.col("exchange"), exchanges)
-    traded = _bars(bars, begin, end, "volume", "tradestatus").where(
-        (F.col("_tradestatus") == 1) & F.col("_volume").isNotNull()
-    )
-    rows = inside.join(traded, ["code", "trade_date"], "left").join(
-        _attributes(master, eligible), "code", "left"
-    )
-    hit = F.col("_traded") & F.col("_eligible") & (F.col("float_shares") > 0)
-    if not overwrite:
-        hit = hit & F.col("turnover_rate").isNull()
+    rows, outside, hit = _turnover_rows(basic, bars, master, begin, end, codes, exchanges, overwrite)
     rate = round_at(F.try_divide(F.col("_volume").cast("double"), F.col("float_shares").cast("double")) * 100, 4)
-    rows = _observed(rows, observation, updated=hit)
     return outside.unionByName(_set_where(rows, hit, {"turnover_rate": rate}, basic.columns))
 
 
+def turnover_updates(
+    basic: DataFrame,
+    bars: DataFrame,
+    master: DataFrame,
+    begin: DateLike | None = None,
+    end: DateLike | None = None,
+    codes: Iterable[str] | None = None,
+    exchanges: Iterable[str] | None = None,
+    overwrite: bool = False,
+) -> DataFrame:
+    """One row: how many rows ``fill_turnover`` sets with the same arguments."""
+    rows, _, hit = _turnover_rows(basic, bars, master, begin, end, codes, exchanges, overwrite)
+    return rows.agg(F.count_if(F.coalesce(hit, F.lit(False))).alias("updated"))
+
+
 def fill_market_value(
     basic: DataFrame,
     bars: DataFrame,
@@ -321,7 +346,6 @@ def fill_market_value(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
-    observation: Observation | None = None,
 ) -> DataFrame:
     """Market values wherever total shares are known and a bar exists, traded or not."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -334,5 +358,4 @@ def fill_market_value(
         "total_mv": F.col("total_shares") * F.col("_close"),
         "float_mv": F.col("float_shares") * F.col("_close"),
     }
-    rows = _observed(rows, observation, updated=hit)
     return outside.unionByName(_set_where(rows, hit, values, basic.columns))
