@@ -20,6 +20,20 @@ def by_days(width: int = 366) -> Chunk:
     return lambda time: F.floor(F.unix_date(time.cast("date")) / F.lit(width)).cast("int")
 
 
+def by_seconds(width: int = 600) -> Chunk:
+    """Chunk a timestamp by a fixed number of seconds."""
+    return lambda time: F.floor(F.unix_micros(time.cast("timestamp")) / F.lit(width * 1_000_000))
+
+
+def default_chunk(kind: str) -> Chunk:
+    """A year of days, or ten minutes of a timestamp.
+
+    The width bounds what one task must hold of one key: at most a row per day here, and
+    ten minutes of even the densest key there. Narrower chunks only add carried rows.
+    """
+    return by_days() if kind == "date" else by_seconds()
+
+
 def chunks_between(begin: Column, end: Column, chunk: Chunk) -> Column:
     """Every chunk number a closed interval touches, one per row."""
     return F.explode(F.sequence(chunk(begin), chunk(end)))
@@ -32,6 +46,20 @@ def tick_of(time: Column, kind: str) -> Column:
     return F.unix_micros(time.cast("timestamp"))
 
 
+def carry_tails(tails: DataFrame, chunks: DataFrame, on: Sequence[str]) -> DataFrame:
+    """For each wanted (on, _chunk), the ``_tail`` of the latest earlier chunk that has one.
+
+    Both sides hold one row per key and chunk, and so does the per-key window here.
+    """
+    wanted = chunks.select(*on, "_chunk", F.lit(True).alias("_wanted"))
+    earlier = Window.partitionBy(*on).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, -1)
+    return (
+        tails.unionByName(wanted, allowMissingColumns=True)
+        .withColumn("_tail", F.last("_tail", ignorenulls=True).over(earlier))
+        .where(F.col("_wanted") & F.col("_tail").isNotNull())
+    )
+
+
 def scan_known(
     left: DataFrame,
     right: DataFrame,
@@ -65,19 +93,13 @@ def scan_known(
         {"_tick": tick_of(F.col(left_time), dict(left.dtypes)[left_time]), "_chunk": chunk(F.col(left_time))}
     )
 
-    # The last right row of each chunk, carried to every later chunk that has left rows.
     tails = flat.groupBy(*on, "_chunk").agg(
         F.max("_tick").alias("_last"), *[F.max_by(f"_v_{v}", "_tick").alias(f"_v_{v}") for v in values]
     ).select(*on, "_chunk", F.struct(F.col("_last").alias("_tick"), packed.alias("_value")).alias("_tail"))
     if left_chunks is None:
         left_chunks = rows.select(*on, "_chunk").distinct()
-    wanted = left_chunks.select(*on, "_chunk", F.lit(True).alias("_wanted"))
-    earlier_chunks = Window.partitionBy(*on).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, -1)
-    carried = (
-        tails.unionByName(wanted, allowMissingColumns=True)
-        .withColumn("_tail", F.last("_tail", ignorenulls=True).over(earlier_chunks))
-        .where(F.col("_wanted") & F.col("_tail").isNotNull())
-        .select(*on, "_chunk", F.col("_tail._tick").alias("_tick"), F.col("_tail._value").alias("_value"))
+    carried = carry_tails(tails, left_chunks, on).select(
+        *on, "_chunk", F.col("_tail._tick").alias("_tick"), F.col("_tail._value").alias("_value")
     )
 
     stream = (
@@ -124,7 +146,7 @@ def asof_join(
     base = left if left_unique else left.select(*on, left_time).distinct()
     marks = {"at_or_before": None, "strictly_before": "_known"} if strict else {}
     scanned = scan_known(
-        base, right, on, left_time, right_time, list(names), chunk or by_days(), left_chunks=left_chunks, **marks
+        base, right, on, left_time, right_time, list(names), chunk or default_chunk(dict(left.dtypes)[left_time]), left_chunks=left_chunks, **marks
     )
     if how == "inner":
         scanned = scanned.where(F.col("_known").isNotNull())

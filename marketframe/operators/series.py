@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .calendar import expand_open_days
-from .joins import Chunk, asof_join, by_days, chunks_between, scan_known
+from .joins import Chunk, asof_join, by_days, carry_tails, chunks_between, scan_known
 
 
 def trailing_mean(
@@ -135,10 +135,22 @@ def fill_suspensions(
     )
 
 
-def carry_close(bars: DataFrame, key: str = "code", day: str = "date", out: str = "pre_close") -> DataFrame:
-    """Last known close strictly before each bar."""
-    closes = bars.select(key, F.col(day).alias("_close_day"), F.col("close").alias("_close")).where(
-        F.col("_close").isNotNull()
+def carry_close(
+    bars: DataFrame, key: str = "code", day: str = "date", out: str = "pre_close", chunk: Chunk | None = None
+) -> DataFrame:
+    """Last known close strictly before each bar; ``bars`` must be unique on (key, day).
+
+    Each bar is both a row and a value, so only one row per chunk is added to the series.
+    """
+    series = bars.drop(out).withColumn("_chunk", (chunk or by_days())(F.col(day)))
+    known = series.where(F.col("close").isNotNull())
+    tails = known.groupBy(key, "_chunk").agg(F.max_by("close", day).alias("_tail"))
+    opening = carry_tails(tails, series.select(key, "_chunk").distinct(), [key])
+    before = Window.partitionBy(key, "_chunk").orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        series.withColumn("_own", F.lit(True))
+        .unionByName(opening.select(key, "_chunk", F.col("_tail").alias("close")), allowMissingColumns=True)
+        .withColumn(out, F.last("close", ignorenulls=True).over(before))
+        .where("_own")
+        .drop("_own", "_chunk")
     )
-    base = bars.drop(out)
-    return asof_join(base, closes, [key], day, "_close_day", {"_close": out}, strict=True)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketframe.operators.joins import asof_join, by_days
+from marketframe.operators.joins import asof_join, by_days, by_seconds
 from tests.conftest import rows
 
 
@@ -73,3 +73,16 @@ def test_no_group_spans_a_whole_key(spark):
     plan = asof_join(lf, rf, ["k"], "t", "rt", ["rv"])._jdf.queryExecution().executedPlan().toString()
     row_windows = [line for line in plan.splitlines() if "Window [last(_value" in line]
     assert row_windows and all("_chunk" in line.split("windowspecdefinition")[1].split("_tick")[0] for line in row_windows)
+
+
+@pytest.mark.parametrize("seconds", [1, 60, 86400])
+def test_asof_on_timestamps(spark, seconds):
+    rng = random.Random(seconds)
+    left = sorted({rng.randrange(10_000_000_000) for _ in range(200)})
+    right = sorted({rng.randrange(10_000_000_000) for _ in range(40)})
+    start = "timestampadd(MICROSECOND, m, TIMESTAMP_NTZ '2024-01-01 00:00:00')"
+    lf = spark.createDataFrame([("k", m) for m in left], "k string, m long").withColumn("t", F.expr(start))
+    rf = spark.createDataFrame([("k", m) for m in right], "k string, m long").selectExpr("k", f"{start} AS rt", "m AS rm")
+    got = asof_join(lf, rf, ["k"], "t", "rt", ["rm"], strict=True, chunk=by_seconds(seconds))
+    want = [(m, max((r for r in right if r < m), default=None)) for m in left]
+    assert rows(got.select("m", "rm"), "m") == want

@@ -70,3 +70,18 @@ def test_carry_close_skips_unknown_closes(spark):
     assert rows(got.select("date", "pre_close"), "date") == [
         (day("2024-01-01"), None), (day("2024-01-02"), 5.0), (day("2024-01-03"), 5.0)
     ]
+
+
+@pytest.mark.parametrize("width", [1, 4, 366])
+def test_carry_close_equals_brute_force_across_chunks(spark, width):
+    rng = random.Random(width)
+    closes = {(k, d): rng.choice([None, rng.random()]) for k in ("hot", "b") for d in rng.sample(range(60), 40)}
+    df = spark.createDataFrame([(k, d, c) for (k, d), c in closes.items()], "code string, n int, close double").withColumn(
+        "date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("n"))
+    )
+    got = {(r.code, r.n): r.pre_close for r in carry_close(df, chunk=by_days(width)).collect()}
+    want = {}
+    for k, d in closes:
+        before = [x for (kk, x), c in closes.items() if kk == k and x < d and c is not None]
+        want[(k, d)] = closes[(k, max(before))] if before else None
+    assert got == want
