@@ -181,7 +181,7 @@ def _subset_sql() -> str:
 @query(_subset_sql())
 def merge_subset(s: Shapes) -> DataFrame:
     raw = report_raw(s)
-    stored = finance_report(raw).selectExpr("*", f"{STAMP_OLD} AS updated_at")
+    stored = finance_report(raw).drop("field_count").selectExpr("*", f"{STAMP_OLD} AS updated_at")
     doubled = raw.withColumn("fields", F.expr("transform(fields, x -> x * 2)"))
     merged = loads.load_finance(stored, finance_report(doubled, width=120), NOW)
     return merged.select("code", "report_date", *SUBSET, "updated_at")
@@ -261,3 +261,19 @@ def concat_sources(s: Shapes) -> DataFrame:
         orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice", "o_orderpriority"),
         orders.where("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice", "o_custkey"),
     ])
+
+
+@query(f"""SELECT code, report_date, CASE WHEN old THEN 2 ELSE 3 END * v1 AS eps, CASE WHEN year(report_date) < 1998 AND old THEN 1 ELSE 3 END * v304 AS rd_expense,
+  {NEW_TS} AS updated_at FROM (
+  SELECT lpad(l_suppkey::varchar, 6, '0') AS code, report_date, year(report_date) < 1998 AS old, CASE WHEN (l_suppkey + 1) % 29 <> 0 THEN (l_suppkey + month(report_date)) % 1000 / 8 END AS v1,
+         CASE WHEN (l_suppkey + 304) % 29 <> 0 THEN (l_suppkey * 304 + month(report_date)) % 1000 / 8 END AS v304 FROM {REPORTS})""")
+def merge_mixed_layouts(s: Shapes) -> DataFrame:
+    """Short rows replace only the fields they carry; full rows replace all, NULLs included."""
+    raw = report_raw(s)
+    full = raw.withColumn("fields", F.expr(
+        """transform(sequence(1, 320), n -> CASE WHEN (CAST(code AS BIGINT) + n) % 29 = 0 THEN CAST('NaN' AS FLOAT)
+           ELSE CAST((CAST(code AS BIGINT) * n + month(report_date)) % 1000 / 8 AS FLOAT) END)"""
+    ))
+    stored = finance_report(full).drop("field_count").selectExpr("*", f"{STAMP_OLD} AS updated_at")
+    batch = finance_report(raw.withColumn("fields", F.expr("transform(fields, x -> x * IF(size(fields) = 120, 2, 3))")))
+    return loads.load_finance(stored, batch, NOW).select("code", "report_date", "eps", "rd_expense", "updated_at")

@@ -36,6 +36,7 @@ def merge_keyed(
     only_if_changed: Sequence[str] | None = None,
     insert: bool = True,
     defaults: dict[str, object] | None = None,
+    carried_from: tuple[str, dict[str, int]] | None = None,
 ) -> DataFrame:
     """Merge ``updates`` into ``target`` on ``keys`` and return the whole merged table.
 
@@ -43,6 +44,10 @@ def merge_keyed(
     take ``defaults`` (else NULL) on inserted rows. ``only_if_changed`` leaves a stored row
     untouched unless one of those columns differs, NULLs compared as values.
     ``insert=False`` never adds keys. ``updates`` must be unique on ``keys``.
+
+    ``carried_from`` is for batches that mix layouts: it names a batch column and, per owned
+    column, the least value of it from which a row carries that column. A row that does not
+    carry a column leaves the stored value, while a carried NULL is merged by its rule.
     """
     unknown = {r for r in rules.values()} - set(RULES)
     if unknown:
@@ -62,6 +67,7 @@ def merge_keyed(
         *[f"CAST({_id(k)} AS {types[k]}) AS {_id(k)}" for k in keys],
         *[f"CAST({_id(c)} AS {types[c]}) AS {_id('_u_' + c)}" for c in types if c in carried],
         "true AS _u",
+        *([f"{_id(carried_from[0])} AS _layout"] if carried_from else []),
     )
     joined = stored.join(batch, list(keys), "full" if insert else "left")
 
@@ -77,6 +83,8 @@ def merge_keyed(
         old, new, rule = _id("_t_" + c), _id("_u_" + c), rules.get(c)
         stamp = f"TIMESTAMP_NTZ '{now.isoformat(sep=' ')}'" if now is not None else "localtimestamp()"
         default = _sql_literal((defaults or {}).get(c))
+        needed = carried_from[1].get(c) if carried_from else None
+        owned = applies if needed is None else f"({applies}) AND _layout >= {needed}"
         if rule == NOW:
             value = f"CASE WHEN {applies} THEN {stamp} ELSE {old} END"
         elif rule == KEEP:
@@ -84,9 +92,9 @@ def merge_keyed(
         elif rule is None or c not in carried:  # not owned, or owned but absent from this batch
             value = f"CASE WHEN _t THEN {old} ELSE {default} END"
         elif rule == COALESCE:
-            value = f"CASE WHEN {applies} THEN coalesce({new}, {old}) ELSE {old} END"
+            value = f"CASE WHEN {owned} THEN coalesce({new}, {old}) ELSE {old} END"
         else:
-            value = f"CASE WHEN {applies} THEN {new} ELSE {old} END"
+            value = f"CASE WHEN {owned} THEN {new} ELSE {old} END"
         out.append(f"CAST({value} AS {types[c]}) AS {_id(c)}")
     return joined.selectExpr(*out)
 

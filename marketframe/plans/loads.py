@@ -100,5 +100,9 @@ def load_margin_detail(stored: DataFrame, batch: DataFrame, now: dt.datetime) ->
 
 
 def load_finance(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
-    """Only the report columns the batch carries are replaced."""
-    return merge_present(stored, batch, ["code", "report_date"], list(REPORT_FIELDS.values()), now=now)
+    """Only the report columns a batch carries are replaced, per row where layouts are mixed."""
+    layout = None
+    if "field_count" in batch.columns:
+        layout = ("field_count", {name: number for number, name in REPORT_FIELDS.items()})
+    columns = list(REPORT_FIELDS.values())
+    return merge_present(stored, batch, ["code", "report_date"], columns, now=now, carried_from=layout)

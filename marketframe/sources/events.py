@@ -209,16 +209,16 @@ def industry_history(raw: DataFrame, order: str) -> DataFrame:
 
 
 def finance_report(decoded: DataFrame, codes: str | Sequence[str] | None = None, width: int | None = None) -> DataFrame:
-    """Named report columns from (report_date, code, fields); NULL where a file has fewer fields.
+    """Named report columns from (report_date, code, fields), plus each row's ``field_count``.
 
-    ``width`` names how many fields the files of this batch carry; columns past it are left
-    out, so that a merge of the present columns keeps what an earlier batch stored.
+    A field past the end of a row's layout is NULL; ``field_count`` lets a merge tell that
+    from a reported NULL. ``width`` leaves out the columns past a known layout altogether.
     """
     require_columns(decoded, ["report_date", "code", "fields"], "decoded report")
-    wanted = decoded.where(in_codes(F.col("code"), codes))
-    named = []
-    for number, name in REPORT_FIELDS.items():
-        if width is None or number <= width:
-            value = F.try_element_at("fields", F.lit(number)).cast("double")
-            named.append(F.when(~F.isnan(value), value).alias(name))
-    return wanted.select("code", "report_date", *named)
+    named = [
+        f"CAST(nullif(try_element_at(fields, {number}), CAST('NaN' AS FLOAT)) AS DOUBLE) AS {name}"
+        for number, name in REPORT_FIELDS.items() if width is None or number <= width
+    ]
+    return decoded.where(in_codes(F.col("code"), codes)).selectExpr(
+        "code", "report_date", *named, "size(fields) AS field_count"
+    )

@@ -162,7 +162,7 @@ def test_report_fields_get_names(spark):
     row = events.finance_report(raw).first()
     assert (row.eps, row.eps_deduct, row.bps, row.net_profit) == (1.25, None, 12.5, None)
     narrow = events.finance_report(raw, codes="000001,000002", width=4)
-    assert narrow.columns == ["code", "report_date", "eps", "eps_deduct", "undist_profit_ps", "bps"] and narrow.count() == 1
+    assert narrow.columns == ["code", "report_date", "eps", "eps_deduct", "undist_profit_ps", "bps", "field_count"] and narrow.count() == 1
     assert events.finance_report(raw, codes="600000").count() == 0
     with pytest.raises(ValueError, match="code"):
         events.finance_report(raw.drop("code"))
