@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import NOT_TRADED_AS_SHARE, SHARE_BOARDS, in_boards, in_codes, in_exchanges, not_in_boards
@@ -32,86 +32,96 @@ SHARES_PER_WAN = 10000
 
 
 @dataclass(frozen=True)
-class LimitRule:
-    """Rates for a board from a date on; the first rule that matches a row decides."""
+class LimitRegime:
+    """Rates of a board from a day on, until the board's next regime.
+
+    In order: no limits up to listing day ``free_days``; own rates on listing day one; the
+    rate of specially treated (ST) securities; the board's rate. None means not applicable.
+    """
 
     board: str
-    since: str | None
-    first_days: int | None  # applies to listing days up to this one
-    day_one: bool
-    special: bool           # applies to specially treated (ST) securities only
-    up: float
-    down: float | None = None
-
-
-# Dated limit rules; within a board the newest regime comes first.
-LIMIT_RULES = (
-    LimitRule("STAR", None, 5, False, False, 0.0),
-    LimitRule("STAR", None, None, False, False, 0.2),
-    LimitRule("GEM", "2020-08-24", 5, False, False, 0.0),
-    LimitRule("GEM", "2020-08-24", None, False, False, 0.2),
-    LimitRule("GEM", None, None, True, False, 0.44, 0.36),
-    LimitRule("GEM", None, None, False, False, 0.1),
-    LimitRule("BJ", None, None, True, False, 0.0),
-    LimitRule("BJ", None, None, False, False, 0.3),
-    LimitRule("MAIN", "2026-07-06", 5, False, False, 0.0),
-    LimitRule("MAIN", "2026-07-06", None, False, False, 0.1),
-    LimitRule("MAIN", "2023-04-10", 5, False, False, 0.0),
-    LimitRule("MAIN", "2023-04-10", None, False, True, 0.05),
-    LimitRule("MAIN", "2023-04-10", None, False, False, 0.1),
-    LimitRule("MAIN", None, None, True, False, 0.44, 0.36),
-    LimitRule("MAIN", None, None, False, True, 0.05),
-    LimitRule("MAIN", None, None, False, False, 0.1),
+    since: str
+    rate: float
+    free_days: int | None = None
+    day_one_up: float | None = None
+    day_one_down: float | None = None
+    special_rate: float | None = None
+
+
+# Dated limit regimes per board, oldest first.
+LIMIT_REGIMES = (
+    LimitRegime("STAR", "0001-01-01", 0.2, free_days=5),
+    LimitRegime("GEM", "0001-01-01", 0.1, day_one_up=0.44, day_one_down=0.36),
+    LimitRegime("GEM", "2020-08-24", 0.2, free_days=5),
+    LimitRegime("BJ", "0001-01-01", 0.3, day_one_up=0.0, day_one_down=0.0),
+    LimitRegime("MAIN", "0001-01-01", 0.1, day_one_up=0.44, day_one_down=0.36, special_rate=0.05),
+    LimitRegime("MAIN", "2023-04-10", 0.1, free_days=5, special_rate=0.05),
+    LimitRegime("MAIN", "2026-07-06", 0.1, free_days=5),
 )
 
 
-def _rule_applies(rule: LimitRule, board: Column, day: Column, listed_days: Column, is_st: Column) -> Column:
-    condition = board == rule.board
-    if rule.since:
-        condition = condition & (day >= F.lit(rule.since).cast("date"))
-    if rule.first_days is not None:
-        condition = condition & (listed_days <= rule.first_days)
-    if rule.day_one:
-        condition = condition & (listed_days == 1)
-    if rule.special:
-        condition = condition & (is_st == 1)
-    return condition
-
-
-def limit_rates(board: Column, day: Column, list_date: Column, is_st: Column) -> tuple[Column, Column]:
-    """(up, down) rates under the dated rules; listing age counts calendar days."""
-    listed_days = F.datediff(day, list_date) + 1
-    st = F.coalesce(is_st, F.lit(0))
-    matches = [(_rule_applies(r, board, day, listed_days, st), r) for r in LIMIT_RULES]
-    up = F.coalesce(*[F.when(m, F.lit(r.up)) for m, r in matches])
-    down = F.coalesce(*[F.when(m, F.lit(r.up if r.down is None else r.down)) for m, r in matches])
-    return up, down
-
-
-def limit_columns(
-    board: Column, up: Column, down: Column, close: Column, pre_close: Column
-) -> dict[str, Column]:
-    """Limit prices and at-limit flags. The Beijing board rounds inward to whole cents."""
+def limit_regimes(spark: SparkSession) -> DataFrame:
+    """The regimes as a table with half-open day ranges: one row each, a handful in all."""
+    def text(value: object) -> str:
+        return "NULL" if value is None else repr(value)
+
+    lines = []
+    for r in LIMIT_REGIMES:
+        until = min((n.since for n in LIMIT_REGIMES if n.board == r.board and n.since > r.since), default="9999-12-31")
+        lines.append(
+            f"('{r.board}', DATE '{r.since}', DATE '{until}', CAST({r.rate} AS DOUBLE), CAST({text(r.free_days)} AS INT), "
+            + ", ".join(f"CAST({text(v)} AS DOUBLE)" for v in (r.day_one_up, r.day_one_down, r.special_rate)) + ")"
+        )
+    return spark.sql(
+        f"SELECT * FROM VALUES {', '.join(lines)} AS "
+        "t(_board, _since, _until, _rate, _free_days, _day_one_up, _day_one_down, _special_rate)"
+    )
+
+
+def with_limit_rates(rows: DataFrame) -> DataFrame:
+    """Add ``_up`` and ``_down`` rates to rows with _board, _list_date, trade_date and is_st.
+
+    Every row meets exactly one regime of its board. Listing age counts calendar days.
+    """
+    regimes = F.broadcast(limit_regimes(rows.sparkSession).withColumnRenamed("_board", "_regime_board"))
+    in_force = (
+        (F.col("_board") == F.col("_regime_board"))
+        & (F.col("trade_date") >= F.col("_since")) & (F.col("trade_date") < F.col("_until"))
+    )
+    age = F.datediff("trade_date", "_list_date") + 1
+
+    def rate(day_one: str) -> Column:
+        return (
+            F.when(F.col("_age") <= F.col("_free_days"), F.lit(0.0))
+            .when((F.col("_age") == 1) & F.col(day_one).isNotNull(), F.col(day_one))
+            .when((F.col("is_st") == 1) & F.col("_special_rate").isNotNull(), F.col("_special_rate"))
+            .otherwise(F.col("_rate"))
+        )
+
+    dated = rows.join(regimes, in_force, "left").withColumn("_age", age)
+    return dated.withColumns({"_up": rate("_day_one_up"), "_down": rate("_day_one_down")})
+
+
+def limit_prices(board: Column, up: Column, down: Column, pre_close: Column) -> tuple[Column, Column]:
+    """(upper, lower) limit price. The Beijing board rounds inward to whole cents."""
     raised, lowered = pre_close * (1 + up), pre_close * (1 - down)
-    free = up == 0
-    inward = board == "BJ"
-    limit_up = (
+    free, inward = up == 0, board == "BJ"
+    upper = (
         F.when(free, F.lit(UNLIMITED_UP))
         .when(inward, F.floor(raised * 100 + CENT_GUARD).cast("double") / 100)
         .otherwise(round_at(raised + HALF_UP_GUARD, 2))
     )
-    limit_down = (
+    lower = (
         F.when(free, F.lit(UNLIMITED_DOWN))
         .when(inward, F.ceil(lowered * 100 - CENT_GUARD).cast("double") / 100)
         .otherwise(round_at(lowered + HALF_UP_GUARD, 2))
     )
-    shown = round_at(close + HALF_UP_GUARD, 2)
-    return {
-        "limit_up": limit_up,
-        "limit_down": limit_down,
-        "is_limit_up": F.when(~free & (shown == limit_up), 1).otherwise(0),
-        "is_limit_down": F.when(~free & (shown == limit_down), 1).otherwise(0),
-    }
+    return upper, lower
+
+
+def at_limit(shown: Column, up: Column, limit: Column) -> Column:
+    """1 when the close as shown equals the limit; a day without limits never counts."""
+    return F.when((up != 0) & (shown == limit), 1).otherwise(0)
 
 
 def _scope(
@@ -137,10 +147,13 @@ def _bars(bars: DataFrame, begin, end, *columns: str) -> DataFrame:
 def _set_where(df: DataFrame, condition: Column, values: dict[str, Column], columns: list[str]) -> DataFrame:
     """Assign computed columns on matching rows and restore the stored layout."""
     types = dict(df.dtypes)
-    hit = F.coalesce(condition, F.lit(False))
-    return df.withColumns(
-        {c: F.when(hit, v).otherwise(F.col(c)).cast(types[c]) for c, v in values.items()}
-    ).select(*columns)
+    decided = df.withColumn("_hit", F.coalesce(condition, F.lit(False)))
+    return decided.select(
+        *[
+            F.when(F.col("_hit"), values[c]).otherwise(F.col(c)).cast(types[c]).alias(c) if c in values else F.col(c)
+            for c in columns
+        ]
+    )
 
 
 def fill_price_limits(
@@ -162,11 +175,20 @@ def fill_price_limits(
         _attributes(master, eligible, F.col("board").alias("_board"), F.col("list_date").alias("_list_date")),
         "code", "left",
     )
-    up, down = limit_rates(F.col("_board"), F.col("trade_date"), F.col("_list_date"), F.col("is_st"))
-    rated = rows.withColumns({"_up": up, "_down": down})
-    values = limit_columns(F.col("_board"), F.col("_up"), F.col("_down"), F.col("_close"), F.col("_pre_close"))
+    # Rates, then prices, then flags: each step reads the columns of the one before, so that
+    # no expression is computed twice.
+    rated = with_limit_rates(rows)
+    upper, lower = limit_prices(F.col("_board"), F.col("_up"), F.col("_down"), F.col("_pre_close"))
+    shown = round_at(F.col("_close") + HALF_UP_GUARD, 2)
+    priced = rated.withColumns({"_upper": upper, "_lower": lower, "_shown": shown})
+    values = {
+        "limit_up": F.col("_upper"),
+        "limit_down": F.col("_lower"),
+        "is_limit_up": at_limit(F.col("_shown"), F.col("_up"), F.col("_upper")),
+        "is_limit_down": at_limit(F.col("_shown"), F.col("_up"), F.col("_lower")),
+    }
     return outside.unionByName(
-        _set_where(rated, F.col("_traded") & F.col("_eligible"), values, basic.columns)
+        _set_where(priced, F.col("_traded") & F.col("_eligible"), values, basic.columns)
     )
 
 

@@ -216,7 +216,7 @@ def finance_report(decoded: DataFrame, codes: str | Sequence[str] | None = None,
     """
     require_columns(decoded, ["report_date", "code", "fields"], "decoded report")
     named = [
-        f"CAST(nullif(try_element_at(fields, {number}), CAST('NaN' AS FLOAT)) AS DOUBLE) AS {name}"
+        f"nanvl(CAST(get(fields, {number - 1}) AS DOUBLE), CAST(NULL AS DOUBLE)) AS {name}"
         for number, name in REPORT_FIELDS.items() if width is None or number <= width
     ]
     return decoded.where(in_codes(F.col("code"), codes)).selectExpr(
