@@ -77,7 +77,7 @@ def day_files(s: Shapes) -> DataFrame:
 
     cents = ", ".join(f"CAST(round({p} * 100) AS BIGINT) AS {p}" for p in ("open", "high", "low", "close"))
     grouped = s.bars().selectExpr(
-        "concat('/vipdoc/', year(date), '/', lower(substring(code, -2)), substring_index(code, '.', 1), '.day') AS path",
+        "concat('/bars/', year(date), '/', lower(substring(code, -2)), substring_index(code, '.', 1), '.day') AS path",
         f"struct(CAST(date_format(date, 'yyyyMMdd') AS BIGINT) AS date, {cents}, volume, CAST(amount AS FLOAT) AS amount) AS record",
     ).groupBy("path").agg(F.sort_array(F.collect_list("record")).alias("records"))
     return grouped.mapInPandas(encode, "path string, content binary")
@@ -108,7 +108,7 @@ def report_files(s: Shapes) -> DataFrame:
             yield pd.DataFrame({"path": batch["path"], "content": contents})
 
     grouped = report_raw(s).selectExpr(
-        "concat('/cw/', CAST(code AS BIGINT) div 200, '/gpcw', date_format(report_date, 'yyyyMMdd'), '.dat') AS path",
+        "concat('/reports/', CAST(code AS BIGINT) div 200, '/gpcw', date_format(report_date, 'yyyyMMdd'), '.dat') AS path",
         "struct(code, fields) AS stock",
     ).groupBy("path").agg(F.collect_list("stock").alias("stocks"))
     return grouped.mapInPandas(encode, "path string, content binary")

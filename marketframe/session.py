@@ -41,11 +41,13 @@ def local_session(cores: int = 8, app: str = "marketframe", memory: str = "8g")
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute a result once and cut its lineage, in the folder the cluster names.
 
-    A temporary folder is set only where the session names none, as in tests. The files are
-    in shared storage, so losing an executor loses nothing.
+    The files are in shared storage, so losing an executor loses nothing. Only a local session
+    without a folder of its own gets a temporary one.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
     return df.checkpoint()
