@@ -5,12 +5,13 @@ import io
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from bridge.registry import all_queries, all_sql
 from marketframe.operators.fills import fill_turnover
 from tools.compare import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = queries(), oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()
 
 
 @pytest.fixture(scope="session")
