@@ -8,13 +8,32 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .exact import group_table
+from .langid import identify
 from .mixing import with_repeats
 from .registry import query
 from .sharding import shard_table
+from .tokens import tokenize_documents
 
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_language")
+def op1(spark, sf_dir):
+    return identify(documents(spark, sf_dir))
+
+
+@query("op3_tokens")
+def op3(spark, sf_dir):
+    return tokenize_documents(documents(spark, sf_dir), tokenizer_file())
+
+
 @query("op5_exact_dedup", f"""
     WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256, {_LOWER} AS content FROM documents),
     g AS (SELECT *, max(doc_id) OVER (PARTITION BY content) AS keep_id, count(*) OVER (PARTITION BY content) AS group_size FROM d)
