@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import documents
 from .exact import group_table
+from .jaccard import component_table
 from .langid import identify
 from .mixing import with_repeats
 from .registry import query
@@ -34,6 +35,27 @@ def op3(spark, sf_dir):
     return tokenize_documents(documents(spark, sf_dir), tokenizer_file())
 
 
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+
+@query("op4_jaccard", f"""
+    WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(words) >= 5 THEN list_sort(list_distinct(list_transform(range(1, len(words) - 3),
+                 lambda i: array_to_string(words[i:i + 4], ' ')))) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END AS found FROM w),
+    c AS (SELECT min(doc_id) AS first, found FROM s WHERE len(found) > 0 GROUP BY found),
+    e AS (SELECT first, len(found) AS n, unnest(found) AS shingle FROM c),
+    p AS (SELECT a.first AS x, b.first AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS met
+          FROM e a JOIN e b ON a.shingle = b.shingle AND a.first < b.first GROUP BY 1, 2),
+    k AS (SELECT x, y FROM p WHERE 100 * met >= 80 * (nx + ny - met)),
+    l AS (SELECT x, y FROM k UNION ALL SELECT y, x FROM k),
+    r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+    m AS (SELECT x, min(y) AS least FROM r GROUP BY x)
+    SELECT s.doc_id, len(s.found)::BIGINT AS n_shingles, coalesce(least(c.first, m.least), c.first, s.doc_id) AS component_id
+    FROM s LEFT JOIN c ON s.found = c.found LEFT JOIN m ON m.x = c.first""")
+def op4(spark, sf_dir):
+    return component_table(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 @query("op5_exact_dedup", f"""
     WITH d AS (SELECT doc_id, sha256({_LOWER}) AS text_sha256, {_LOWER} AS content FROM documents),
     g AS (SELECT *, max(doc_id) OVER (PARTITION BY content) AS keep_id, count(*) OVER (PARTITION BY content) AS group_size FROM d)
