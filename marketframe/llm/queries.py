@@ -7,6 +7,7 @@ import string
 from pyspark.sql import functions as F
 
 from .common import documents
+from .decontaminate import find_leaks
 from .exact import group_table
 from .jaccard import component_table
 from .langid import identify
@@ -97,3 +98,8 @@ def op6(spark, sf_dir):
 def op10(spark, sf_dir):
     rows, at = with_repeats(documents(spark, sf_dir).select("doc_id", "text", "source"))
     return rows.select("doc_id", at["size"], at["source_size"], at["target"], (F.col(at["size"]) * F.col(at["repeats"])).alias("taken"))
+
+
+@query("op8_decontaminate")
+def op8(spark, sf_dir):
+    return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
