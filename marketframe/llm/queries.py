@@ -13,6 +13,7 @@ from .jaccard import component_table
 from .langid import identify
 from .mixing import with_repeats
 from .registry import query
+from .repeats import repeated_passages
 from .sharding import shard_table
 from .tokens import tokenize_documents
 
@@ -103,3 +104,8 @@ def op10(spark, sf_dir):
 @query("op8_decontaminate")
 def op8(spark, sf_dir):
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query("op9_repeats")
+def op9(spark, sf_dir):
+    return repeated_passages(documents(spark, sf_dir))
