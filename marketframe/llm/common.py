@@ -5,7 +5,10 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -67,3 +70,15 @@ def own_columns(df: DataFrame, *names: str) -> list[str]:
 
 def rows_before(partition: list, order: list) -> Window:
     return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces whose texts have about size bytes; a longer text is a piece of its own."""
+    ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_pylist()
+    start = base = 0
+    for i, end in enumerate(ends):
+        if end - base > size and i > start:
+            yield batch.slice(start, i - start)
+            start, base = i, ends[i - 1]
+    if len(ends) > start:
+        yield batch.slice(start)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import own_columns, staged
+from .common import own_columns, slices, staged
 from .components import components
 
 WIDTH = 5
@@ -84,21 +84,13 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
-    held, size = [], 0
-    for text in texts:
-        text = text or ""
-        if held and size + len(text) > _CHUNK_BYTES:
-            yield held
-            held, size = [], 0
-        held.append(text)
-        size += len(text)
-    if held:
-        yield held
+def _chunks(batch: pa.RecordBatch) -> Iterator[list[str]]:
+    for part in slices(batch, "text", _CHUNK_BYTES):
+        yield [t or "" for t in part.column("text").to_pylist()]
 
 
-def sets_of(column: pa.Array) -> Iterator[np.ndarray]:
-    for chunk in _chunks(column.to_pylist()):
+def sets_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for chunk in _chunks(batch):
         yield from shingle_sets(chunk)
 
 
@@ -110,7 +102,7 @@ def _frequent_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     """Shingles that several distinct sets of a chunk hold, the most frequent ones, with their counts."""
     seen: set[int] = set()
     for batch in batches:
-        for chunk in _chunks(batch.column("text").to_pylist()):
+        for chunk in _chunks(batch):
             fresh = []
             for found in shingle_sets(chunk):
                 name = _class_of(found)
@@ -137,7 +129,7 @@ def _profile_batches(frequent):
         seen: set[int] = set()
         for batch in batches:
             classes, sizes, prefixes = [], [], []
-            for found in sets_of(batch.column("text")):
+            for found in sets_of(batch):
                 name = _class_of(found)
                 classes.append(name)
                 sizes.append(len(found))
@@ -173,7 +165,7 @@ def _measure_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     for batch in batches:
         hubs, members = batch.column("hub").to_pylist(), batch.column("class").to_pylist()
         out = []
-        for hub, member, found in zip(hubs, members, sets_of(batch.column("text"))):
+        for hub, member, found in zip(hubs, members, sets_of(batch)):
             if hub == member:
                 current = found
                 continue
@@ -194,11 +186,36 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     dealt = pairs.join(counts, "hub").select(
         "hub", F.pmod(F.xxhash64("class"), F.ceil(F.col("members") / MEMBERS_PER_TASK)).alias("part"), "class", F.lit(1).alias("kind"))
     own = dealt.select("hub", "part").distinct().select("hub", "part", F.col("hub").alias("class"), F.lit(0).alias("kind"))
-    rows = dealt.union(own).join(texts, "class").select("hub", "part", "kind", "class", "text")
+    rows = _broadcast_small(dealt.union(own)).join(texts, "class").select("hub", "part", "kind", "class", "text")
     rows = rows.repartition("hub", "part").sortWithinPartitions("hub", "part", "kind")
     return rows.select("hub", "class", "text").mapInArrow(_measure_batches, "hub bigint, class bigint, linked boolean, distance double")
 
 
+def possible(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Of distinct pairs (hub, class) hub, class, bound (the least distance they can have) and maybe (a link is possible).
+
+    heads has per class its size n and the regions it shares with others. A common shingle is a
+    common region, or it lies past the regions of one of the two; that bounds the overlap.
+    """
+    own = heads.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"), F.col("heads").alias("hub_heads"))
+    joined = _broadcast_small(pairs).join(heads, "class").join(own, "hub")
+
+    def past(n: str):
+        return F.expr(f"{n} - ({n} - int(ceil({n} * {PERCENT} / 100.0)) + 1)")
+
+    most = F.size(F.array_intersect("heads", "hub_heads")) + F.greatest(past("n"), past("hub_n"))
+    most = F.least(most, F.col("n"), F.col("hub_n"))
+    sized = joined.withColumn("most", most)
+    union = F.col("n") + F.col("hub_n") - F.col("most")
+    return sized.select("hub", "class", (1 - F.col("most") / union).alias("bound"), (100 * F.col("most") >= PERCENT * union).alias("maybe"))
+
+
+def _broadcast_small(rows: DataFrame) -> DataFrame:
+    """rows, written once, and broadcast if there are few enough of them."""
+    rows = staged(rows, "small")
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _close(a: str, b: str):
     """Sizes allow a link."""
     return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
@@ -217,6 +234,15 @@ def _sized(regions: DataFrame) -> DataFrame:
     return regions.join(counts, "token")
 
 
+def _measured_links(pairs: DataFrame, heads: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of distinct pairs the distances (a lower bound where no link is possible) and the links (u, v)."""
+    checked = staged(possible(pairs, heads), "checked")
+    exact = measured(checked.filter("maybe").select("hub", "class"), texts)
+    far = checked.filter("NOT maybe").select("hub", "class", F.lit(False).alias("linked"), F.col("bound").alias("distance"))
+    result = staged(exact.union(far), "measured")
+    return result, result.filter("linked").select(F.col("hub").alias("u"), F.col("class").alias("v"))
+
+
 def links(regions: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (u, v) between classes that give the exact components; regions holds token, class, n.
 
@@ -224,13 +250,13 @@ def links(regions: DataFrame, texts: DataFrame) -> DataFrame:
     logarithmic even where a region's members have nothing in common but its shingle.
     """
     found, pivots = None, 1
+    heads = staged(regions.groupBy("class", "n").agg(F.collect_list("token").alias("heads")), "heads")
     regions = staged(_sized(regions), "regions")
     while not regions.isEmpty():
         pairs = _leaf_pairs(regions.filter(F.col("members") <= LEAF).drop("members"))
         large = regions.filter(F.col("members") > LEAF)
         if large.isEmpty():
-            result = staged(measured(pairs.distinct(), texts), "measured")
-            linked = result.filter("linked").select(F.col("hub").alias("u"), F.col("class").alias("v"))
+            _, linked = _measured_links(pairs.distinct(), heads, texts)
             return found.union(linked) if found is not None else linked
         # Central sets meet many others: they lie close to most of their group.
         weights = large.groupBy("class").agg(F.sum("members").alias("weight"))
@@ -240,8 +266,7 @@ def links(regions: DataFrame, texts: DataFrame) -> DataFrame:
         met = large.join(chosen, "token").filter("class <> pivot")
         both_ways = met.filter(_close("n", "pivot_n")).join(chosen.select("token", F.col("pivot").alias("class"), F.lit(True).alias("also")), ["token", "class"], "left")
         star = both_ways.filter("also IS NULL OR pivot < class").select(F.col("pivot").alias("hub"), "class")
-        result = staged(measured(pairs.union(star).distinct(), texts), "measured")
-        linked = result.filter("linked").select(F.col("hub").alias("u"), F.col("class").alias("v"))
+        result, linked = _measured_links(pairs.union(star).distinct(), heads, texts)
         found = linked if found is None else found.union(linked)
         either = result.union(result.select(F.col("class"), F.col("hub"), "linked", "distance")).toDF("pivot", "class", "linked", "distance").distinct()
         # A pair that was not measured is at least as far apart as its sizes are.
@@ -263,11 +288,14 @@ def links(regions: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """class and text of the representatives in wanted (class, doc_id, text_hash)."""
-    if wanted.count() <= BROADCAST_ROWS:
+    n_wanted = wanted.count()
+    if n_wanted <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     same = [rows["doc_id"].eqNullSafe(wanted["doc_id"]), rows["text_hash"] == wanted["text_hash"]]
-    return rows.join(wanted, same).groupBy("class").agg(F.min("text").alias("text"))
+    found = staged(rows.join(wanted, same).select("class", "text"), "class-texts")
+    # Rows that repeat one id and text are rare; only they cost a shuffle of the texts.
+    return found if found.count() == n_wanted else staged(found.groupBy("class").agg(F.min("text").alias("text")), "class-texts")
 
 
 def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -279,7 +307,7 @@ def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = regions.withColumns({"low": F.min("class").over(together), "high": F.max("class").over(together)}).filter("low <> high")
     shared = staged(shared.select("token", "class", "n").distinct(), "shared-regions")
     wanted = shared.select("class").distinct().join(classes, "class").select("class", "first.doc_id", "first.text_hash")
-    texts = staged(_class_texts(docs, staged(wanted, "wanted")), "class-texts")
+    texts = _class_texts(docs, staged(wanted, "wanted"))
     roots = components(links(shared, texts))
     joined = classes.select("class", F.col("first.doc_id").alias("first")).join(roots.withColumnRenamed("node", "class"), "class", "left")
     joined = joined.withColumn("root", F.coalesce("root", "class"))

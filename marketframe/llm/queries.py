@@ -11,6 +11,7 @@ from .decontaminate import find_leaks
 from .exact import group_table
 from .jaccard import component_table
 from .langid import identify
+from .licenses import license_table
 from .mixing import with_repeats
 from .registry import query
 from .repeats import repeated_passages
@@ -32,6 +33,11 @@ def op1(spark, sf_dir):
     return identify(documents(spark, sf_dir))
 
 
+@query("op2_licenses")
+def op2(spark, sf_dir):
+    return license_table(documents(spark, sf_dir))
+
+
 @query("op3_tokens")
 def op3(spark, sf_dir):
     return tokenize_documents(documents(spark, sf_dir), tokenizer_file())

@@ -18,11 +18,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, rows_before, staged
+from .common import fresh_path, rows_before, slices, staged
 
 END_ID = 2
 ORC_OPTIONS = {
-    "compression": "zstd",
+    "compression": "lz4",
     "orc.stripe.size": str(32 << 20),
     "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
@@ -35,7 +35,7 @@ _BETWEEN = r"([^a-z\s\x{DF}-\x{F6}\x{F8}-\x{FF}]+)"
 #: Words of texts with an apostrophe, by the tokenizer's own pre-tokenizer (fixed value).
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\s0-9a-zß-öø-ÿ]+")
 _MEMO_WORDS = 800_000
-_CHUNK_BYTES = 16 << 20
+_CHUNK_BYTES = 3 << 20
 
 
 class Encoder:
@@ -61,15 +61,18 @@ class Encoder:
 
     def _places(self, words: list[str]) -> np.ndarray:
         """Memo places of distinct words; absent ones are encoded."""
-        fresh = [w for w in words if w not in self.memo]
-        if len(self.memo) + len(fresh) > _MEMO_WORDS:
+        places = list(map(self.memo.get, words))
+        fresh = [w for w, p in zip(words, places) if p is None]
+        if fresh and len(self.memo) + len(fresh) > _MEMO_WORDS:
             self._reset()
-            fresh = words
-        letters = [w for w in fresh if w.isalpha()]
-        self._learn(letters, self._split(letters))
-        rest = [w for w in fresh if not w.isalpha()]
-        self._learn(rest, [x.ids for x in self.library.encode_batch_fast(rest, add_special_tokens=False)])
-        return np.fromiter((self.memo[w] for w in words), np.int64, len(words))
+            fresh, places = words, [None] * len(words)
+        if fresh:
+            letters = [w for w in fresh if w.isalpha()]
+            self._learn(letters, self._split(letters))
+            rest = [w for w in fresh if not w.isalpha()]
+            self._learn(rest, [x.ids for x in self.library.encode_batch_fast(rest, add_special_tokens=False)])
+            places = [self.memo[w] if p is None else p for w, p in zip(words, places)]
+        return np.array(places, np.int64)
 
     def _learn(self, words: list[str], ids: list) -> None:
         for word, found in zip(words, ids, strict=True):
@@ -136,27 +139,18 @@ def _encode_batches(path: str):
         encoder = _encoders[path]
         ordinal = 0
 
-        def flush(ids: list, texts: list[str]) -> pa.RecordBatch:
+        def flush(doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
             nonlocal ordinal
             rows = [np.append(x, np.int32(END_ID)) for x in encoder.encode(texts)]
             offsets = np.append(0, np.cumsum([len(x) for x in rows])).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows)))
             numbers = np.arange(ordinal, ordinal + len(rows), dtype=np.int64)
             ordinal += len(rows)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers), lists], ["doc_id", "ordinal", "ids"])
+            return pa.RecordBatch.from_arrays([doc_ids, pa.array(numbers), lists], ["doc_id", "ordinal", "ids"])
 
         for batch in batches:
-            ids, texts, size = [], [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                text = text or ""
-                if texts and size + len(text) > _CHUNK_BYTES:
-                    yield flush(ids, texts)
-                    ids, texts, size = [], [], 0
-                ids.append(doc_id)
-                texts.append(text)
-                size += len(text)
-            if texts:
-                yield flush(ids, texts)
+            for part in slices(batch, "text", _CHUNK_BYTES):
+                yield flush(part.column("doc_id"), [t or "" for t in part.column("text").to_pylist()])
 
     return run
 
