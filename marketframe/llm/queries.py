@@ -13,6 +13,7 @@ from .jaccard import component_table
 from .langid import identify
 from .licenses import license_table
 from .mixing import with_repeats
+from .pii import entity_table
 from .registry import query
 from .repeats import repeated_passages
 from .sharding import shard_table
@@ -107,6 +108,11 @@ def op10(spark, sf_dir):
     return rows.select("doc_id", at["size"], at["source_size"], at["target"], (F.col(at["size"]) * F.col(at["repeats"])).alias("taken"))
 
 
+@query("op7_pii")
+def op7(spark, sf_dir):
+    return entity_table(documents(spark, sf_dir))
+
+
 @query("op8_decontaminate")
 def op8(spark, sf_dir):
     return find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

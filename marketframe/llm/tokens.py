@@ -34,15 +34,33 @@ _OTHER = r"[^\t\n\r\x20-\x7E\x{C0}-\x{FF}]|<\|"
 _BETWEEN = r"([^a-z\s\x{DF}-\x{F6}\x{F8}-\x{FF}]+)"
 #: Words of texts with an apostrophe, by the tokenizer's own pre-tokenizer (fixed value).
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\s0-9a-zß-öø-ÿ]+")
-_MEMO_WORDS = 800_000
+_MEMO_WORDS = 2_000_000
 _CHUNK_BYTES = 3 << 20
 
 
+_BYTE_VALUES = np.random.default_rng(1).integers(1 << 63, size=(2, 256), dtype=np.uint64)
+_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def _word_hashes(words: pa.StringArray) -> list[np.ndarray]:
+    """Two 64-bit hashes of the bytes of each word."""
+    bounds = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[bounds[0]:bounds[-1]] if bounds[-1] > bounds[0] else np.zeros(0, np.uint8)
+    sizes = np.diff(bounds)
+    within = np.arange(len(data)) - np.repeat(bounds[:-1] - bounds[0], sizes)
+    out = []
+    for values, base in zip(_BYTE_VALUES, _BASES):
+        powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, base, np.uint64))
+        mixed = np.add.reduceat(values[data] * powers[within], bounds[:-1] - bounds[0]) + sizes.astype(np.uint64)
+        out.append(mixed ^ (mixed >> np.uint64(29)))
+    return out
+
+
 class Encoder:
     """Encodes batches with the tokenizers library, each distinct word once while the memo holds it.
 
     The library merges inside words only, so the ids of a text are those of its words in order.
-    The memo is cleared when full; a text with unusual characters or special-token marks is
+    The memo takes about 50 bytes a word and is cleared when full; a text with unusual characters or special-token marks is
     encoded by the library as a whole.
     """
 
@@ -56,29 +74,39 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.memo: dict[str, int] = {}
+        self.hashes, self.checks, self.place = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.flat, self.starts = array("i"), array("q", [0])
 
-    def _places(self, words: list[str]) -> np.ndarray:
-        """Memo places of distinct words; absent ones are encoded."""
-        places = list(map(self.memo.get, words))
-        fresh = [w for w, p in zip(words, places) if p is None]
-        if fresh and len(self.memo) + len(fresh) > _MEMO_WORDS:
+    def _places(self, words: pa.StringArray) -> np.ndarray:
+        """Memo places of distinct words, found by two 64-bit hashes; absent ones are encoded."""
+        first, second = _word_hashes(words)
+        places = np.full(len(words), -1, np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, first), len(self.hashes) - 1)
+            found = (self.hashes[at] == first) & (self.checks[at] == second)
+            places[found] = self.place[at[found]]
+        absent = np.flatnonzero(places < 0)
+        if not len(absent):
+            return places
+        if len(self.hashes) and len(self.hashes) + len(absent) > _MEMO_WORDS:
             self._reset()
-            fresh, places = words, [None] * len(words)
-        if fresh:
-            letters = [w for w in fresh if w.isalpha()]
-            self._learn(letters, self._split(letters))
-            rest = [w for w in fresh if not w.isalpha()]
-            self._learn(rest, [x.ids for x in self.library.encode_batch_fast(rest, add_special_tokens=False)])
-            places = [self.memo[w] if p is None else p for w, p in zip(words, places)]
-        return np.array(places, np.int64)
-
-    def _learn(self, words: list[str], ids: list) -> None:
-        for word, found in zip(words, ids, strict=True):
-            self.memo[word] = len(self.memo)
-            self.flat.extend(found)
-            self.starts.append(len(self.flat))
+            absent = np.arange(len(words))
+        fresh = np.array(words.take(pa.array(absent)).to_pylist(), object)
+        letters = np.array([w.isalpha() for w in fresh], bool)
+        for part, encode in ((letters, self._split), (~letters, self._each)):
+            new = absent[part]
+            places[new] = np.arange(len(self.starts) - 1, len(self.starts) - 1 + len(new))
+            for ids in encode(fresh[part].tolist()):
+                self.flat.extend(ids)
+                self.starts.append(len(self.flat))
+        order = absent[np.argsort(first[absent], kind="stable")]
+        at = np.searchsorted(self.hashes, first[order])
+        self.hashes, self.checks = np.insert(self.hashes, at, first[order]), np.insert(self.checks, at, second[order])
+        self.place = np.insert(self.place, at, places[order].astype(np.int32))
+        return places
+
+    def _each(self, words: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
     def _split(self, words: list[str], together: int = 100) -> list[list[int]]:
         """Ids of words of letters: encoded as one text, then cut after the ids that end a word."""
@@ -92,8 +120,7 @@ class Encoder:
     def _joined(self, words: pa.Array, bounds: np.ndarray) -> list[np.ndarray]:
         """Ids of the texts whose words stand between bounds."""
         coded = words.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        places = self._places(distinct) if distinct else np.zeros(0, np.int64)
+        places = self._places(coded.dictionary) if len(coded.dictionary) else np.zeros(0, np.int64)
         starts = np.frombuffer(self.starts, np.int64)
         codes = coded.indices.to_numpy()
         sizes, begin = np.diff(starts)[places][codes], starts[places][codes]
