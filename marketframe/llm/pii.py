@@ -106,7 +106,7 @@ def occurrences(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         return F.coalesce(found, F.array().cast(_OCCURRENCES))
 
     rows = plain.withColumn("base", F.concat(*[of_kind(i, k) for i, k in enumerate(KINDS)]).cast(_OCCURRENCES))
-    words = F.when(F.col("text").rlike(r"[:=#][\x20\x09-\x0D\"'(]*+[^\x20\x09-\x0D]*+[0-9@]"), _spans(F.col("text"), _CANDIDATE, lambda x: F.lit(True)))
+    words = F.when(F.col("text").rlike(r"[:=#][\x20\x09-\x0D\"'(]*+[^\x20\x09-\x0D0-9@]*+[0-9@]"), _spans(F.col("text"), _CANDIDATE, lambda x: F.lit(True)))
 
     def trimmed(s: Column) -> Column:
         raw = F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])

@@ -21,12 +21,16 @@ def query(name: str, sql: str | None = None):
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import corpus_pipeline
+
     from . import queries  # noqa: F401
 
-    return dict(_QUERIES)
+    return _QUERIES | {"pipeline": corpus_pipeline.run}
 
 
 def llm_sql() -> dict[str, str]:
+    import corpus_pipeline
+
     from . import queries  # noqa: F401
 
-    return dict(_SQL)
+    return _SQL | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
