@@ -14,6 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import own_columns
 
 BUCKETS = 1 << 14
 UNKNOWN = "und"
@@ -128,7 +131,8 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 counts[str(name)] = counts.get(str(name), 0) + row
     for name, row in counts.items():
         at = np.flatnonzero(row)
-        yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(at)), "bucket": at.astype(np.int32), "n": row[at]})
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(row[at], pa.int64())], ["lang", "bucket", "n"])
 
 
 def fit(docs: DataFrame, smoothing: float = 0.5) -> Model:
@@ -153,26 +157,23 @@ def fit(docs: DataFrame, smoothing: float = 0.5) -> Model:
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and score added as last columns; only text is read for them.
+    """docs with lang_pred and score as last columns (with trailing underscores if taken); only text is read for them.
 
     A null or empty text, or one without a letter, is 'und' with score 0, and so is everything
     when the model saw no language. Text is never cut. Rows repeat as they come. An empty table
-    stays empty. If docs has columns of these names, the caller renames them first.
+    stays empty.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    clash = {"lang_pred", "score"} & {c.lower() for c in docs.columns}
-    if clash:
-        raise ValueError(f"rename {sorted(clash)} first")
+    added = own_columns(docs, "lang_pred", "score")
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             names, score = held.value.score(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                [*batch.schema.names, "lang_pred", "score"])
+                [*batch.columns, pa.array(names, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, *added])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(batches, f"{kinds}, lang_pred string, score double")
+    kinds = [T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())]
+    return docs.mapInArrow(batches, T.StructType([*docs.schema.fields, *kinds]))
 
 
 def held_out(doc_id: str = "doc_id"):
