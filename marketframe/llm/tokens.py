@@ -7,6 +7,7 @@ large file is read by stripe in parallel.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -23,7 +24,7 @@ from .common import fresh_path, rows_before, slices, staged
 END_ID = 2
 ORC_OPTIONS = {
     "compression": "lz4",
-    "orc.stripe.size": str(32 << 20),
+    "orc.stripe.size": str(16 << 20),
     "orc.row.index.stride": "1000",
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
@@ -34,8 +35,8 @@ _OTHER = r"[^\t\n\r\x20-\x7E\x{C0}-\x{FF}]|<\|"
 _BETWEEN = r"([^a-z\s\x{DF}-\x{F6}\x{F8}-\x{FF}]+)"
 #: Words of texts with an apostrophe, by the tokenizer's own pre-tokenizer (fixed value).
 _WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\s0-9a-zß-öø-ÿ]+")
-_MEMO_WORDS = 2_000_000
-_CHUNK_BYTES = 3 << 20
+_MEMO_WORDS = 600_000
+_CHUNK_BYTES = 1 << 20
 
 
 _BYTE_VALUES = np.random.default_rng(1).integers(1 << 63, size=(2, 256), dtype=np.uint64)
@@ -65,6 +66,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks share the cores already
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -125,7 +127,8 @@ class Encoder:
         codes = coded.indices.to_numpy()
         sizes, begin = np.diff(starts)[places][codes], starts[places][codes]
         ends = np.append(0, np.cumsum(sizes))
-        at = np.repeat(begin - ends[:-1], sizes) + np.arange(ends[-1])
+        at = np.repeat((begin - ends[:-1]).astype(np.int32), sizes)
+        at += np.arange(len(at), dtype=np.int32)
         ids = np.frombuffer(self.flat, np.int32)[at] if len(at) else np.zeros(0, np.int32)
         cuts = ends[bounds]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
