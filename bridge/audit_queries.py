@@ -163,7 +163,7 @@ def xdr_uncomputable(s: Shapes) -> DataFrame:
 
 
 @query("""WITH
-lines AS (SELECT lpad(l_orderkey::varchar, 6, '0') AS code, l_shipdate::date AS date, l_linenumber % 4 - 1 AS tradestatus FROM lineitem),
+lines AS (SELECT lpad(l_orderkey::varchar, CAST(greatest(6, length(l_orderkey::varchar)) AS INT), '0') AS code, l_shipdate::date AS date, l_linenumber % 4 - 1 AS tradestatus FROM lineitem),
 repeated AS (SELECT code, date FROM lines GROUP BY code, date HAVING count(*) > 1)
 SELECT 'stock_daily' AS table_name, 'not_null' AS rule, 'code' AS column_name, count(*) FILTER (code IS NULL) AS violations FROM lines
 UNION ALL SELECT 'stock_daily', 'not_null', 'date', count(*) FILTER (date IS NULL) FROM lines
@@ -171,7 +171,7 @@ UNION ALL SELECT 'stock_daily', 'domain', 'tradestatus', count(*) FILTER (trades
 UNION ALL SELECT 'stock_daily', 'unique', 'code,date', (SELECT count(*) FROM repeated)""")
 def domain_check(s: Shapes) -> DataFrame:
     lines = s.table("lineitem").selectExpr(
-        "lpad(CAST(l_orderkey AS STRING), 6, '0') AS code", "CAST(l_shipdate AS DATE) AS date", "l_linenumber % 4 - 1 AS tradestatus"
+        "lpad(CAST(l_orderkey AS STRING), CAST(greatest(6, length(CAST(l_orderkey AS STRING))) AS INT), '0') AS code", "CAST(l_shipdate AS DATE) AS date", "l_linenumber % 4 - 1 AS tradestatus"
     )
     return audit.domain_check(lines, TABLES["stock_daily"])
 

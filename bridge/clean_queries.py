@@ -53,7 +53,7 @@ def date_parse(s: Shapes) -> DataFrame:
 
 
 @query("""
-SELECT c_custkey, lpad(c_custkey::varchar, 6, '0') AS padded, lpad(c_custkey::varchar, 6, '0') || '.SZ' AS code,
+SELECT c_custkey, lpad(c_custkey::varchar, CAST(greatest(6, length(c_custkey::varchar)) AS INT), '0') AS padded, lpad(c_custkey::varchar, CAST(greatest(6, length(c_custkey::varchar)) AS INT), '0') || '.SZ' AS code,
        c_custkey::varchar || '1234567' AS kept, 'SH' AS exchange, c_custkey::varchar AS symbol FROM customer""")
 def code_normalise(s: Shapes) -> DataFrame:
     raw = s.table("customer").selectExpr(
@@ -306,13 +306,13 @@ def margin_sql(exchange: str, names: dict[str, str], symbol: str | None = None,
             values.append(f"CASE WHEN o_orderkey % 11 > 1 THEN o_totalprice{scale} END AS {c}")
         else:
             values.append(f"(o_orderkey * {MULTIPLE[c]})::double{scale} AS {c}")
-    ids = "" if symbol is None else f"lpad({symbol}, 6, '0') AS symbol, lpad({symbol}, 6, '0') || '.{exchange}' AS code, "
+    ids = "" if symbol is None else f"lpad({symbol}, CAST(greatest(6, length({symbol})) AS INT), '0') AS symbol, lpad({symbol}, CAST(greatest(6, length({symbol})) AS INT), '0') || '.{exchange}' AS code, "
     return f"SELECT o_orderdate::date AS trade_date, '{exchange}' AS exchange_code, {ids}{', '.join(values)} FROM orders WHERE {keep}"
 
 
 SH_SYMBOL, SZ_SYMBOL = "CAST(o_custkey + 599000 AS STRING)", "CAST(o_custkey * 100 AS STRING)"
 SH_KEEP = "(o_custkey + 599000)::varchar LIKE '6%' AND length((o_custkey + 599000)::varchar) = 6"
-SZ_KEEP = "lpad((o_custkey * 100)::varchar, 6, '0')[1] IN ('0', '3')"
+SZ_KEEP = "lpad((o_custkey * 100)::varchar, CAST(greatest(6, length((o_custkey * 100)::varchar)) AS INT), '0')[1] IN ('0', '3')"
 
 
 @query(margin_sql("SH", event_sources.SH_SUMMARY, keep="o_orderkey % 11 > 1"))
@@ -363,7 +363,7 @@ def margin_detail_sh_alt(s: Shapes) -> DataFrame:
 
 
 @query("""
-SELECT lpad(o_custkey::varchar, 6, '0') AS symbol, o_orderdate::date AS start_date, (o_orderkey % 20)::varchar AS industry_code,
+SELECT lpad(o_custkey::varchar, CAST(greatest(6, length(o_custkey::varchar)) AS INT), '0') AS symbol, o_orderdate::date AS start_date, (o_orderkey % 20)::varchar AS industry_code,
        o_orderdate + INTERVAL 9 HOUR AS update_time FROM orders WHERE o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
 QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate, o_orderkey % 20 ORDER BY o_orderkey DESC) = 1""")
 def industry_history(s: Shapes) -> DataFrame:
@@ -383,7 +383,7 @@ def report_raw(s: Shapes) -> DataFrame:
         "l_suppkey", "CAST(date_trunc('quarter', l_shipdate) AS DATE) AS report_date"
     ).distinct()
     return quarters.selectExpr(
-        "report_date", "lpad(CAST(l_suppkey AS STRING), 6, '0') AS code",
+        "report_date", "lpad(CAST(l_suppkey AS STRING), CAST(greatest(6, length(CAST(l_suppkey AS STRING))) AS INT), '0') AS code",
         """transform(sequence(1, CASE WHEN year(report_date) < 1998 THEN 120 ELSE 320 END),
              n -> CASE WHEN (l_suppkey + n) % 29 = 0 THEN CAST('NaN' AS FLOAT)
                   ELSE CAST((l_suppkey * n + month(report_date)) % 1000 / 8 AS FLOAT) END) AS fields""",
@@ -402,7 +402,7 @@ REPORTS = "(SELECT DISTINCT l_suppkey, date_trunc('quarter', l_shipdate)::date A
 
 
 def _report_sql(names: list[str]) -> str:
-    return f"SELECT lpad(l_suppkey::varchar, 6, '0') AS code, report_date, {_report_columns(names)} FROM {REPORTS}"
+    return f"SELECT lpad(l_suppkey::varchar, CAST(greatest(6, length(l_suppkey::varchar)) AS INT), '0') AS code, report_date, {_report_columns(names)} FROM {REPORTS}"
 
 
 @query(_report_sql(list(REPORT_FIELDS.values())).replace(", report_date, ", ", report_date, CASE WHEN year(report_date) < 1998 THEN 120 ELSE 320 END AS field_count, ", 1))

@@ -175,7 +175,7 @@ def _subset_sql() -> str:
         text = piece if piece.startswith("CASE") else "CASE" + piece
         body, name = text.rsplit(" AS ", 1)
         parts.append(text if name in late else f"2 * ({body}) AS {name}")
-    return f"SELECT lpad(l_suppkey::varchar, 6, '0') AS code, report_date, {', '.join(parts)}, {NEW_TS} AS updated_at FROM {REPORTS}"
+    return f"SELECT lpad(l_suppkey::varchar, CAST(greatest(6, length(l_suppkey::varchar)) AS INT), '0') AS code, report_date, {', '.join(parts)}, {NEW_TS} AS updated_at FROM {REPORTS}"
 
 
 @query(_subset_sql())
@@ -253,19 +253,21 @@ def source_cascade(s: Shapes) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS o_custkey
-FROM orders WHERE o_orderstatus IN ('F', 'O')""")
+SELECT o_orderkey, o_totalprice, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority, CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS o_custkey,
+       CASE WHEN o_orderstatus NOT IN ('F', 'O') THEN o_orderdate END AS o_orderdate
+FROM orders""")
 def concat_sources(s: Shapes) -> DataFrame:
     orders = s.table("orders")
     return merge.concat_sources([
         orders.where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice", "o_orderpriority"),
         orders.where("o_orderstatus = 'O'").select("o_orderkey", "o_totalprice", "o_custkey"),
+        orders.where("o_orderstatus NOT IN ('F', 'O')").select("o_orderkey", "o_totalprice", "o_orderdate"),
     ])
 
 
 @query(f"""SELECT code, report_date, CASE WHEN old THEN 2 ELSE 3 END * v1 AS eps, CASE WHEN year(report_date) < 1998 AND old THEN 1 ELSE 3 END * v304 AS rd_expense,
   {NEW_TS} AS updated_at FROM (
-  SELECT lpad(l_suppkey::varchar, 6, '0') AS code, report_date, year(report_date) < 1998 AS old, CASE WHEN (l_suppkey + 1) % 29 <> 0 THEN (l_suppkey + month(report_date)) % 1000 / 8 END AS v1,
+  SELECT lpad(l_suppkey::varchar, CAST(greatest(6, length(l_suppkey::varchar)) AS INT), '0') AS code, report_date, year(report_date) < 1998 AS old, CASE WHEN (l_suppkey + 1) % 29 <> 0 THEN (l_suppkey + month(report_date)) % 1000 / 8 END AS v1,
          CASE WHEN (l_suppkey + 304) % 29 <> 0 THEN (l_suppkey * 304 + month(report_date)) % 1000 / 8 END AS v304 FROM {REPORTS})""")
 def merge_mixed_layouts(s: Shapes) -> DataFrame:
     """Short rows replace only the fields they carry; full rows replace all, NULLs included."""

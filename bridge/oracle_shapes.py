@@ -6,7 +6,7 @@ import re
 
 
 def code_sql(k: str) -> str:
-    return f"lpad(({k})::varchar, 6, '0') || '.' || {exchange_sql(k)}"
+    return f"lpad(({k})::varchar, CAST(greatest(6, length(({k})::varchar)) AS INT), '0') || '.' || {exchange_sql(k)}"
 
 
 def exchange_sql(k: str) -> str:
@@ -15,7 +15,7 @@ def exchange_sql(k: str) -> str:
 
 def master_sql(table: str, key: str, name: str, first: str, offset: str) -> str:
     return f"""
-SELECT {code_sql(key)} AS code, lpad({key}::varchar, 6, '0') AS symbol, {name} AS name,
+SELECT {code_sql(key)} AS code, lpad({key}::varchar, CAST(greatest(6, length({key}::varchar)) AS INT), '0') AS symbol, {name} AS name,
        {exchange_sql(key)} AS exchange,
        CASE WHEN {key} % 9 <= 2 THEN 'MAIN' WHEN {key} % 9 = 3 THEN 'STAR' WHEN {key} % 9 = 4 THEN 'GEM'
             WHEN {key} % 9 = 5 THEN 'BJ' WHEN {key} % 9 = 6 THEN 'INDEX' WHEN {key} % 9 = 7 THEN 'ETF' ELSE 'BOND' END AS board,
@@ -61,7 +61,7 @@ SELECT user_id, {code_sql('user_id')} AS code, date, k / 100 AS fore_factor, k /
 FROM (SELECT user_id, ts::date AS date, arg_max(regexp_extract(props, '(\\d+)', 1)::int, ts) AS k
       FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts::date)""",
     "capital_raw": """
-SELECT event_id, lpad(user_id::varchar, 6, '0') AS code, year(ts)::int AS year, month(ts)::int AS month, day(ts)::int AS day,
+SELECT event_id, lpad(user_id::varchar, CAST(greatest(6, length(user_id::varchar)) AS INT), '0') AS code, year(ts)::int AS year, month(ts)::int AS month, day(ts)::int AS day,
        (CASE WHEN event_id % 3 = 0 THEN 1 ELSE event_id % 17 END)::int AS category,
        k / 10 AS fenhong, (k % 7) / 2 AS peigujia, (k % 5)::double AS songzhuangu, (k % 3)::double AS peigu,
        CASE WHEN k % 4 <> 0 THEN k::double * 10.5::double ELSE 0 END AS panqianliutong,

@@ -115,7 +115,7 @@ def report_files(s: Shapes) -> DataFrame:
 
 
 @query(f"""
-SELECT report_date, lpad(l_suppkey::varchar, 6, '0') AS code, w AS field_count,
+SELECT report_date, lpad(l_suppkey::varchar, CAST(greatest(6, length(l_suppkey::varchar)) AS INT), '0') AS code, w AS field_count,
        CASE WHEN (l_suppkey + 1) % 29 = 0 THEN NULL ELSE (l_suppkey + month(report_date)) % 1000 / 8 END AS first_field,
        CASE WHEN (l_suppkey + w) % 29 = 0 THEN NULL ELSE (l_suppkey * w + month(report_date)) % 1000 / 8 END AS last_field
 FROM (SELECT *, CASE WHEN year(report_date) < 1998 THEN 120 ELSE 320 END AS w FROM {REPORTS})""")
@@ -131,7 +131,7 @@ def report_file_scan(s: Shapes) -> DataFrame:
 SELECT code, date, open, high, low, close, pre_close, tradestatus, volume, amount FROM bars
 WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND code IN (SELECT code FROM master WHERE board <> 'INDEX')""")
 def export_shares(s: Shapes) -> DataFrame:
-    spec = transfer.resolve_table_specs(["import_daily"])["stock_daily"]
+    spec = transfer.specs_for(["import_daily"])["stock_daily"]
     return transfer.export_rows(s.bars(), spec, s.master(), "2024-01-05", "2024-01-25")
 
 
@@ -139,13 +139,13 @@ def export_shares(s: Shapes) -> DataFrame:
 SELECT code, date, open, high, low, close, pre_close, tradestatus, volume, amount FROM bars
 WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' AND code IN (SELECT code FROM master WHERE board = 'INDEX')""")
 def export_indexes(s: Shapes) -> DataFrame:
-    spec = transfer.resolve_table_specs(["fetch_index"])["stock_daily"]
+    spec = transfer.specs_for(["fetch_index"])["stock_daily"]
     return transfer.export_rows(s.bars(), spec, s.master(), "2024-01-05", "2024-01-25")
 
 
 @query("SELECT code, trade_date, turnover_rate, pe, pb, is_st FROM basic WHERE trade_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'")
 def export_indicators(s: Shapes) -> DataFrame:
-    spec = transfer.resolve_table_specs(["all"])["daily_basic"]
+    spec = transfer.specs_for(["all"])["daily_basic"]
     return transfer.export_rows(s.basic(), spec, s.master(), "2024-01-05", "2024-01-25")
 
 
@@ -157,5 +157,5 @@ def export_corrected(s: Shapes) -> DataFrame:
     stored = dense_table(s).selectExpr(
         "*", f"TIMESTAMP_NTZ '{OLD}' AS created_at", f"CASE WHEN code LIKE '%.BJ' THEN TIMESTAMP_NTZ '{NOW}' ELSE TIMESTAMP_NTZ '{OLD}' END AS updated_at"
     )
-    spec = transfer.resolve_table_specs(["adjust"])["adj_factor"]
+    spec = transfer.specs_for(["adjust"])["adj_factor"]
     return transfer.export_rows(stored, spec, s.master(), "2024-01-20", "2024-01-25", updated_since="2024-01-01")

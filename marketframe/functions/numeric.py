@@ -16,13 +16,15 @@ def round_at(value: Column, digits: int) -> Column:
     ``F.round(x, n)`` rounds the decimal text of a double (1.005 -> 1.01). Stored results
     come from an engine that rounds ``x * 10^n`` (1.005 -> 1.0), so we scale first. Written
     with floor, because rounding a double goes through a decimal object per value; the
-    fraction ``size - floor(size)`` is exact. Scaled values must fit a 64-bit integer.
+    fraction ``size - floor(size)`` is exact. Scaled values of 2^52 and above have no fraction
+    left, so they (and infinities) pass unrounded.
     """
     scaled = value.cast("double") * float(10**digits)
     size = F.abs(scaled)
-    whole = F.floor(size)
+    small = size < float(2**52)
+    whole = F.floor(F.when(small, size))
     rounded = whole + (size - whole >= 0.5).cast("long")
-    return F.signum(scaled) * rounded / float(10**digits)
+    return F.when(small, F.signum(scaled) * rounded / float(10**digits)).otherwise(value.cast("double"))
 
 
 def to_number(text: Column, dtype: str = "double") -> Column:

@@ -39,7 +39,7 @@ def last_open_day(calendar: DataFrame, before: DateLike) -> DataFrame:
 
 def day_status(df: DataFrame, day: str, calendar: DataFrame, out: str = "day_status") -> DataFrame:
     """Label each row's day open, closed, or unknown when the calendar lacks it."""
-    known = calendar.select(F.col("cal_date").alias(day), F.col("is_open").alias("_open"))
+    known = calendar.groupBy(F.col("cal_date").alias(day)).agg(F.max("is_open").alias("_open"))
     status = (
         F.when(F.col("_open").isNull(), UNKNOWN).when(F.col("_open") == 1, OPEN).otherwise(CLOSED)
     )
@@ -54,23 +54,19 @@ def is_open_day(df: DataFrame, day: str, calendar: DataFrame, out: str = "is_tra
 def previous_open_day(df: DataFrame, day: str, calendar: DataFrame, out: str = "prev_open") -> DataFrame:
     """Last open day strictly before each row's day, also for days the calendar lacks.
 
-    The lookup holds one row per distinct day of the data or the calendar; the running
-    maximum over it is the only unpartitioned window and sees at most one row per day.
+    The lookup comes from the calendar alone: an open day answers for the days after it up to
+    the next open one, the last open day for all later ones (one row, read first). It has one
+    row per day of the calendar's span, whatever the calendar repeats. Timestamps count as their day.
     """
-    days = (
-        df.select(F.col(day).alias("cal_date"), F.lit(0).alias("is_open"))
-        .where(F.col("cal_date").isNotNull())
-        .distinct()
-        .unionByName(calendar.select("cal_date", "is_open"))
-        .groupBy("cal_date")
-        .agg(F.max("is_open").alias("is_open"))
-    )
-    before = Window.orderBy("cal_date").rowsBetween(Window.unboundedPreceding, -1)
-    lookup = days.select(
-        F.col("cal_date").alias(day),
-        F.max(F.when(F.col("is_open") == 1, F.col("cal_date"))).over(before).alias(out),
-    )
-    return df.join(F.broadcast(lookup), day, "left")
+    opens = open_days(calendar).select(F.col("cal_date").cast("date").alias(out)).distinct()
+    last = opens.agg(F.max(out)).first()[0]
+    upto = F.coalesce(F.lead(out).over(Window.orderBy(out)), F.date_add(F.col(out), 1))
+    spans = opens.withColumn("_upto", upto)
+    lookup = spans.select(out, F.explode(F.sequence(F.date_add(F.col(out), 1), F.col("_upto"))).alias("_lookup_day"))
+    joined = df.join(F.broadcast(lookup), F.col(day).cast("date") == F.col("_lookup_day"), "left").drop("_lookup_day")
+    if last is None:
+        return joined
+    return joined.withColumn(out, F.coalesce(F.col(out), F.when(F.col(day).cast("date") > F.lit(last), F.lit(last))))
 
 
 def expand_open_days(

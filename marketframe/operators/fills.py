@@ -1,7 +1,7 @@
 """Derived daily columns: price limits, volume ratio, share counts, turnover, market value.
 
 Every fill takes the stored daily_basic table and returns it with computed columns set on
-the rows in scope. The computed value depends on the row itself plus attributes joined to
+the rows in scope; with ``touched`` it returns the rows in scope alone and reads no others. The computed value depends on the row itself plus attributes joined to
 it, so each fill decorates the row in place instead of joining results back a second time.
 """
 
@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import NOT_TRADED_AS_SHARE, SHARE_BOARDS, in_boards, in_codes, in_exchanges, not_in_boards
-from ..functions.dates import DateLike, between_days
+from ..functions.dates import DateLike, as_date, between_days
 from ..functions.numeric import round_at
 from .joins import asof_join
 from .merge import concat_sources
@@ -132,6 +132,10 @@ def _scope(
     return basic.where(wanted), basic.where(~F.coalesce(wanted, F.lit(False)))
 
 
+def _with_rest(rows: DataFrame, outside: DataFrame, touched: bool) -> DataFrame:
+    return rows if touched else outside.unionByName(rows)
+
+
 def _attributes(master: DataFrame, eligible: Column, *columns: str) -> DataFrame:
     """Master attributes of eligible codes; their absence after a left join means not eligible."""
     return master.where(eligible).select("code", *columns, F.lit(True).alias("_eligible"))
@@ -164,6 +168,7 @@ def fill_price_limits(
     end: DateLike | None = None,
     exchanges: Iterable[str] | None = None,
     codes: Iterable[str] | None = None,
+    touched: bool = False,
 ) -> DataFrame:
     """Set limit prices and flags on days that traded with a known previous close."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -187,9 +192,7 @@ def fill_price_limits(
         "is_limit_up": at_limit(F.col("_shown"), F.col("_up"), F.col("_upper")),
         "is_limit_down": at_limit(F.col("_shown"), F.col("_up"), F.col("_lower")),
     }
-    return outside.unionByName(
-        _set_where(priced, F.col("_traded") & F.col("_eligible"), values, basic.columns)
-    )
+    return _with_rest(_set_where(priced, F.col("_traded") & F.col("_eligible"), values, basic.columns), outside, touched)
 
 
 def fill_volume_ratio(
@@ -200,17 +203,24 @@ def fill_volume_ratio(
     end: DateLike | None = None,
     exchanges: Iterable[str] | None = None,
     codes: Iterable[str] | None = None,
+    touched: bool = False,
 ) -> DataFrame:
     """Volume over the mean of up to five preceding trading rows, two decimals.
 
-    Suspended rows and non-shares leave before the window. The day filter comes after it,
-    because a long suspension can push the five rows back any distance.
+    Suspended rows and non-shares leave before the window. Of the days before the range only
+    the last five trading rows of each code take part, however far back a suspension pushes them; a rank
+    filter finds them below the shuffle.
     """
     inside, outside = _scope(basic, begin, end, codes)
     eligible = not_in_boards(F.col("board"), NOT_TRADED_AS_SHARE) & in_exchanges(F.col("exchange"), exchanges)
-    trading = bars.where((F.col("tradestatus") == 1) & in_codes(F.col("code"), codes)).join(
-        master.where(eligible).select("code"), "code", "left_semi"
-    )
+    shares = master.where(eligible).select("code")
+    traded = bars.select("code", "date", "volume", "tradestatus").where((F.col("tradestatus") == 1) & in_codes(F.col("code"), codes))
+    trading = traded.where(between_days(F.col("date"), begin, end)).join(shares, "code", "left_semi")
+    if begin is not None:
+        newest = Window.partitionBy("code").orderBy(F.col("date").desc())
+        earlier = traded.where(F.col("date") < F.lit(as_date(begin))).join(shares, "code", "left_semi")
+        earlier = earlier.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= 5).drop("_rank")
+        trading = trading.unionByName(earlier)
     means = trailing_mean(trading, "code", "date", "volume", 5, "_mean").where(
         between_days(F.col("date"), begin, end)
     )
@@ -220,7 +230,7 @@ def fill_volume_ratio(
         F.lit(True).alias("_traded"),
     )
     rows = inside.join(source, ["code", "trade_date"], "left")
-    return outside.unionByName(_set_where(rows, F.col("_traded"), {"volume_ratio": ratio}, basic.columns))
+    return _with_rest(_set_where(rows, F.col("_traded"), {"volume_ratio": ratio}, basic.columns), outside, touched)
 
 
 def share_events(capital: DataFrame, master: DataFrame) -> DataFrame:
@@ -263,6 +273,7 @@ def fill_shares(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
+    touched: bool = False,
 ) -> DataFrame:
     """Total and float shares from the latest share-count state on or before each day."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -278,9 +289,7 @@ def fill_shares(
         scoped, states, ["code"], "trade_date", "_state_day", ["_total", "_float", "_stated"]
     )
     values = {"total_shares": F.col("_total"), "float_shares": F.col("_float")}
-    return outside.unionByName(
-        _set_where(rows, F.col("_eligible") & F.col("_stated"), values, basic.columns)
-    )
+    return _with_rest(_set_where(rows, F.col("_eligible") & F.col("_stated"), values, basic.columns), outside, touched)
 
 
 def fill_report(
@@ -338,11 +347,12 @@ def fill_turnover(
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
     overwrite: bool = False,
+    touched: bool = False,
 ) -> DataFrame:
     """Turnover rate in percent on trading rows; only NULLs unless ``overwrite``."""
     rows, outside, hit = _turnover_rows(basic, bars, master, begin, end, codes, exchanges, overwrite)
     rate = round_at(F.try_divide(F.col("_volume").cast("double"), F.col("float_shares").cast("double")) * 100, 4)
-    return outside.unionByName(_set_where(rows, hit, {"turnover_rate": rate}, basic.columns))
+    return _with_rest(_set_where(rows, hit, {"turnover_rate": rate}, basic.columns), outside, touched)
 
 
 def turnover_updates(
@@ -368,6 +378,7 @@ def fill_market_value(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
+    touched: bool = False,
 ) -> DataFrame:
     """Market values wherever total shares are known and a bar exists, traded or not."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -380,4 +391,4 @@ def fill_market_value(
         "total_mv": F.col("total_shares") * F.col("_close"),
         "float_mv": F.col("float_shares") * F.col("_close"),
     }
-    return outside.unionByName(_set_where(rows, hit, values, basic.columns))
+    return _with_rest(_set_where(rows, hit, values, basic.columns), outside, touched)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERWRITE = "overwrite"  # the batch value wins, NULL included
@@ -78,11 +78,10 @@ def merge_keyed(
     out = []
     for c in types:
         if c in keys:
-            out.append(_id(c))
+            out.append(F.col(_id(c)))
             continue
         old, new, rule = _id("_t_" + c), _id("_u_" + c), rules.get(c)
         stamp = f"TIMESTAMP_NTZ '{now.isoformat(sep=' ')}'" if now is not None else "localtimestamp()"
-        default = _sql_literal((defaults or {}).get(c))
         needed = carried_from[1].get(c) if carried_from else None
         owned = applies if needed is None else f"({applies}) AND _layout >= {needed}"
         if rule == NOW:
@@ -90,23 +89,65 @@ def merge_keyed(
         elif rule == KEEP:
             value = f"CASE WHEN _t THEN {old} ELSE {new if c in carried else stamp} END"
         elif rule is None or c not in carried:  # not owned, or owned but absent from this batch
-            value = f"CASE WHEN _t THEN {old} ELSE {default} END"
+            default = F.lit((defaults or {}).get(c)).cast(types[c])
+            out.append(F.when(F.col("_t"), F.col(old)).otherwise(default).cast(types[c]).alias(c))
+            continue
         elif rule == COALESCE:
             value = f"CASE WHEN {owned} THEN coalesce({new}, {old}) ELSE {old} END"
         else:
             value = f"CASE WHEN {owned} THEN {new} ELSE {old} END"
-        out.append(f"CAST({value} AS {types[c]}) AS {_id(c)}")
-    return joined.selectExpr(*out)
+        out.append(F.expr(f"CAST({value} AS {types[c]}) AS {_id(c)}"))
+    return joined.select(*out)
 
 
 def _id(name: str) -> str:
-    return f"`{name}`"
+    return "`" + name.replace("`", "``") + "`"
+
+
+#: Distinct days that are listed one by one in a filter; beyond it whole months are.
+MAX_LISTED_DAYS = 200
 
 
-def _sql_literal(value: object) -> str:
-    if value is None:
-        return "NULL"
-    return f"'{value}'" if isinstance(value, str) else str(value)
+def touched(updates: DataFrame, day: str, kind: str = "date") -> Column | None:
+    """Filter on ``day`` for the days that ``updates`` has, or for their months if they are many.
+
+    The days are read first: at most one row per calendar day (about 36,500 a century). Listed
+    days or spans of whole months keep one stale row from widening the filter to all history.
+    None when there is no day at all.
+    """
+    found = updates.select(F.col(day).cast(kind).alias("d")).where("d IS NOT NULL").distinct().collect()
+    days = sorted(r["d"] for r in found)
+    if not days:
+        return None
+    if len(days) <= MAX_LISTED_DAYS:
+        return F.col(day).isin(days)
+    spans: list[list[dt.date]] = []
+    for d in days:
+        first = d.replace(day=1)
+        after = (first + dt.timedelta(days=32)).replace(day=1)
+        if spans and spans[-1][1] >= first:
+            spans[-1][1] = max(spans[-1][1], after)
+        else:
+            spans.append([first, after])
+    inside = F.lit(False)
+    for first, after in spans:
+        inside = inside | ((F.col(day) >= F.lit(first)) & (F.col(day) < F.lit(after)))
+    return inside
+
+
+def merge_touched(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], rules: dict[str, str], day: str, *, whole: bool = False, **options
+) -> DataFrame:
+    """``merge_keyed`` that reads and returns only the days (or months) the batch has.
+
+    With ``whole`` the rest of the target follows unchanged; it is read apart and never shuffled.
+    The filter on ``day`` reaches the target's scan and prunes partitions and row groups.
+    """
+    inside = touched(updates, day, dict(target.dtypes)[day])
+    if inside is None:  # rows without a day match nothing that is stored
+        inside = F.lit(False)
+    merged = merge_keyed(target.where(inside), updates, keys, rules, **options)
+    return target.where(~F.coalesce(inside, F.lit(False))).unionByName(merged) if whole else merged
 
 
 def merge_window(
@@ -120,9 +161,9 @@ def merge_window(
     span = updates.agg(F.min(day).alias("first"), F.max(day).alias("last")).first()
     if span["first"] is None:
         return target
-    inside = F.col(day).between(F.lit(span["first"]), F.lit(span["last"]))
-    touched = merge_keyed(target.where(inside), updates, keys, rules, **options)
-    return target.where(~inside).unionByName(touched)
+    inside = F.coalesce(F.col(day).between(F.lit(span["first"]), F.lit(span["last"])), F.lit(False))
+    merged = merge_keyed(target.where(inside), updates, keys, rules, **options)
+    return target.where(~inside).unionByName(merged)
 
 
 def update_keyed(
@@ -132,13 +173,27 @@ def update_keyed(
     return merge_keyed(target, updates, keys, {c: OVERWRITE for c in columns}, insert=False)
 
 
+def dedup_by_values(df: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the last by ``order``, and of rows that tie the greatest by all other columns.
+
+    The result depends on the rows alone, never on their arrival.
+    """
+    others = [c for c, kind in df.dtypes if c not in keys and c != order and not kind.startswith("map")]
+    return dedup_last(df, keys, [*([order] if order else []), *others]) if order or others else df.dropDuplicates(list(keys))
+
+
 def merge_present(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], owned: Sequence[str], **options
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], owned: Sequence[str], *, day: str | None = None, whole: bool = True, **options
 ) -> DataFrame:
-    """Overwrite only those owned columns that the batch carries; stamp ``updated_at``."""
+    """Overwrite only those owned columns that the batch carries; stamp ``updated_at``.
+
+    With ``day`` only the days of the batch are joined, and without ``whole`` only they are returned.
+    """
     rules = {c: OVERWRITE for c in owned if c in updates.columns}
     if "updated_at" in target.columns:
         rules["updated_at"] = NOW
+    if day is not None:
+        return merge_touched(target, updates, keys, rules, day, whole=whole, **options)
     return merge_keyed(target, updates, keys, rules, **options)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .calendar import expand_open_days
+from .calendar import expand_open_days, open_days
 from .joins import Chunk, asof_join, by_days, carry_tails, chunks_between, scan_known
 
 
@@ -104,14 +104,18 @@ def fill_suspensions(
 
     A day with a bar keeps it and gets the last close before it as pre_close (NULL at the
     first). A day without one repeats the last close at zero volume and tradestatus 0. Days
-    before the first close are left out. Bars before the interval seed the close.
-    ``status`` fixes the status of real bars where the source has none.
+    before the first close are left out. Bars before the interval seed the close, whatever
+    their day; inside it a bar on a closed day counts for nothing. Intervals are unique on
+    the key. ``status`` fixes the status of real bars where the source has none.
     """
     grid = expand_open_days(intervals.select(key, begin, end), begin, end, calendar, "_day").select(
         key, F.col("_day").alias(day)
     )
     own_status = F.lit(status) if status is not None else F.col("tradestatus")
-    source = bars.select(
+    begins = intervals.select(key, F.col(begin).alias("_begin"))
+    opened = open_days(calendar).select(F.col("cal_date").alias(day), F.lit(True).alias("_open")).distinct()
+    seen = bars.join(begins, key).join(F.broadcast(opened), day, "left").where((F.col(day) < F.col("_begin")) | F.col("_open"))
+    source = seen.select(
         key, F.col(day).alias("_bar_day"), "open", "high", "low", "close", "volume", "amount",
         own_status.cast("int").alias("tradestatus"),
     )

@@ -232,7 +232,8 @@ def xdr_check(
     wanted = dated.withColumn("_w", days).select("code", "name", "xdr_date", *terms, "_w.now", "_w.day")
 
     # Only days from the open day before the range on can be asked for.
-    first = F.coalesce(last_open_day(calendar, scope.begin).scalar(), F.lit(as_date(scope.begin)))
+    # That day is read first (one row), so that both bounds reach the scans as literals.
+    first = F.lit(last_open_day(calendar, scope.begin).first()[0] or as_date(scope.begin))
     reachable = (F.col("day") >= first) & (F.col("day") <= F.lit(as_date(scope.end)))
     daily = bars.select("code", F.col("date").alias("day"), "close", "pre_close", "tradestatus").where(reachable).unionByName(
         factors.select("code", F.col("trade_date").alias("day"), "adjust_factor").where(reachable), allowMissingColumns=True

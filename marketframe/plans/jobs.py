@@ -1,6 +1,8 @@
-"""One function per program: landed frames and stored tables in, new stored tables out.
+"""One function per program: landed frames and stored tables in, what has to be stored out.
 
-Everything here is a plan. What a program writes belongs in one commit of the store.
+Dated tables come back as the days (or months) a batch touches, ready for a dynamic partition
+overwrite; ``touched=False`` adds the rest of the table. The stored plans stay lazy; only the
+distinct days of a batch are read while planning.
 """
 
 from __future__ import annotations
@@ -24,11 +26,11 @@ HIERARCHY_COLUMNS = ("行业代码", "一级行业名称", "二级行业名称",
 
 
 def import_combined_bars(
-    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame
+    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, touched: bool = True,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(bars, indicators, rejected codes) from the source that carries both."""
     daily, indicators, rejected = bar_sources.split_combined(raw)
-    return loads.load_bars(stored_bars, daily), loads.load_indicators(stored_basic, indicators), rejected
+    return loads.load_bars(stored_bars, daily, touched=touched), loads.load_indicators(stored_basic, indicators, touched=touched), rejected
 
 
 def import_sparse_bars(
@@ -37,7 +39,7 @@ def import_sparse_bars(
     calendar: DataFrame,
     stored_bars: DataFrame,
     stored_basic: DataFrame,
-    status: int | None = None,
+    status: int | None = None, touched: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(bars, indicators) from a source that omits suspended days: bar files or online pages.
 
@@ -47,18 +49,18 @@ def import_sparse_bars(
     spans = universe.where(F.col("list_status") != "D").select("code", "from_date", "to_date")
     daily = fill_suspensions(spans, source, calendar, status=status)
     skeleton = bar_sources.indicator_skeleton(daily)
-    return loads.load_bars(stored_bars, daily), loads.load_indicators(stored_basic, skeleton)
+    return loads.load_bars(stored_bars, daily, touched=touched), loads.load_indicators(stored_basic, skeleton, touched=touched)
 
 
 def import_lot_bars(
-    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, code: str = "code"
+    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, code: str = "code", touched: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     daily, indicators = bar_sources.lot_bars(raw, F.col(code))
-    return loads.load_bars(stored_bars, daily), loads.load_indicators(stored_basic, indicators)
+    return loads.load_bars(stored_bars, daily, touched=touched), loads.load_indicators(stored_basic, indicators, touched=touched)
 
 
-def import_index_bars(raw: DataFrame, stored_bars: DataFrame) -> DataFrame:
-    return loads.load_index_bars(stored_bars, bar_sources.index_bars(raw))
+def import_index_bars(raw: DataFrame, stored_bars: DataFrame, touched: bool = True) -> DataFrame:
+    return loads.load_index_bars(stored_bars, bar_sources.index_bars(raw), touched=touched)
 
 
 def sync_calendar(raw: DataFrame, stored: DataFrame) -> DataFrame:
@@ -70,34 +72,34 @@ def sync_securities(raw: DataFrame, stored: DataFrame, now: dt.datetime) -> Data
 
 
 def sync_beijing(
-    raw: DataFrame, stored: DataFrame, stored_basic: DataFrame, day: DateLike, now: dt.datetime
+    raw: DataFrame, stored: DataFrame, stored_basic: DataFrame, day: DateLike, now: dt.datetime, touched: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(securities, indicators) from the Beijing exchange list."""
     shares = bar_sources.beijing_shares(raw, F.lit(as_date(day)))
     return (
         loads.load_securities(stored, bar_sources.beijing_securities(raw), now),
-        loads.load_share_counts(stored_basic, shares),
+        loads.load_share_counts(stored_basic, shares, touched=touched),
     )
 
 
-def sync_capital(sources: Sequence[DataFrame], stored: DataFrame, now: dt.datetime) -> DataFrame:
+def sync_capital(sources: Sequence[DataFrame], stored: DataFrame, now: dt.datetime, touched: bool = True) -> DataFrame:
     """Capital events from the first source, in order of preference, that has each event."""
-    return loads.load_capital(stored, first_available(sources, ["code", "date", "category"]), now)
+    return loads.load_capital(stored, first_available(sources, ["code", "date", "category"]), now, touched=touched)
 
 
 def sync_margin_summary(
     primary: DataFrame, fallback: DataFrame, stored: DataFrame, now: dt.datetime,
-    on: Sequence[str] = ("exchange_code", "trade_date"),
+    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool = True,
 ) -> DataFrame:
     """Cleaned totals; the fallback source fills the exchanges and days the primary lacks."""
-    return loads.load_margin_summary(stored, fallback_union(primary, fallback, on), now)
+    return loads.load_margin_summary(stored, fallback_union(primary, fallback, on), now, touched=touched)
 
 
 def sync_margin_detail(
     primary: DataFrame, fallback: DataFrame, stored: DataFrame, now: dt.datetime,
-    on: Sequence[str] = ("exchange_code", "trade_date"),
+    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool = True,
 ) -> DataFrame:
-    return loads.load_margin_detail(stored, fallback_union(primary, fallback, on), now)
+    return loads.load_margin_detail(stored, fallback_union(primary, fallback, on), now, touched=touched)
 
 
 def sync_industry_history(raw: DataFrame, stored: DataFrame, now: dt.datetime, order: str) -> DataFrame:
@@ -110,16 +112,16 @@ def sync_hierarchy(raw: DataFrame, version: str, stored: DataFrame, now: dt.date
 
 
 def sync_finance(
-    decoded: DataFrame, stored: DataFrame, now: dt.datetime, codes: str | Sequence[str] | None = None
+    decoded: DataFrame, stored: DataFrame, now: dt.datetime, codes: str | Sequence[str] | None = None, touched: bool = True,
 ) -> DataFrame:
     """Reports of all periods at once, whatever mix of layouts their files have."""
-    return loads.load_finance(stored, event_sources.finance_report(decoded, codes), now)
+    return loads.load_finance(stored, event_sources.finance_report(decoded, codes), now, touched=touched)
 
 
 def fill_shares_and_value(
     basic: DataFrame, bars: DataFrame, capital: DataFrame, master: DataFrame,
-    begin: DateLike, end: DateLike, codes: Iterable[str] | None = None, exchanges: Iterable[str] | None = None,
+    begin: DateLike, end: DateLike, codes: Iterable[str] | None = None, exchanges: Iterable[str] | None = None, touched: bool = True,
 ) -> DataFrame:
     """Share counts first, then the market values that need them."""
-    counted = fills.fill_shares(basic, capital, master, begin, end, codes, exchanges)
-    return fills.fill_market_value(counted, bars, master, begin, end, codes, exchanges)
+    counted = fills.fill_shares(basic, capital, master, begin, end, codes, exchanges, touched=touched)
+    return fills.fill_market_value(counted, bars, master, begin, end, codes, exchanges, touched=touched)

@@ -1,4 +1,10 @@
-"""How each landed batch merges into its table. Every function returns the merged table."""
+"""How each landed batch merges into its table.
+
+Tables with a day take ``touched``: with it a load reads and returns only the days (or months) of
+the batch, as a store with dynamic partition overwrite wants; without it the untouched rows
+follow, unshuffled. Batches are made unique on their keys first: the last row by ``order``, or
+the greatest by value where no order is known.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import loose_date
-from ..operators.merge import COALESCE, KEEP, NOW, OVERWRITE, dedup_last, merge_keyed, merge_present
+from ..operators.merge import COALESCE, KEEP, NOW, OVERWRITE, dedup_by_values, merge_keyed, merge_present, merge_touched
 from ..schemas import MARGIN_COLUMNS, REPORT_FIELDS, TABLES
 from ..sources.bars import normalize_bars, numeric_bars
 from ..sources.files import require_columns
@@ -26,30 +32,36 @@ def _all(columns: Sequence[str], rule: str) -> dict[str, str]:
     return {c: rule for c in columns}
 
 
-def load_bars(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    return merge_keyed(stored, normalize_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE))
+def _dated(
+    stored: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], day: str, touched: bool, order: str | None, **options
+) -> DataFrame:
+    return merge_touched(stored, dedup_by_values(batch, keys, order), keys, rules, day, whole=not touched, **options)
+
+
+def load_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
+    return _dated(stored, normalize_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE), "date", touched, order)
 
 
-def load_index_bars(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    return merge_keyed(stored, numeric_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE))
+def load_index_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
+    return _dated(stored, numeric_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE), "date", touched, order)
 
 
 def load_calendar(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return merge_keyed(stored, batch, ["cal_date"], {"is_open": OVERWRITE})
 
 
-def load_indicators(stored: DataFrame, batch: DataFrame) -> DataFrame:
+def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
     """Owned columns only; a NULL never erases a stored value."""
-    return merge_keyed(
-        stored, batch, ["code", "trade_date"], _all(BASE_INDICATORS, COALESCE),
+    return _dated(
+        stored, batch, ["code", "trade_date"], _all(BASE_INDICATORS, COALESCE), "trade_date", touched, order,
         defaults=TABLES["daily_basic"].defaults,
     )
 
 
-def load_share_counts(stored: DataFrame, batch: DataFrame) -> DataFrame:
+def load_share_counts(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
     renamed = batch.withColumnRenamed("date", "trade_date")
-    return merge_keyed(
-        stored, renamed, ["code", "trade_date"], _all(SHARE_COUNTS, COALESCE),
+    return _dated(
+        stored, renamed, ["code", "trade_date"], _all(SHARE_COUNTS, COALESCE), "trade_date", touched, order,
         defaults=TABLES["daily_basic"].defaults,
     )
 
@@ -74,12 +86,13 @@ def load_industry_history(stored: DataFrame, batch: DataFrame, now: dt.datetime)
     return merge_keyed(stored, batch, keys, {"update_time": OVERWRITE, "updated_at": NOW}, now=now)
 
 
-def load_capital(stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None) -> DataFrame:
+def load_capital(
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None, *, touched: bool = False
+) -> DataFrame:
     """Insert or replace; the day may come as compact number, ISO date or timestamp."""
-    keys = ["code", "date", "category"]
     dated = batch.withColumn("date", loose_date(F.col("date")))
-    rows = dedup_last(dated, keys, [order]) if order else dated
-    return merge_keyed(stored, rows, keys, {**_all(CAPITAL_VALUES, OVERWRITE), "updated_at": NOW}, now=now)
+    rules = {**_all(CAPITAL_VALUES, OVERWRITE), "updated_at": NOW}
+    return _dated(stored, dated, ["code", "date", "category"], rules, "date", touched, order, now=now)
 
 
 def _as_numbers(batch: DataFrame) -> DataFrame:
@@ -87,22 +100,27 @@ def _as_numbers(batch: DataFrame) -> DataFrame:
     return batch.withColumns({c: F.col(c).cast("double") for c in MARGIN_COLUMNS if c in batch.columns})
 
 
-def load_margin_summary(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
+def load_margin_summary(
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool = False
+) -> DataFrame:
     """Insert or replace: both stamps are renewed."""
     rules = {**_all(MARGIN_COLUMNS, OVERWRITE), "created_at": NOW, "updated_at": NOW}
-    return merge_keyed(stored, _as_numbers(batch), ["trade_date", "exchange_code"], rules, now=now)
+    return _dated(stored, _as_numbers(batch), ["trade_date", "exchange_code"], rules, "trade_date", touched, order, now=now)
 
 
-def load_margin_detail(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
+def load_margin_detail(
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool = False
+) -> DataFrame:
     """Values are replaced, created_at stays."""
     rules = {**_all(("code", *MARGIN_COLUMNS), OVERWRITE), "created_at": KEEP, "updated_at": NOW}
-    return merge_keyed(stored, _as_numbers(batch), ["trade_date", "exchange_code", "symbol"], rules, now=now)
+    return _dated(stored, _as_numbers(batch), ["trade_date", "exchange_code", "symbol"], rules, "trade_date", touched, order, now=now)
 
 
-def load_finance(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
+def load_finance(stored: DataFrame, batch: DataFrame, now: dt.datetime, *, touched: bool = False) -> DataFrame:
     """Only the report columns a batch carries are replaced, per row where layouts are mixed."""
     layout = None
     if "field_count" in batch.columns:
         layout = ("field_count", {name: number for number, name in REPORT_FIELDS.items()})
     columns = list(REPORT_FIELDS.values())
-    return merge_present(stored, batch, ["code", "report_date"], columns, now=now, carried_from=layout)
+    return merge_present(
+        stored, batch, ["code", "report_date"], columns, day="report_date", whole=not touched, now=now, carried_from=layout)

@@ -28,8 +28,15 @@ def normalize_bars(df: DataFrame) -> DataFrame:
 
 
 def numeric_bars(df: DataFrame) -> DataFrame:
-    """Bars whose numbers arrive as text; blanks and other non-numbers become NULL."""
-    base = normalize_bars(df.withColumn("pre_close", to_number(F.col("pre_close")))) if "pre_close" in df.columns else normalize_bars(df)
+    """Bars whose numbers arrive as text; blanks and other non-numbers become NULL.
+
+    An absent or NULL pre_close is unknown (-1), a blank one is stored as NULL.
+    """
+    base = normalize_bars(df.drop("pre_close"))
+    if "pre_close" in df.columns:
+        given = F.col("pre_close")
+        known = F.when(given.isNull(), F.lit(float(UNKNOWN_VALUE))).otherwise(to_number(given))
+        base = normalize_bars(df.withColumn("_given", known).drop("pre_close")).withColumn("pre_close", F.col("_given")).drop("_given")
     numbers = [c for c in (*PRICES, "amount") if c in base.columns]
     out = base.withColumns({c: to_number(F.col(c)) for c in numbers})
     return out.withColumn("volume", to_number(F.col("volume"), "long")) if "volume" in out.columns else out

@@ -52,8 +52,8 @@ def capital_events(raw: DataFrame, code: str = "code", keep: Sequence[str] = ())
 
 def _day_of_parts() -> Column:
     text = F.concat_ws(
-        "-", *[F.lpad(F.col(p).cast("string"), n, "0") for p, n in (("year", 4), ("month", 2), ("day", 2))]
-    )
+        "-", *[zero_pad(F.col(p), n) for p, n in (("year", 4), ("month", 2), ("day", 2))]
+    )  # padding never cuts, so a month such as 123 is no date
     return F.try_to_date(text, "yyyy-MM-dd")
 
 

@@ -82,18 +82,24 @@ def binary_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     )
 
 
-def decode_day_files(files: DataFrame) -> DataFrame:
-    """Bars from (path, content) rows of fixed-record files named like ``sh600000.day``.
+def decode_day_files(files: DataFrame, begin: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
+    """Bars of a closed date range from (path, content) rows of files named like ``sh600000.day``.
 
-    One vectorised decode per file; a trailing partial record is ignored.
+    One vectorised decode per file; a trailing partial record is ignored. Records stand in the
+    order of their dates, so the range is cut out by binary search before any row is built.
     """
+    first, last = (None if d is None else int(as_date(d).strftime("%Y%m%d")) for d in (begin, end))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 whole = len(content) // DAY_RECORD.itemsize
                 records = np.frombuffer(content, dtype=DAY_RECORD, count=whole)
-                if whole:
+                if whole and (np.diff(records["date"].astype("int64")) >= 0).all():
+                    start = 0 if first is None else np.searchsorted(records["date"], first, "left")
+                    stop = whole if last is None else np.searchsorted(records["date"], last, "right")
+                    records = records[start:stop]
+                if len(records):
                     prices = {p: records[p] / 100.0 for p in ("open", "high", "low", "close")}
                     yield pd.DataFrame(
                         {"path": path, "day": records["date"].astype("int32"), **prices,
@@ -117,7 +123,7 @@ def file_security(path: Column) -> tuple[Column, Column]:
 
 def read_day_files(spark: SparkSession, folder: str, begin: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Bars of a closed date range from a folder of bar files."""
-    return decode_day_files(binary_files(spark, folder, "*.day")).where(between_days(F.col("date"), begin, end))
+    return decode_day_files(binary_files(spark, folder, "*.day"), begin, end).where(between_days(F.col("date"), begin, end))
 
 
 def decode_report_files(files: DataFrame) -> DataFrame:
@@ -148,6 +154,32 @@ def decode_report_files(files: DataFrame) -> DataFrame:
     return rows.select(report_period(F.col("path")).alias("report_date"), "code", "fields")
 
 
+def unreadable_report_files(files: DataFrame) -> DataFrame:
+    """(path, report_date, reason) of the report files that ``decode_report_files`` has to skip."""
+
+    def inspect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(p, _report_problem(c)) for p, c in zip(batch["path"], batch["content"])]
+            yield pd.DataFrame([f for f in found if f[1]], columns=["path", "reason"], dtype="object")
+
+    rows = files.select("path", "content").mapInPandas(inspect, "path string, reason string")
+    return rows.select("path", report_period(F.col("path")).alias("report_date"), "reason")
+
+
+def _report_problem(content: bytes) -> str | None:
+    if len(content) < REPORT_HEADER.itemsize:
+        return "no header"
+    header = np.frombuffer(content, dtype=REPORT_HEADER, count=1)[0]
+    table = REPORT_HEADER.itemsize + int(header["count"]) * REPORT_ENTRY.itemsize
+    if len(content) < table:
+        return "shorter than its list of securities"
+    offsets = np.frombuffer(content, dtype=REPORT_ENTRY, count=int(header["count"]), offset=REPORT_HEADER.itemsize)["offset"]
+    size = int(header["report_size"]) // 4 * 4
+    if len(offsets) and int(offsets.max()) + size > len(content):
+        return "shorter than its reports"
+    return None
+
+
 def report_period(path: Column) -> Column:
     """Report period from a file name such as ``gpcw20240331.dat``; NULL when it has none."""
     return compact_date(F.nullif(F.regexp_extract(path, r"gpcw(\d{8})\.[A-Za-z]{3}$", 1), F.lit("")))

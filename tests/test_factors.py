@@ -21,7 +21,7 @@ def events(spark, *pairs, code="600519.SH"):
 def run(spark, table, cal, tg, ev, raw=None, dense=None, as_of="2023-12-31"):
     return run_factors(
         tg, ev, raw if raw is not None else table("adj_factor_raw"), dense if dense is not None else table("adj_factor"),
-        cal, as_of=as_of, now=NOW,
+        cal, as_of=as_of, now=NOW, order="back_factor",
     )
 
 
@@ -77,7 +77,7 @@ def test_no_targets_leave_the_table_alone(spark, table, calendar):
 
 def test_missing_columns_are_an_error(spark, table):
     with pytest.raises(ValueError, match="lacks columns"):
-        store_events(table("adj_factor_raw"), spark.createDataFrame([("a", "2023-01-04")], "code string, date string"), NOW)
+        store_events(table("adj_factor_raw"), spark.createDataFrame([("a", "2023-01-04")], "code string, date string"), NOW, "date")
 
 
 def test_repeated_events_keep_the_last_by_order(spark, table):

@@ -140,3 +140,40 @@ def test_first_source_that_has_a_key_wins(spark):
     b = spark.createDataFrame([("x", 2), ("y", 2)], "k string, v int")
     c = spark.createDataFrame([("y", 3), ("z", 3)], "k string, v int")
     assert rows(merge.first_available([a, b, c], ["k"]), "k") == [("x", 1), ("y", 2), ("z", 3)]
+
+
+def test_touched_loads_read_only_the_days_of_the_batch(spark, table, tmp_path):
+    import contextlib
+    import io
+
+    from marketframe.operators.merge import merge_window, touched
+    from marketframe.plans import loads
+
+    stored = table("stock_daily", *[{"code": "a", "date": f"2024-01-{d:02d}", "close": 1.0} for d in (2, 3, 4)], {"code": "b"})
+    stored.write.parquet(str(tmp_path / "bars"))
+    stored = spark.read.parquet(str(tmp_path / "bars"))
+    batch = table("stock_daily", {"code": "a", "date": "2024-01-03", "close": 5.0}, {"code": "a", "date": "2024-01-03", "close": 4.0})
+    part = loads.load_bars(stored, batch, touched=True)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        part.explain("formatted")
+    assert "(date,2024-01-03)" in out.getvalue() or "In(date, [2024-01-03])" in out.getvalue()
+    assert [(r.code, r.close) for r in part.collect()] == [("a", 5.0)]
+    whole = loads.load_bars(stored, batch)
+    assert sorted((r.code, str(r.date), r.close) for r in whole.collect()) == [
+        ("a", "2024-01-02", 1.0), ("a", "2024-01-03", 5.0), ("a", "2024-01-04", 1.0), ("b", "None", None)]
+    assert merge_window(stored, batch.limit(1), ["code", "date"], {"close": "overwrite"}, "date").count() == 4
+    many = spark.range(400).selectExpr("date_add(DATE '2020-01-15', CAST(id AS INT)) AS date")
+    text = str(touched(many, "date"))
+    assert "2020-01-01" in text and "2021-03-01" in text and touched(many.limit(0), "date") is None
+
+
+def test_defaults_and_names_are_taken_literally(spark):
+    import datetime as dt
+
+    from marketframe.operators.merge import merge_keyed
+
+    stored = spark.sql("SELECT 1 AS k, 'x' AS `odd``name`, DATE '2020-01-01' AS since")
+    batch = spark.sql("SELECT 2 AS k")
+    merged = merge_keyed(stored, batch, ["k"], {}, defaults={"odd`name": "it's", "since": dt.date(2024, 1, 1)})
+    assert sorted(map(tuple, merged.collect())) == [(1, "x", dt.date(2020, 1, 1)), (2, "it's", dt.date(2024, 1, 1))]

@@ -85,3 +85,19 @@ def test_carry_close_equals_brute_force_across_chunks(spark, width):
         before = [x for (kk, x), c in closes.items() if kk == k and x < d and c is not None]
         want[(k, d)] = closes[(k, max(before))] if before else None
     assert got == want
+
+
+def test_bars_on_closed_days_inside_the_range_move_no_close(spark, table, calendar):
+    """Friday 10, Sunday 99, Monday 11: Monday's previous close is Friday's; a Sunday before the range seeds."""
+    from marketframe.operators.series import fill_suspensions
+
+    bar = {"open": 1.0, "high": 1.0, "low": 1.0, "volume": 1, "amount": 1.0, "tradestatus": 1, "code": "a"}
+    bars = table("stock_daily", *[{**bar, "date": d, "close": c} for d, c in (("2024-01-05", 10.0), ("2024-01-07", 99.0), ("2024-01-08", 11.0))])
+    cal = calendar("2024-01-05", "2024-01-08", "2024-01-09", closed=("2024-01-06", "2024-01-07"))
+
+    def closes(begin):
+        spans = spark.sql(f"SELECT 'a' AS code, DATE '{begin}' AS from_date, DATE '2024-01-09' AS to_date")
+        return [(r.date.isoformat(), r.pre_close) for r in fill_suspensions(spans, bars, cal).orderBy("date").collect()]
+
+    assert closes("2024-01-05") == [("2024-01-05", None), ("2024-01-08", 10.0), ("2024-01-09", 11.0)]
+    assert closes("2024-01-08") == [("2024-01-08", 99.0), ("2024-01-09", 11.0)]

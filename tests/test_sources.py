@@ -232,3 +232,26 @@ def test_csv_and_json_round_trip(spark, tmp_path):
     files.write_json(df, str(tmp_path / "json"))
     assert spark.read.json(str(tmp_path / "json")).first()["一级行业名称"] == "农业"
     assert files.as_document(df.select("n")).first()[0] == '{"n":null}'
+
+
+def test_values_that_cannot_be_read_are_named_or_null(spark):
+    from pyspark.sql import functions as F
+
+    from marketframe.functions.numeric import round_at
+    from marketframe.sources.bars import numeric_bars
+    from marketframe.sources.events import capital_events
+    from marketframe.sources.files import decode_day_files, decode_report_files, unreadable_report_files
+
+    files = spark.createDataFrame([("x/gpcw20240331.dat", bytearray(b"short"))], "path string, content binary")
+    assert [tuple(map(str, r)) for r in unreadable_report_files(files).collect()] == [("x/gpcw20240331.dat", "2024-03-31", "no header")]
+    assert decode_report_files(files).count() == 0
+    numbers = [1e300, float("inf"), -2.0**60, 1.005, -1.675, None]
+    rounded = [r[0] for r in spark.createDataFrame([(x,) for x in numbers], "x double").select(round_at(F.col("x"), 2)).collect()]
+    assert rounded == [1e300, float("inf"), -2.0**60, 1.0, -1.68, None]
+    texts = spark.createDataFrame([("a", " "), ("b", None), ("c", "1,5")], "code string, pre_close string")
+    plain = texts.withColumns({c: F.lit("1") for c in ("open", "high", "low", "close", "volume", "amount")})
+    assert {r.code: r.pre_close for r in numeric_bars(plain).collect()} == {"a": None, "b": -1.0, "c": 15.0}
+    names = ["fenhong", "peigujia", "songzhuangu", "peigu", "panqianliutong", "qianzongguben", "panhouliutong", "houzongguben"]
+    raw = spark.createDataFrame([("a", 2024, m, 5, 1, *[0.0] * 8) for m in (1, 12, 123)], ["code", "year", "month", "day", "category", *names])
+    assert [str(r.date) for r in capital_events(raw).collect()] == ["2024-01-05", "2024-12-05", "None"]
+    assert decode_day_files(spark.createDataFrame([], "path string, content binary"), "2024-01-01", "2024-01-02").count() == 0
