@@ -255,6 +255,43 @@ def gap_dates_long(s: Shapes) -> DataFrame:
     return _long_gap(s)
 
 
-@query()
+@query(f"""WITH {SUMMARY}, totals AS (
+  SELECT sum(row_count) FILTER (kind = 'core')::bigint AS core_missing, sum(row_count) FILTER (kind = 'warning')::bigint AS warnings FROM summary),
+all_missing AS (SELECT *, row_number() OVER (ORDER BY check_order, date, code) AS place FROM ({MISSING})),
+detail AS (SELECT check_name, count(*) AS total, count(*) FILTER (place <= {BUDGET}) AS shown FROM all_missing GROUP BY check_name)
+SELECT 'status' AS part, json_object('status', CASE WHEN core_missing = 0 THEN 'complete' ELSE 'gaps_found' END,
+       'core_missing', core_missing, 'warnings', warnings)::varchar AS document FROM totals
+UNION ALL SELECT 'check', CASE WHEN d.total IS NULL THEN json_object('check_name', c.check_name, 'kind', kind, 'row_count', row_count)
+       ELSE json_object('check_name', c.check_name, 'kind', kind, 'row_count', row_count, 'total', total, 'shown', shown, 'truncated', shown < total) END::varchar
+FROM summary c LEFT JOIN detail d ON d.check_name = c.check_name
+UNION ALL SELECT 'gap', json_object('check_order', check_order, 'check_name', check_name, 'cal_date', cal_date::varchar,
+       'expected', expected, 'actual', actual, 'missing', missing)::varchar FROM all_gaps
+UNION ALL SELECT 'missing', json_object('check_order', check_order, 'check_name', check_name, 'date', date::varchar, 'code', code, 'name', name)::varchar
+FROM all_missing WHERE place <= {BUDGET}""")
 def audit_document(s: Shapes) -> DataFrame:
     return audit.audit_document(tables(s), SCOPE, limit=BUDGET)
+
+
+@query("""WITH
+chosen AS (SELECT code, list_date, delist_date FROM master WHERE board = 'INDEX' AND list_status = 'L'),
+due AS (SELECT cal_date, count(*) AS n FROM cal JOIN chosen ON cal_date >= list_date AND (delist_date IS NULL OR cal_date <= delist_date)
+        WHERE is_open = 1 AND cal_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30' GROUP BY cal_date),
+had AS (SELECT date, count(*) AS n FROM bars SEMI JOIN chosen USING (code) GROUP BY date)
+SELECT cal_date, due.n AS expected, coalesce(had.n, 0) AS actual, due.n - coalesce(had.n, 0) AS missing
+FROM due LEFT JOIN had ON had.date = cal_date WHERE due.n > coalesce(had.n, 0)""")
+def gap_dates_index(s: Shapes) -> DataFrame:
+    """The index scope: the blocking check that is made on request only."""
+    found = audit.audit_gaps(tables(s), SCOPE, include_index=True)
+    return found.where(F.col("check_name") == "index_bars").drop("check_order", "check_name")
+
+
+@query("""WITH
+chosen AS (SELECT code, name, list_date, delist_date FROM master
+           WHERE board NOT IN ('INDEX', 'BJ') AND list_status = 'L' AND exchange IN ('SH', 'SZ') AND symbol IN ('000001', '000002', '000005', '000011')),
+due AS (SELECT cal_date AS date, code, name FROM cal JOIN chosen ON cal_date >= list_date AND (delist_date IS NULL OR cal_date <= delist_date)
+        WHERE is_open = 1 AND cal_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30')
+SELECT date, code, name FROM due ANTI JOIN bars USING (code, date)""")
+def missing_codes_named(s: Shapes) -> DataFrame:
+    """Named codes among the securities of two exchanges."""
+    scope = audit.Scope(SCOPE.begin, SCOPE.end, ("sh", "sz"), ("000001,000002", "000005，000011"))
+    return audit.missing_codes(s.bars(), "date", s.bars(), s.master(), s.calendar(), scope, is_bars=True)

@@ -25,13 +25,25 @@ def by_seconds(width: int = 600) -> Chunk:
     return lambda time: F.floor(F.unix_micros(time.cast("timestamp")) / F.lit(width * 1_000_000))
 
 
-def default_chunk(kind: str) -> Chunk:
-    """A year of days, or ten minutes of a timestamp.
+#: Chunk widths of a timestamp in seconds, and the rows a chunk of one key may have.
+WIDTHS, ROWS_PER_CHUNK = (600, 60, 6, 1), 200_000
 
-    The width bounds what one task must hold of one key: at most a row per day here, and
-    ten minutes of even the densest key there. Narrower chunks only add carried rows.
+
+def fitted_seconds(sides: Sequence[tuple[DataFrame, str]], on: Sequence[str], rows: int | None = None) -> Chunk:
+    """Chunk timestamps so that no chunk of a key has more than ``rows`` rows of one side.
+
+    One map-side combined count per width tried, widest first; mostly that is one count. Narrower
+    chunks only add carried rows.
     """
-    return by_days() if kind == "date" else by_seconds()
+    most = rows or ROWS_PER_CHUNK
+    for width in WIDTHS[:-1]:
+        chunk = by_seconds(width)
+        densest = [
+            df.groupBy(*on, chunk(F.col(time)).alias("_c")).count().agg(F.max("count")).first()[0] or 0 for df, time in sides
+        ]
+        if max(densest) <= most:
+            return chunk
+    return by_seconds(WIDTHS[-1])
 
 
 def chunks_between(begin: Column, end: Column, chunk: Chunk) -> Column:
@@ -144,9 +156,12 @@ def asof_join(
     if clash:
         raise ValueError(f"output columns already on the left side: {sorted(clash)}")
     base = left if left_unique else left.select(*on, left_time).distinct()
+    if chunk is None:  # a year has at most a row per day; a timestamp has no such bound
+        dated = dict(left.dtypes)[left_time] == "date"
+        chunk = by_days() if dated else fitted_seconds([(base, left_time), (right, right_time)], on)
     marks = {"at_or_before": None, "strictly_before": "_known"} if strict else {}
     scanned = scan_known(
-        base, right, on, left_time, right_time, list(names), chunk or default_chunk(dict(left.dtypes)[left_time]), left_chunks=left_chunks, **marks
+        base, right, on, left_time, right_time, list(names), chunk, left_chunks=left_chunks, **marks
     )
     if how == "inner":
         scanned = scanned.where(F.col("_known").isNotNull())

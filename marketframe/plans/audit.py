@@ -23,7 +23,7 @@ FACTOR_CHANGE, PRICE_TOLERANCE = 1e-9, 0.01
 
 @dataclass(frozen=True)
 class Scope:
-    """What an audit covers."""
+    """What an audit covers: securities of the exchanges and, if any are named, among the codes."""
 
     begin: DateLike
     end: DateLike
@@ -401,12 +401,13 @@ def audit_document(t: AuditTables, scope: Scope, include_index: bool = False, li
     """The whole audit as JSON lines: status, then checks, gap days and missing securities.
 
     ``part`` says what a line is. Only missing securities share the row budget; gap days
-    are always complete, and each check's line says how much of its detail was cut. Gap
-    days, findings and the summary are each computed once and checkpointed, because several
-    parts of the document read them.
+    are always complete, and each check's line says how much of its detail was cut. Gap days
+    (one row per check and day) and the summary (one per check) are computed once and
+    checkpointed. Findings are not stored: their totals are an aggregate, the lines shown an
+    ordered limit.
     """
     gaps = checkpointed(audit_gaps(t, scope, include_index))
-    missing = checkpointed(audit_missing(t, scope, include_index, gaps))
+    missing = audit_missing(t, scope, include_index, gaps)
     summary = checkpointed(audit_summary(t, scope, include_index, gaps))
     shown, totals = limit_detail(missing, ["check_order", "date", "code"], "check_name", limit)
 

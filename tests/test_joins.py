@@ -86,3 +86,23 @@ def test_asof_on_timestamps(spark, seconds):
     got = asof_join(lf, rf, ["k"], "t", "rt", ["rm"], strict=True, chunk=by_seconds(seconds))
     want = [(m, max((r for r in right if r < m), default=None)) for m in left]
     assert rows(got.select("m", "rm"), "m") == want
+
+
+def test_dense_timestamps_get_narrower_chunks(spark):
+    """One key with many rows inside ten minutes is cut into several window groups."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from marketframe.operators.joins import asof_join, fitted_seconds
+
+    start = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([("a", start + dt.timedelta(milliseconds=500 * i), i) for i in range(1000)], "k string, t timestamp_ntz, i int")
+    right = left.where("i % 7 = 0").select("k", F.col("t").alias("r"), F.col("i").alias("v"))
+    chunk = fitted_seconds([(left, "t"), (right, "r")], ["k"], rows=50)
+    groups = left.groupBy(chunk(F.col("t")).alias("c")).count().collect()
+    assert len(groups) > 5 and max(g["count"] for g in groups) <= 50
+    wide = fitted_seconds([(left, "t")], ["k"])
+    assert left.select(wide(F.col("t")).alias("c")).distinct().count() == 1
+    got = asof_join(left, right, ["k"], "t", "r", ["v"], chunk=chunk).orderBy("i").collect()
+    assert [r.v for r in got] == [i - i % 7 for i in range(1000)]
