@@ -5,12 +5,13 @@ Jaccard distance is a metric. The join works on distinct shingle sets (copies co
 1. Regions. Linked sets share one of their first |x| - ceil(0.8 |x|) + 1 shingles in any common
    order, so every such shingle is a region and only sets that meet in a region can link. The
    order puts frequent shingles last, which keeps passages shared by many documents from filling regions.
-2. Pivots. In a region too large to compare outright, central sets become pivots and all members
-   are measured against them. A member within the threshold of a pivot is linked through it.
-3. Windows. By the triangle inequality a member x linked to pivot p can only have a further link
-   of interest to a member y that is not linked to p with d(y, p) <= d(x, p) + 0.2. Members without such a y are
-   done; the others, the boundary, are replicated to the next round with the unlinked ones.
-4. Recursion. The rest of each region is joined again with more pivots, until nothing is left.
+2. Pivots. In a region too large to compare outright the central set becomes the pivot and all
+   members are measured against it: those within the threshold form its cell.
+3. Windows. By the triangle inequality x and y can only link if |d(x, p) - d(y, p)| <= 0.2. Members
+   of one component need no comparison either. So a member outside the region's main component is
+   compared with the others inside its window only, wherever the cell boundary runs.
+4. Recursion. Such members become the pivots of the next round, ever more at a time, until every
+   region lies in one component or has no pair left.
 
 A dense group is joined by stars instead of all its pairs, and no link between groups is lost:
 the components are exact. Sets are compared by 64-bit shingle hashes and classes are named by a 64-bit
@@ -37,7 +38,7 @@ PERCENT = 80
 #: Regions up to this size are compared outright.
 LEAF = 6
 #: Frequent shingles that are ordered last; any choice gives the same links.
-MAX_FREQUENT, LOCAL_FREQUENT, LOCAL_MIN = 1 << 16, 4096, 4
+MAX_FREQUENT, LOCAL_FREQUENT, LOCAL_MIN = 1 << 18, 8192, 2
 #: Members measured against a pivot by one task at a time.
 MEMBERS_PER_TASK = 256
 #: A class table of up to so many rows (16 bytes each) is broadcast.
@@ -192,7 +193,7 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def possible(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Of distinct pairs (hub, class) hub, class, bound (the least distance they can have) and maybe (a link is possible).
+    """Distinct pairs (hub, class) with maybe: whether their sets can be linked at all.
 
     heads has per class its size n and the regions it shares with others. A common shingle is a
     common region, or it lies past the regions of one of the two; that bounds the overlap.
@@ -207,7 +208,7 @@ def possible(pairs: DataFrame, heads: DataFrame) -> DataFrame:
     most = F.least(most, F.col("n"), F.col("hub_n"))
     sized = joined.withColumn("most", most)
     union = F.col("n") + F.col("hub_n") - F.col("most")
-    return sized.select("hub", "class", (1 - F.col("most") / union).alias("bound"), (100 * F.col("most") >= PERCENT * union).alias("maybe"))
+    return sized.select("hub", "class", (100 * F.col("most") >= PERCENT * union).alias("maybe"))
 
 
 def _broadcast_small(rows: DataFrame) -> DataFrame:
@@ -229,61 +230,72 @@ def _leaf_pairs(regions: DataFrame) -> DataFrame:
     return numbered.select("hub", "hub_n", F.col("x.class").alias("class"), F.col("x.n").alias("n")).filter(_close("hub_n", "n")).select("hub", "class")
 
 
-def _sized(regions: DataFrame) -> DataFrame:
-    counts = regions.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
-    return regions.join(counts, "token")
-
-
 def _measured_links(pairs: DataFrame, heads: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of distinct pairs the distances (a lower bound where no link is possible) and the links (u, v)."""
-    checked = staged(possible(pairs, heads), "checked")
-    exact = measured(checked.filter("maybe").select("hub", "class"), texts)
-    far = checked.filter("NOT maybe").select("hub", "class", F.lit(False).alias("linked"), F.col("bound").alias("distance"))
-    result = staged(exact.union(far), "measured")
+    """Of distinct pairs the exact distances where a link is possible, and the links (u, v)."""
+    checked = staged(possible(pairs, heads).filter("maybe").select("hub", "class"), "checked")
+    result = staged(measured(checked, texts), "measured")
     return result, result.filter("linked").select(F.col("hub").alias("u"), F.col("class").alias("v"))
 
 
-def links(regions: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (u, v) between classes that give the exact components; regions holds token, class, n.
+def _around_centres(large: DataFrame) -> DataFrame:
+    """Members with their weight and the centre of their region.
+
+    The centre is the member that meets most others anywhere: it lies close to most of its group.
+    """
+    weighted = large.withColumn("weight", F.sum("members").over(Window.partitionBy("class"))).drop("members")
+    weighted = staged(weighted, "weighted")
+    centre = F.max_by(F.struct("class", "n"), F.struct("weight", -F.col("class"))).alias("pivot")
+    centres = weighted.groupBy("token").agg(centre).select("token", F.col("pivot.class").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
+    return weighted.join(centres, "token")
+
+
+def _open_regions(rest: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of regions that span several components, with their root, and minor if it is not the main one."""
+    labelled = staged(rest.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "labelled")
+    sizes = labelled.groupBy("token", "root").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("token").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
+    return labelled.join(main.drop("roots"), "token").withColumn("minor", F.col("root") != F.col("main")).drop("main")
+
+
+def _without_twins(regions: DataFrame) -> DataFrame:
+    """Of regions with the same members one: the others would only name the same pairs again."""
+    one, two = F.xxhash64("class"), F.xxhash64("class", F.lit(1))
+    named = regions.groupBy("token").agg(F.count("*").alias("members"), F.bit_xor(one).alias("one"), F.bit_xor(two).alias("two"))
+    kept = named.groupBy("members", "one", "two").agg(F.min("token").alias("token"))
+    return regions.join(kept.select("token", "members"), "token").filter("members > 1")
+
+
+def component_roots(regions: DataFrame, texts: DataFrame) -> DataFrame:
+    """class and root of every class that has a link; regions holds token, class, n.
 
-    A round takes twice as many pivots as squared: 1, 4, 16, .. so the number of rounds is
-    logarithmic even where a region's members have nothing in common but its shingle.
+    First every region is measured against its centre. Then, in regions that still span several
+    components, members outside the largest one become pivots, 64 times as many in each round: they
+    meet the members of other components inside their window, and then leave the region.
     """
-    found, pivots = None, 1
     heads = staged(regions.groupBy("class", "n").agg(F.collect_list("token").alias("heads")), "heads")
-    regions = staged(_sized(regions), "regions")
-    while not regions.isEmpty():
-        pairs = _leaf_pairs(regions.filter(F.col("members") <= LEAF).drop("members"))
-        large = regions.filter(F.col("members") > LEAF)
-        if large.isEmpty():
-            _, linked = _measured_links(pairs.distinct(), heads, texts)
-            return found.union(linked) if found is not None else linked
-        # Central sets meet many others: they lie close to most of their group.
-        weights = large.groupBy("class").agg(F.sum("members").alias("weight"))
+    counted = staged(_without_twins(regions), "regions")
+    pairs = _leaf_pairs(counted.filter(F.col("members") <= LEAF).drop("members"))
+    met = staged(_around_centres(counted.filter(F.col("members") > LEAF)).filter("class <> pivot"), "met")
+    star = met.filter(_close("n", "pivot_n")).select(F.col("pivot").alias("hub"), "class")
+    once = pairs.union(star).select(F.least("hub", "class").alias("hub"), F.greatest("hub", "class").alias("class")).distinct()
+    result, found = _measured_links(once, heads, texts)
+    both = result.union(result.select("class", "hub", "linked", "distance")).toDF("pivot", "class", "linked", "distance")
+    rest, pivots = met.join(both.drop("linked"), ["pivot", "class"], "left").select("token", "class", "n", "weight", "distance"), 16
+    while True:
+        roots = components(found).withColumnRenamed("node", "class")
+        opened = staged(_open_regions(rest, roots), "open-regions")
+        if opened.isEmpty():
+            return roots
         best = Window.partitionBy("token").orderBy(F.desc("weight"), "class")
-        ranked = large.join(weights, "class").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= pivots)
-        chosen = staged(ranked.select("token", F.col("class").alias("pivot"), F.col("n").alias("pivot_n")), "pivots")
-        met = large.join(chosen, "token").filter("class <> pivot")
-        both_ways = met.filter(_close("n", "pivot_n")).join(chosen.select("token", F.col("pivot").alias("class"), F.lit(True).alias("also")), ["token", "class"], "left")
-        star = both_ways.filter("also IS NULL OR pivot < class").select(F.col("pivot").alias("hub"), "class")
-        result, linked = _measured_links(pairs.union(star).distinct(), heads, texts)
-        found = linked if found is None else found.union(linked)
-        either = result.union(result.select(F.col("class"), F.col("hub"), "linked", "distance")).toDF("pivot", "class", "linked", "distance").distinct()
-        # A pair that was not measured is at least as far apart as its sizes are.
-        by_size = 1 - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")
-        at = met.join(either, ["pivot", "class"], "left").select(
-            "token", "class", "pivot", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("distance", by_size).alias("distance"))
-        at = staged(at, "distances")
-        nearest = at.filter("NOT linked").groupBy("token", "pivot").agg(F.min("distance").alias("nearest"))
-        outside = F.col("nearest").isNull() | (F.col("distance") + (1 - PERCENT / 100) + 1e-9 < F.col("nearest"))
-        done = at.filter("linked").join(nearest, ["token", "pivot"], "left").filter(outside).select("token", "class")
-        done = done.union(chosen.select("token", "pivot")).distinct()
-        rest = large.select("token", "class", "n").join(done, ["token", "class"], "left_anti")
-        regions = staged(_sized(rest), "regions")
-        pivots *= 4
-    if found is None:
-        return regions.select(F.col("class").alias("u"), F.col("class").alias("v"))
-    return found
+        ranked = opened.filter("minor").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= pivots)
+        chosen = staged(ranked.select("token", *[F.col(c).alias(f"pivot_{c}") for c in ("class", "n", "root", "distance")]), "pivots")
+        window = F.coalesce(F.abs(F.col("distance") - F.col("pivot_distance")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
+        near = opened.join(chosen, "token").filter((F.col("root") != F.col("pivot_root")) & window & _close("n", "pivot_n"))
+        once = near.select(F.least("pivot_class", "class").alias("hub"), F.greatest("pivot_class", "class").alias("class")).distinct()
+        found = staged(found.union(_measured_links(once, heads, texts)[1]), "links")
+        gone = chosen.select("token", F.col("pivot_class").alias("class"))
+        rest = opened.drop("root", "minor").join(gone, ["token", "class"], "left_anti")
+        pivots *= 64
 
 
 def _class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -308,8 +320,8 @@ def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = staged(shared.select("token", "class", "n").distinct(), "shared-regions")
     wanted = shared.select("class").distinct().join(classes, "class").select("class", "first.doc_id", "first.text_hash")
     texts = _class_texts(docs, staged(wanted, "wanted"))
-    roots = components(links(shared, texts))
-    joined = classes.select("class", F.col("first.doc_id").alias("first")).join(roots.withColumnRenamed("node", "class"), "class", "left")
+    roots = component_roots(shared, texts)
+    joined = classes.select("class", F.col("first.doc_id").alias("first")).join(roots, "class", "left")
     joined = joined.withColumn("root", F.coalesce("root", "class"))
     smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.drop("prefix"), joined.join(smallest, "root").select("class", "component_id")
