@@ -28,7 +28,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
