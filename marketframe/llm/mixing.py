@@ -114,7 +114,8 @@ def with_repeats(docs: DataFrame, seed: int = 17, max_epochs: float = 3.0, **col
     """
     frame, cols = sized(docs, seed, **columns)
     narrow = staged(frame.select(*[F.col(cols[c]).alias(c) for c in ("size", "source_null", "source_key", "order")]), "mix-items")
-    plan = mixing_plan(narrow, max_epochs)
+    # One row per source; written, so that its size is known and Spark need not shuffle the texts to meet it.
+    plan = staged(mixing_plan(narrow, max_epochs), "mix-plan")
     added = ("source_size", "target", "repeats", "whole", "cut")
     names = dict(zip(added, own_columns(frame, *added)))
     plan = plan.select(
