@@ -110,7 +110,8 @@ def placed(rows: DataFrame, n_shards: int, tie: list[str]) -> DataFrame:
     the bytes goes to shard i, so two shards differ by less than two rows' bytes, and the result
     does not depend on the sample. tie orders rows with one key.
     """
-    splitters = splitters_of(rows, n_shards)
+    # Sampling reads keys several times; written once, no filter computes the digest of a text again.
+    splitters = splitters_of(staged(rows.select("key", "size"), "shard-sizes"), n_shards)
     ranged = rows.withColumn("range", _range_of(splitters))
     totals = ranged.groupBy("range").agg(F.sum("size").alias("range_bytes"), F.count("*").alias("range_rows"))
     ahead = rows_before([], ["range"])  # one row per range, MAX_RANGES at most
