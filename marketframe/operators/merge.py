@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import DateLike, as_date, between_days
+
 OVERWRITE = "overwrite"  # the batch value wins, NULL included
 COALESCE = "coalesce"    # a non-NULL batch value wins
 KEEP = "keep"            # the stored value stays; new rows take the batch value or the stamp
@@ -104,50 +106,80 @@ def _id(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-#: Distinct days that are listed one by one in a filter; beyond it whole months are.
+#: Partition units of a store: what a dynamic overwrite replaces as a whole.
+DAY, MONTH = "day", "month"
+#: Distinct days that are listed alone in a filter; more get bounds by month too, which prune better.
 MAX_LISTED_DAYS = 200
 
 
-def touched(updates: DataFrame, day: str, kind: str = "date") -> Column | None:
-    """Filter on ``day`` for the days that ``updates`` has, or for their months if they are many.
+def partition_unit(touched: bool | str | None, default: str = MONTH) -> str | None:
+    """DAY or MONTH as named, ``default`` for True, None (the whole table) for False."""
+    unit = default if touched is True else touched or None
+    if unit not in (None, DAY, MONTH):
+        raise ValueError(f"no partition unit: {touched!r}")
+    return unit
+
+
+def month_bounds(first: dt.date, last: dt.date) -> tuple[dt.date, dt.date | None]:
+    """First day of the first month and first day after the last one, None after December 9999."""
+    after = last.year * 12 + last.month
+    return dt.date(first.year, first.month, 1), dt.date(after // 12, after % 12 + 1, 1) if after < 120000 else None
+
+
+def in_partitions(day: Column, begin: DateLike | None, end: DateLike | None, unit: str | None) -> Column:
+    """``between_days`` widened to whole partitions."""
+    if unit != MONTH:
+        return between_days(day, begin, end)
+    first = None if begin is None else month_bounds(as_date(begin), as_date(begin))[0]
+    after = None if end is None else month_bounds(as_date(end), as_date(end))[1]
+    until = between_days(day, first, None)
+    return until if after is None else until & (day < F.lit(after))
 
-    The days are read first: at most one row per calendar day (about 36,500 a century). Listed
-    days or spans of whole months keep one stale row from widening the filter to all history.
-    None when there is no day at all.
+
+def touched(updates: DataFrame, day: str, kind: str = "date", unit: str = DAY) -> Column | None:
+    """Filter on ``day`` for the partitions (days or whole months) that ``updates`` has rows for.
+
+    The unit alone decides which rows pass, never the number of days. Rows without a day are a
+    partition too. The days are read first: at most one row per calendar day (about 36,500 a
+    century). Listed days or spans of months keep one stale row from widening the filter to all
+    history. None when there is no row at all.
     """
-    found = updates.select(F.col(day).cast(kind).alias("d")).where("d IS NOT NULL").distinct().collect()
-    days = sorted(r["d"] for r in found)
+    found = [r["d"] for r in updates.select(F.col(day).cast(kind).alias("d")).distinct().collect()]
+    days = sorted(d for d in found if d is not None)
+    dayless = F.col(day).isNull() if len(days) < len(found) else None
     if not days:
-        return None
-    if len(days) <= MAX_LISTED_DAYS:
-        return F.col(day).isin(days)
-    spans: list[list[dt.date]] = []
-    for d in days:
-        first = d.replace(day=1)
-        after = (first + dt.timedelta(days=32)).replace(day=1)
-        if spans and spans[-1][1] >= first:
-            spans[-1][1] = max(spans[-1][1], after)
+        return dayless
+    inside = F.lit(False)
+    spans: list[list[dt.date | None]] = []
+    for d in days if unit == MONTH or len(days) > MAX_LISTED_DAYS else []:
+        first, after = month_bounds(d, d)
+        if spans and (spans[-1][1] is None or spans[-1][1] >= first):
+            spans[-1][1] = after
         else:
             spans.append([first, after])
-    inside = F.lit(False)
     for first, after in spans:
-        inside = inside | ((F.col(day) >= F.lit(first)) & (F.col(day) < F.lit(after)))
-    return inside
+        span = F.col(day) >= F.lit(first)
+        inside = inside | (span if after is None else span & (F.col(day) < F.lit(after)))
+    if unit == DAY:
+        inside = inside & F.col(day).isin(days) if spans else F.col(day).isin(days)
+    return inside if dayless is None else inside | dayless
 
 
 def merge_touched(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], rules: dict[str, str], day: str, *, whole: bool = False, **options
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], rules: dict[str, str], day: str, unit: str | None, **options
 ) -> DataFrame:
-    """``merge_keyed`` that reads and returns only the days (or months) the batch has.
+    """``merge_keyed`` that reads and returns only the partitions the batch has, whole.
 
-    With ``whole`` the rest of the target follows unchanged; it is read apart and never shuffled.
-    The filter on ``day`` reaches the target's scan and prunes partitions and row groups.
+    ``unit`` is what the store is partitioned by, DAY or MONTH: all rows of those partitions come
+    back, so a dynamic overwrite loses none. Without it (None) the days of the batch are joined and the rest of
+    the target follows unchanged; it is read apart and never shuffled. The filter on ``day``
+    reaches the target's scan and prunes partitions and row groups.
     """
-    inside = touched(updates, day, dict(target.dtypes)[day])
-    if inside is None:  # rows without a day match nothing that is stored
+    inside = touched(updates, day, dict(target.dtypes)[day], unit or DAY)
+    if inside is None:  # an empty batch touches nothing
         inside = F.lit(False)
     merged = merge_keyed(target.where(inside), updates, keys, rules, **options)
-    return target.where(~F.coalesce(inside, F.lit(False))).unionByName(merged) if whole else merged
+    return merged if unit else target.where(~F.coalesce(inside, F.lit(False))).unionByName(merged)
 
 
 def merge_window(
@@ -183,17 +215,17 @@ def dedup_by_values(df: DataFrame, keys: Sequence[str], order: str | None = None
 
 
 def merge_present(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], owned: Sequence[str], *, day: str | None = None, whole: bool = True, **options
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], owned: Sequence[str], *, day: str | None = None, unit: str | None = None, **options
 ) -> DataFrame:
     """Overwrite only those owned columns that the batch carries; stamp ``updated_at``.
 
-    With ``day`` only the days of the batch are joined, and without ``whole`` only they are returned.
+    With ``day`` only the days of the batch are joined, and with ``unit`` only their whole partitions are returned.
     """
     rules = {c: OVERWRITE for c in owned if c in updates.columns}
     if "updated_at" in target.columns:
         rules["updated_at"] = NOW
     if day is not None:
-        return merge_touched(target, updates, keys, rules, day, whole=whole, **options)
+        return merge_touched(target, updates, keys, rules, day, unit, **options)
     return merge_keyed(target, updates, keys, rules, **options)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import DateLike, as_date
-from ..operators.merge import KEEP, NOW, OVERWRITE, dedup_last, merge_keyed, merge_touched
+from ..operators.merge import KEEP, NOW, OVERWRITE, dedup_last, in_partitions, merge_keyed, merge_touched, partition_unit
 from ..operators.series import densify
 from ..sources.files import require_columns
 
@@ -16,15 +16,16 @@ FACTORS = ("fore_factor", "back_factor", "adjust_factor")
 FACTOR_RULES = {**{f: OVERWRITE for f in FACTORS}, "created_at": KEEP, "updated_at": NOW}
 
 
-def store_events(raw: DataFrame, events: DataFrame, now: dt.datetime, order: str, touched: bool = False) -> DataFrame:
+def store_events(raw: DataFrame, events: DataFrame, now: dt.datetime, order: str, touched: bool | str = False) -> DataFrame:
     """Upsert change events (code, date, factors); repeated (code, date) rows keep the last by ``order``.
 
-    Rows that tie in ``order`` too keep the greatest factors. ``touched`` returns only the days of the events.
+    Rows that tie in ``order`` too keep the greatest factors. ``touched`` returns only the whole months (or, if it is
+    ``"day"``, days) of the events.
     """
     require_columns(events, ["code", "date", *FACTORS, order], "factor events")
     last = dedup_last(events, ["code", "date"], [order, *FACTORS])
     batch = last.select("code", F.col("date").cast("date").alias("trade_date"), *FACTORS)
-    return merge_touched(raw, batch, ["code", "trade_date"], FACTOR_RULES, "trade_date", whole=not touched, now=now)
+    return merge_touched(raw, batch, ["code", "trade_date"], FACTOR_RULES, "trade_date", partition_unit(touched), now=now)
 
 
 def recompute_ranges(
@@ -72,20 +73,21 @@ def run_factors(
     as_of: DateLike,
     now: dt.datetime,
     order: str,
-    touched: bool = False,
+    touched: bool | str = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(new raw table, new dense table). Both are plans; writing them is one commit.
 
     The days to compute are known from one row per target, so their span is read first: the
     dense table is joined inside it alone, and the rest follows unshuffled, or with ``touched``
-    is neither read nor returned.
+    is neither read nor returned; the span then is widened to whole months, unless it is ``"day"``.
     """
     new_raw = store_events(raw, events, now, order)
     ranges = recompute_ranges(targets, events, dense, as_of)
     rows = densify(ranges, new_raw, calendar, values=FACTORS)
     span = ranges.agg(F.min("from_date").alias("first"), F.max("to_date").alias("last")).first()
-    inside = F.lit(False) if span["first"] is None else F.coalesce(
-        F.col("trade_date").between(F.lit(span["first"]), F.lit(span["last"])), F.lit(False))
+    inside = F.lit(False)
+    if span["first"] is not None:
+        inside = F.coalesce(in_partitions(F.col("trade_date"), span["first"], span["last"], partition_unit(touched)), F.lit(False))
     merged = merge_keyed(dense.where(inside), rows, ["code", "trade_date"], FACTOR_RULES, now=now)
-    stored_raw = store_events(raw, events, now, order, touched=True) if touched else new_raw
+    stored_raw = store_events(raw, events, now, order, touched) if touched else new_raw
     return stored_raw, merged if touched else dense.where(~inside).unionByName(merged)

@@ -1,8 +1,8 @@
 """One function per program: landed frames and stored tables in, what has to be stored out.
 
-Dated tables come back as the days (or months) a batch touches, ready for a dynamic partition
-overwrite; ``touched=False`` adds the rest of the table. The stored plans stay lazy; only the
-distinct days of a batch are read while planning.
+Dated tables come back as the whole months (``touched="day"``: days) a batch touches, ready for a
+dynamic overwrite of a store partitioned by that unit; ``touched=False`` adds the rest of the table. The stored
+plans stay lazy; only the distinct days of a batch are read while planning.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import DateLike, as_date
 from ..operators import fills
 from ..operators.industry import derive_hierarchy
-from ..operators.merge import fallback_union, first_available
+from ..operators.merge import MONTH, fallback_union, first_available, partition_unit
 from ..operators.series import fill_suspensions
 from ..sources import bars as bar_sources
 from ..sources import events as event_sources
@@ -26,11 +26,11 @@ HIERARCHY_COLUMNS = ("行业代码", "一级行业名称", "二级行业名称",
 
 
 def import_combined_bars(
-    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, touched: bool = True,
+    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, touched: bool | str = MONTH,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(bars, indicators, rejected codes) from the source that carries both."""
     daily, indicators, rejected = bar_sources.split_combined(raw)
-    return loads.load_bars(stored_bars, daily, touched=touched), loads.load_indicators(stored_basic, indicators, touched=touched), rejected
+    return loads.load_bars(stored_bars, daily, touched=partition_unit(touched)), loads.load_indicators(stored_basic, indicators, touched=partition_unit(touched)), rejected
 
 
 def import_sparse_bars(
@@ -39,7 +39,7 @@ def import_sparse_bars(
     calendar: DataFrame,
     stored_bars: DataFrame,
     stored_basic: DataFrame,
-    status: int | None = None, touched: bool = True,
+    status: int | None = None, touched: bool | str = MONTH,
 ) -> tuple[DataFrame, DataFrame]:
     """(bars, indicators) from a source that omits suspended days: bar files or online pages.
 
@@ -49,18 +49,18 @@ def import_sparse_bars(
     spans = universe.where(F.col("list_status") != "D").select("code", "from_date", "to_date")
     daily = fill_suspensions(spans, source, calendar, status=status)
     skeleton = bar_sources.indicator_skeleton(daily)
-    return loads.load_bars(stored_bars, daily, touched=touched), loads.load_indicators(stored_basic, skeleton, touched=touched)
+    return loads.load_bars(stored_bars, daily, touched=partition_unit(touched)), loads.load_indicators(stored_basic, skeleton, touched=partition_unit(touched))
 
 
 def import_lot_bars(
-    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, code: str = "code", touched: bool = True,
+    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, code: str = "code", touched: bool | str = MONTH,
 ) -> tuple[DataFrame, DataFrame]:
     daily, indicators = bar_sources.lot_bars(raw, F.col(code))
-    return loads.load_bars(stored_bars, daily, touched=touched), loads.load_indicators(stored_basic, indicators, touched=touched)
+    return loads.load_bars(stored_bars, daily, touched=partition_unit(touched)), loads.load_indicators(stored_basic, indicators, touched=partition_unit(touched))
 
 
-def import_index_bars(raw: DataFrame, stored_bars: DataFrame, touched: bool = True) -> DataFrame:
-    return loads.load_index_bars(stored_bars, bar_sources.index_bars(raw), touched=touched)
+def import_index_bars(raw: DataFrame, stored_bars: DataFrame, touched: bool | str = MONTH) -> DataFrame:
+    return loads.load_index_bars(stored_bars, bar_sources.index_bars(raw), touched=partition_unit(touched))
 
 
 def sync_calendar(raw: DataFrame, stored: DataFrame) -> DataFrame:
@@ -72,34 +72,34 @@ def sync_securities(raw: DataFrame, stored: DataFrame, now: dt.datetime) -> Data
 
 
 def sync_beijing(
-    raw: DataFrame, stored: DataFrame, stored_basic: DataFrame, day: DateLike, now: dt.datetime, touched: bool = True,
+    raw: DataFrame, stored: DataFrame, stored_basic: DataFrame, day: DateLike, now: dt.datetime, touched: bool | str = MONTH,
 ) -> tuple[DataFrame, DataFrame]:
     """(securities, indicators) from the Beijing exchange list."""
     shares = bar_sources.beijing_shares(raw, F.lit(as_date(day)))
     return (
         loads.load_securities(stored, bar_sources.beijing_securities(raw), now),
-        loads.load_share_counts(stored_basic, shares, touched=touched),
+        loads.load_share_counts(stored_basic, shares, touched=partition_unit(touched)),
     )
 
 
-def sync_capital(sources: Sequence[DataFrame], stored: DataFrame, now: dt.datetime, touched: bool = True) -> DataFrame:
+def sync_capital(sources: Sequence[DataFrame], stored: DataFrame, now: dt.datetime, touched: bool | str = MONTH) -> DataFrame:
     """Capital events from the first source, in order of preference, that has each event."""
-    return loads.load_capital(stored, first_available(sources, ["code", "date", "category"]), now, touched=touched)
+    return loads.load_capital(stored, first_available(sources, ["code", "date", "category"]), now, touched=partition_unit(touched))
 
 
 def sync_margin_summary(
     primary: DataFrame, fallback: DataFrame, stored: DataFrame, now: dt.datetime,
-    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool = True,
+    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool | str = MONTH,
 ) -> DataFrame:
     """Cleaned totals; the fallback source fills the exchanges and days the primary lacks."""
-    return loads.load_margin_summary(stored, fallback_union(primary, fallback, on), now, touched=touched)
+    return loads.load_margin_summary(stored, fallback_union(primary, fallback, on), now, touched=partition_unit(touched))
 
 
 def sync_margin_detail(
     primary: DataFrame, fallback: DataFrame, stored: DataFrame, now: dt.datetime,
-    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool = True,
+    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool | str = MONTH,
 ) -> DataFrame:
-    return loads.load_margin_detail(stored, fallback_union(primary, fallback, on), now, touched=touched)
+    return loads.load_margin_detail(stored, fallback_union(primary, fallback, on), now, touched=partition_unit(touched))
 
 
 def sync_industry_history(raw: DataFrame, stored: DataFrame, now: dt.datetime, order: str) -> DataFrame:
@@ -112,16 +112,16 @@ def sync_hierarchy(raw: DataFrame, version: str, stored: DataFrame, now: dt.date
 
 
 def sync_finance(
-    decoded: DataFrame, stored: DataFrame, now: dt.datetime, codes: str | Sequence[str] | None = None, touched: bool = True,
+    decoded: DataFrame, stored: DataFrame, now: dt.datetime, codes: str | Sequence[str] | None = None, touched: bool | str = MONTH,
 ) -> DataFrame:
     """Reports of all periods at once, whatever mix of layouts their files have."""
-    return loads.load_finance(stored, event_sources.finance_report(decoded, codes), now, touched=touched)
+    return loads.load_finance(stored, event_sources.finance_report(decoded, codes), now, touched=partition_unit(touched))
 
 
 def fill_shares_and_value(
     basic: DataFrame, bars: DataFrame, capital: DataFrame, master: DataFrame,
-    begin: DateLike, end: DateLike, codes: Iterable[str] | None = None, exchanges: Iterable[str] | None = None, touched: bool = True,
+    begin: DateLike, end: DateLike, codes: Iterable[str] | None = None, exchanges: Iterable[str] | None = None, touched: bool | str = MONTH,
 ) -> DataFrame:
     """Share counts first, then the market values that need them."""
-    counted = fills.fill_shares(basic, capital, master, begin, end, codes, exchanges, touched=touched)
-    return fills.fill_market_value(counted, bars, master, begin, end, codes, exchanges, touched=touched)
+    counted = fills.fill_shares(basic, capital, master, begin, end, codes, exchanges, touched=partition_unit(touched))
+    return fills.fill_market_value(counted, bars, master, begin, end, codes, exchanges, touched=partition_unit(touched))

@@ -1,8 +1,9 @@
 """How each landed batch merges into its table.
 
-Tables with a day take ``touched``: with it a load reads and returns only the days (or months) of
-the batch, as a store with dynamic partition overwrite wants; without it the untouched rows
-follow, unshuffled. Batches are made unique on their keys first: the last row by ``order``, or
+Tables with a day take ``touched``, the unit by which the store is partitioned (``"month"`` or
+``"day"``): with it a load reads and returns only the partitions of the batch, each whole, as a
+dynamic partition overwrite wants; without it the untouched rows follow, unshuffled. ``True``
+means ``"day"`` here and must not be written over larger partitions. Batches are made unique on their keys first: the last row by ``order``, or
 the greatest by value where no order is known.
 """
 
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import loose_date
-from ..operators.merge import COALESCE, KEEP, NOW, OVERWRITE, dedup_by_values, merge_keyed, merge_present, merge_touched
+from ..operators.merge import (
+    COALESCE, DAY, KEEP, NOW, OVERWRITE, dedup_by_values, merge_keyed, merge_present, merge_touched, partition_unit,
+)
 from ..schemas import MARGIN_COLUMNS, REPORT_FIELDS, TABLES
 from ..sources.bars import normalize_bars, numeric_bars
 from ..sources.files import require_columns
@@ -33,16 +36,16 @@ def _all(columns: Sequence[str], rule: str) -> dict[str, str]:
 
 
 def _dated(
-    stored: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], day: str, touched: bool, order: str | None, **options
+    stored: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], day: str, touched: bool | str, order: str | None, **options
 ) -> DataFrame:
-    return merge_touched(stored, dedup_by_values(batch, keys, order), keys, rules, day, whole=not touched, **options)
+    return merge_touched(stored, dedup_by_values(batch, keys, order), keys, rules, day, partition_unit(touched, DAY), **options)
 
 
-def load_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
+def load_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
     return _dated(stored, normalize_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE), "date", touched, order)
 
 
-def load_index_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
+def load_index_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
     return _dated(stored, numeric_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE), "date", touched, order)
 
 
@@ -50,7 +53,7 @@ def load_calendar(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return merge_keyed(stored, batch, ["cal_date"], {"is_open": OVERWRITE})
 
 
-def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
+def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
     """Owned columns only; a NULL never erases a stored value."""
     return _dated(
         stored, batch, ["code", "trade_date"], _all(BASE_INDICATORS, COALESCE), "trade_date", touched, order,
@@ -58,7 +61,7 @@ def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None =
     )
 
 
-def load_share_counts(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool = False) -> DataFrame:
+def load_share_counts(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
     renamed = batch.withColumnRenamed("date", "trade_date")
     return _dated(
         stored, renamed, ["code", "trade_date"], _all(SHARE_COUNTS, COALESCE), "trade_date", touched, order,
@@ -87,7 +90,7 @@ def load_industry_history(stored: DataFrame, batch: DataFrame, now: dt.datetime)
 
 
 def load_capital(
-    stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None, *, touched: bool = False
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None, *, touched: bool | str = False
 ) -> DataFrame:
     """Insert or replace; the day may come as compact number, ISO date or timestamp."""
     dated = batch.withColumn("date", loose_date(F.col("date")))
@@ -101,7 +104,7 @@ def _as_numbers(batch: DataFrame) -> DataFrame:
 
 
 def load_margin_summary(
-    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool = False
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool | str = False
 ) -> DataFrame:
     """Insert or replace: both stamps are renewed."""
     rules = {**_all(MARGIN_COLUMNS, OVERWRITE), "created_at": NOW, "updated_at": NOW}
@@ -109,18 +112,18 @@ def load_margin_summary(
 
 
 def load_margin_detail(
-    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool = False
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool | str = False
 ) -> DataFrame:
     """Values are replaced, created_at stays."""
     rules = {**_all(("code", *MARGIN_COLUMNS), OVERWRITE), "created_at": KEEP, "updated_at": NOW}
     return _dated(stored, _as_numbers(batch), ["trade_date", "exchange_code", "symbol"], rules, "trade_date", touched, order, now=now)
 
 
-def load_finance(stored: DataFrame, batch: DataFrame, now: dt.datetime, *, touched: bool = False) -> DataFrame:
+def load_finance(stored: DataFrame, batch: DataFrame, now: dt.datetime, *, touched: bool | str = False) -> DataFrame:
     """Only the report columns a batch carries are replaced, per row where layouts are mixed."""
     layout = None
     if "field_count" in batch.columns:
         layout = ("field_count", {name: number for number, name in REPORT_FIELDS.items()})
     columns = list(REPORT_FIELDS.values())
     return merge_present(
-        stored, batch, ["code", "report_date"], columns, day="report_date", whole=not touched, now=now, carried_from=layout)
+        stored, batch, ["code", "report_date"], columns, day="report_date", unit=partition_unit(touched, DAY), now=now, carried_from=layout)

@@ -177,3 +177,34 @@ def test_defaults_and_names_are_taken_literally(spark):
     batch = spark.sql("SELECT 2 AS k")
     merged = merge_keyed(stored, batch, ["k"], {}, defaults={"odd`name": "it's", "since": dt.date(2024, 1, 1)})
     assert sorted(map(tuple, merged.collect())) == [(1, "x", dt.date(2020, 1, 1)), (2, "it's", dt.date(2024, 1, 1))]
+
+
+def _by_month(df, day, path):
+    from pyspark.sql import functions as F
+
+    df.withColumn("month", F.date_format(day, "yyyy-MM")).write.mode("overwrite").partitionBy("month").parquet(path)
+
+
+def test_month_partitions_keep_their_untouched_rows_after_a_dynamic_overwrite(spark, table, tmp_path):
+    from marketframe.operators.merge import DAY, MONTH, touched
+    from marketframe.plans import jobs
+
+    path = str(tmp_path / "capital")
+    event = {"code": "a", "category": "x"}
+    days = ("2024-01-02", "2024-01-30", "2024-02-01", "9999-12-31")
+    _by_month(table("capital_detail", *[{**event, "date": d} for d in days], event), "date", path)
+    stored = spark.read.parquet(path).drop("month")
+    last = table("capital_detail", {**event, "date": "9999-12-31"})
+    assert stored.where(touched(last, "date", unit=MONTH)).count() == 1
+    batch = table("capital_detail", {**event, "date": "2024-01-30", "dividend": 2.0}, {**event, "code": "b"}).select("code", "date", "category", "dividend")
+    now = dt.datetime(2024, 3, 1)
+    part = jobs.sync_capital([batch], stored, now)
+    assert sorted(str(r.date) for r in part.collect()) == ["2024-01-02", "2024-01-30", "None", "None"]
+    _by_month(part.localCheckpoint(), "date", path)
+    after = spark.read.parquet(path)
+    assert sorted((str(r.date), r.dividend) for r in after.where("code = 'a'").collect()) == [
+        ("2024-01-02", None), ("2024-01-30", 2.0), ("2024-02-01", None), ("9999-12-31", None), ("None", None)]
+
+    many = spark.range(0, 400, 2).unionAll(spark.range(1000, 1002)).selectExpr("date_add(DATE '2020-01-15', CAST(id AS INT)) AS date")
+    every = spark.range(2000).selectExpr("date_add(DATE '2020-01-01', CAST(id AS INT)) AS date")
+    assert every.where(touched(many, "date", unit=DAY)).count() == many.count() == 202
