@@ -1,7 +1,9 @@
 """Derived daily columns: price limits, volume ratio, share counts, turnover, market value.
 
 Every fill takes the stored daily_basic table and returns it with computed columns set on
-the rows in scope; with ``touched`` it returns the rows in scope alone and reads no others. The computed value depends on the row itself plus attributes joined to
+the rows in scope. With ``touched`` (``"month"``, also for True, or ``"day"``: the unit by which the store is
+partitioned) it reads and returns the partitions from ``begin`` to ``end`` alone, each with all its rows, of
+codes out of scope too, so that a dynamic partition overwrite loses none. The computed value depends on the row itself plus attributes joined to
 it, so each fill decorates the row in place instead of joining results back a second time.
 """
 
@@ -17,7 +19,7 @@ from ..functions.codes import NOT_TRADED_AS_SHARE, SHARE_BOARDS, in_boards, in_c
 from ..functions.dates import DateLike, as_date, between_days
 from ..functions.numeric import round_at
 from .joins import asof_join
-from .merge import concat_sources
+from .merge import concat_sources, in_partitions, partition_unit
 from .series import trailing_mean
 
 UNLIMITED_UP, UNLIMITED_DOWN = 999999.99, 0.01
@@ -132,8 +134,12 @@ def _scope(
     return basic.where(wanted), basic.where(~F.coalesce(wanted, F.lit(False)))
 
 
-def _with_rest(rows: DataFrame, outside: DataFrame, touched: bool) -> DataFrame:
-    return rows if touched else outside.unionByName(rows)
+def _with_rest(
+    rows: DataFrame, outside: DataFrame, touched: bool | str, begin: DateLike | None, end: DateLike | None
+) -> DataFrame:
+    """Decorated rows plus those out of scope: all, or with ``touched`` those of the same partitions."""
+    unit = partition_unit(touched)
+    return (outside.where(in_partitions(F.col("trade_date"), begin, end, unit)) if unit else outside).unionByName(rows)
 
 
 def _attributes(master: DataFrame, eligible: Column, *columns: str) -> DataFrame:
@@ -168,7 +174,7 @@ def fill_price_limits(
     end: DateLike | None = None,
     exchanges: Iterable[str] | None = None,
     codes: Iterable[str] | None = None,
-    touched: bool = False,
+    touched: bool | str = False,
 ) -> DataFrame:
     """Set limit prices and flags on days that traded with a known previous close."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -192,7 +198,7 @@ def fill_price_limits(
         "is_limit_up": at_limit(F.col("_shown"), F.col("_up"), F.col("_upper")),
         "is_limit_down": at_limit(F.col("_shown"), F.col("_up"), F.col("_lower")),
     }
-    return _with_rest(_set_where(priced, F.col("_traded") & F.col("_eligible"), values, basic.columns), outside, touched)
+    return _with_rest(_set_where(priced, F.col("_traded") & F.col("_eligible"), values, basic.columns), outside, touched, begin, end)
 
 
 def fill_volume_ratio(
@@ -203,7 +209,7 @@ def fill_volume_ratio(
     end: DateLike | None = None,
     exchanges: Iterable[str] | None = None,
     codes: Iterable[str] | None = None,
-    touched: bool = False,
+    touched: bool | str = False,
 ) -> DataFrame:
     """Volume over the mean of up to five preceding trading rows, two decimals.
 
@@ -230,7 +236,7 @@ def fill_volume_ratio(
         F.lit(True).alias("_traded"),
     )
     rows = inside.join(source, ["code", "trade_date"], "left")
-    return _with_rest(_set_where(rows, F.col("_traded"), {"volume_ratio": ratio}, basic.columns), outside, touched)
+    return _with_rest(_set_where(rows, F.col("_traded"), {"volume_ratio": ratio}, basic.columns), outside, touched, begin, end)
 
 
 def share_events(capital: DataFrame, master: DataFrame) -> DataFrame:
@@ -273,7 +279,7 @@ def fill_shares(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
-    touched: bool = False,
+    touched: bool | str = False,
 ) -> DataFrame:
     """Total and float shares from the latest share-count state on or before each day."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -289,7 +295,7 @@ def fill_shares(
         scoped, states, ["code"], "trade_date", "_state_day", ["_total", "_float", "_stated"]
     )
     values = {"total_shares": F.col("_total"), "float_shares": F.col("_float")}
-    return _with_rest(_set_where(rows, F.col("_eligible") & F.col("_stated"), values, basic.columns), outside, touched)
+    return _with_rest(_set_where(rows, F.col("_eligible") & F.col("_stated"), values, basic.columns), outside, touched, begin, end)
 
 
 def fill_report(
@@ -347,12 +353,12 @@ def fill_turnover(
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
     overwrite: bool = False,
-    touched: bool = False,
+    touched: bool | str = False,
 ) -> DataFrame:
     """Turnover rate in percent on trading rows; only NULLs unless ``overwrite``."""
     rows, outside, hit = _turnover_rows(basic, bars, master, begin, end, codes, exchanges, overwrite)
     rate = round_at(F.try_divide(F.col("_volume").cast("double"), F.col("float_shares").cast("double")) * 100, 4)
-    return _with_rest(_set_where(rows, hit, {"turnover_rate": rate}, basic.columns), outside, touched)
+    return _with_rest(_set_where(rows, hit, {"turnover_rate": rate}, basic.columns), outside, touched, begin, end)
 
 
 def turnover_updates(
@@ -378,7 +384,7 @@ def fill_market_value(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
-    touched: bool = False,
+    touched: bool | str = False,
 ) -> DataFrame:
     """Market values wherever total shares are known and a bar exists, traded or not."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -391,4 +397,4 @@ def fill_market_value(
         "total_mv": F.col("total_shares") * F.col("_close"),
         "float_mv": F.col("float_shares") * F.col("_close"),
     }
-    return _with_rest(_set_where(rows, hit, values, basic.columns), outside, touched)
+    return _with_rest(_set_where(rows, hit, values, basic.columns), outside, touched, begin, end)

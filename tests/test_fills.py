@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from marketframe.functions.numeric import round_at
 from marketframe.operators import fills
@@ -156,3 +157,27 @@ def test_volume_ratio_counts_trading_rows_only(market, table):
 def test_rounding_scales_the_binary_value(spark):
     df = spark.createDataFrame([(1.005,), (2.5,), (-2.5,), (1.125,), (None,)], "x double")
     assert [r[0] for r in df.select(round_at(df.x, 2)).collect()] == [1.0, 2.5, -2.5, 1.13, None]
+
+
+def test_touched_fills_return_every_row_of_their_partitions(spark, table, tmp_path):
+    from marketframe.plans import jobs
+
+    path = str(tmp_path / "basic")
+    rows_ = [{"code": c, "trade_date": d, "total_shares": 100, "float_shares": 10} for c in ("600000.SH", "000001.SZ")
+             for d in ("2024-01-02", "2024-01-03", "2024-02-01")]
+    basic = table("daily_basic", *rows_, {"code": "600000.SH"})
+    basic.withColumn("month", F.date_format("trade_date", "yyyy-MM")).write.partitionBy("month").parquet(path)
+    stored = spark.read.parquet(path).drop("month")
+    bars = table("stock_daily", {"code": "600000.SH", "date": "2024-01-03", "close": 2.0, "tradestatus": 1, "volume": 5})
+    master = table("stock_info", *[{"code": c, "symbol": c[:6], "exchange": c[-2:], "board": "MAIN"} for c in ("600000.SH", "000001.SZ")])
+    args = ("2024-01-03", "2024-01-03")
+    one = jobs.fill_shares_and_value(stored, bars, table("capital_detail"), master, *args, codes=["600000.SH"])
+    by_day = fills.fill_turnover(stored, bars, master, *args, codes=["600000.SH"], touched="day")
+    assert sorted((r.code, str(r.trade_date)) for r in by_day.collect()) == [("000001.SZ", "2024-01-03"), ("600000.SH", "2024-01-03")]
+    for fill in (fills.fill_price_limits, fills.fill_volume_ratio, fills.fill_turnover, fills.fill_market_value):
+        assert fill(stored, bars, master, *args, codes=["600000.SH"], touched=True).count() == 4
+    held = one.localCheckpoint()
+    held.withColumn("month", F.date_format("trade_date", "yyyy-MM")).write.mode("overwrite").partitionBy("month").parquet(path)
+    after = spark.read.parquet(path)
+    assert after.count() == 7
+    assert [(r.code, str(r.trade_date), r.total_mv) for r in after.where("total_mv IS NOT NULL").collect()] == [("600000.SH", "2024-01-03", 200.0)]
