@@ -1,10 +1,11 @@
 """Personal data by bootstrapped contextual extraction.
 
 Native: DataFrame expressions only. Base entities are found by pattern in one pass over each text.
-They seed the bootstrap: the word before an entity, if it ends in a cue such as a colon, is a
-lexical pattern. Patterns and instances form a graph; a pattern is as good as the share of its
-occurrences that are known entities, an instance as good as its patterns together, and the scores are
-computed in turns. Patterns that stay good and have enough distinct seeds find identifiers of other shapes.
+They seed the bootstrap: the one to three words on either side of an entity are lexical patterns.
+Patterns and instances form a graph; a pattern is as good as the share of its instances (entities of any
+kind and runs of the right shape) that are known or believed, an instance as good as the best pattern
+that holds, and the scores are computed in turns. A pattern never supports itself. Patterns that
+hold and have enough distinct seeds find identifiers of other shapes.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, staged
+from .common import staged
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -32,13 +33,20 @@ _GATES = {
     "phone": r"\+[0-9][\x20().0-9-]{8}",
 }
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
-#: Words with a digit or an at sign, from one white space to the next.
-_CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-_EDGES = ".,;:!?()[]{}<>\"'*#$%&|/\\`"
-#: Characters of context on the left, rounds of scoring, and what a pattern and an instance need.
-CONTEXT, ROUNDS, MIN_SEEDS, MIN_SCORE = 48, 3, 5, 0.8
+_SPACE = r"\x20\x09-\x0D"
+#: Runs that an unseen identifier of a kind can be: they start at white space or right after a cue such as "phone=", and
+#: may hold spaces. The second form has none; it counts where the first runs into another entity.
+SHAPES = {
+    "email": (rf"(?<![^{_SPACE}:=#<>()\[\]\"',;])[^{_SPACE}@:=#<>()\[\]\"',;]++@[^{_SPACE}@<>()\[\]\"',;]*+[^{_SPACE}@<>()\[\]\"',;.:!?](?<![.:!?])",),
+    "ip": (r"(?<![0-9A-Za-z.])(?<![0-9A-Fa-f:]:)(?=[0-9A-Fa-f.]*+:)[0-9A-Fa-f:.]*[0-9A-Fa-f](?![0-9A-Za-z])",),
+    "card": (r"(?<![0-9A-Za-z*])[0-9Xx*](?:[\x20-]?[0-9Xx*]){7,30}(?![0-9A-Za-z*])", r"(?<![0-9A-Za-z*])[0-9Xx*](?:-*+[0-9Xx*]){7,30}(?![0-9A-Za-z*])"),
+    "phone": (r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[\x20()./-]{0,3}[0-9]){6,14}(?![0-9A-Za-z])", r"(?<![0-9A-Za-z])[+(]{0,2}[0-9](?:[().+/-]*+[0-9]){6,14}(?![0-9A-Za-z])"),
+}
+#: Characters of context on each side, words of a pattern, rounds of scoring, and what a pattern needs.
+CONTEXT, WORDS, ROUNDS, MIN_SEEDS, MIN_SCORE = 48, 3, 3, 5, 0.8
 _SPANS = "array<struct<start:int,end:int>>"
-_OCCURRENCES = "array<struct<kind:int,start:int,end:int,value:string,cue:string>>"
+_OCCURRENCES = "array<struct<kind:int,start:int,end:int,value:string,contexts:array<string>>>"
+_ENTITIES = "array<struct<kind:int,start:int,end:int,value:string,cue:string>>"
 
 
 def _digits(x: Column) -> Column:
@@ -79,45 +87,64 @@ def _spans(text: Column, pattern: str, keep) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("found")), step, lambda acc: acc["found"])
 
 
-def _cue(text: Column, start: Column) -> Column:
-    """The word before an entity if it ends in : = or #, lower-cased, digits as 0; else null."""
+def _contexts(text: Column, start: Column, end: Column) -> Column:
+    """Both sides of a span: "< words" before and "> words" after it, one to WORDS words each.
+
+    Lower-cased, digits as 0, white space as one space; marks next to the span don't count. A word that CONTEXT cuts is left out.
+    """
     begin = F.greatest(start - CONTEXT, F.lit(0))
-    before = F.substring(text, begin + 1, start - begin)
-    word = F.regexp_extract(before, rf"({WORD}[:=#])[\x20\x09-\x0D\"'(]*$", 1)
-    plain = F.regexp_replace(F.lower(word), r"[0-9]+", "0")
-    return F.when(plain != "", plain)
+    before = F.concat(F.when(begin == 0, " ").otherwise(""), F.substring(text, begin + 1, start - begin))
+    after = F.concat(F.substring(text, end + 1, F.lit(CONTEXT)), F.when(F.length(text) <= end + CONTEXT, " ").otherwise(""))
+
+    def plain(x: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(F.lower(x), "[0-9]+", "0"), rf"[{_SPACE}]+", " ")
+
+    sides = F.array(F.struct(
+        F.regexp_replace(plain(before), r"[\x20\"'(\[<]+$", "").alias("left"), F.regexp_replace(plain(after), r"^[\x20\"')\]>.,;:!?]+", "").alias("right")))
+
+    def cut(side: Column) -> Column:
+        word = r"[^\x20]+"
+        left = [F.regexp_extract(side["left"], rf"\x20({word}(?:\x20{word}){{{n}}})$", 1) for n in range(WORDS)]
+        right = [F.regexp_extract(side["right"], rf"^({word}(?:\x20{word}){{{n}}})\x20", 1) for n in range(WORDS)]
+        found = [F.when(x != "", F.concat(F.lit(mark), x)) for mark, xs in (("< ", left), ("> ", right)) for x in xs]
+        return F.array_compact(F.array(*found))
+
+    return F.transform(sides, cut)[0]
 
 
 def _occurrence(text: Column, kind: Column, start: Column, end: Column) -> Column:
     return F.struct(kind.alias("kind"), start.alias("start"), end.alias("end"), F.substring(text, start + 1, end - start).alias("value"),
-                    _cue(text, start).alias("cue"))
+                    _contexts(text, start, end).alias("contexts"))
+
+
+def _apart(spans: Column, taken: Column) -> Column:
+    return F.filter(spans, lambda s: ~F.exists(taken, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
 
 
 def occurrences(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, text_hash, base (all entities of the base patterns) and other (words that may be more).
+    """doc_id, text_hash, base (all entities of the base patterns) and other (runs that may be more, by kind).
 
-    One pass over each whole text; null counts as empty. other holds only words after a cue.
+    One pass over each whole text; null counts as empty.
     """
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    whole, none = F.col("text"), F.array().cast(_SPANS)
 
-    def of_kind(number: int, kind: str) -> Column:
-        spans = F.when(F.col("text").rlike(_GATES[kind]), _spans(F.col("text"), PATTERNS[kind], lambda x: _valid(kind, x)))
-        found = F.transform(spans, lambda s: _occurrence(F.col("text"), F.lit(number), s["start"], s["end"]))
-        return F.coalesce(found, F.array().cast(_OCCURRENCES))
+    def described(number: int, spans: Column) -> Column:
+        return F.transform(spans, lambda s: _occurrence(whole, F.lit(number), s["start"], s["end"])).cast(_OCCURRENCES)
 
-    rows = plain.withColumn("base", F.concat(*[of_kind(i, k) for i, k in enumerate(KINDS)]).cast(_OCCURRENCES))
-    words = F.when(F.col("text").rlike(r"[:=#][\x20\x09-\x0D\"'(]*+[^\x20\x09-\x0D0-9@]*+[0-9@]"), _spans(F.col("text"), _CANDIDATE, lambda x: F.lit(True)))
+    def gated(number: int, kind: str, pattern: str) -> Column:
+        return F.coalesce(F.when(whole.rlike(pattern), _spans(whole, pattern, lambda x: _fits(F.lit(number), x))), none)
 
-    def trimmed(s: Column) -> Column:
-        raw = F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"])
-        left = F.ltrim(raw, F.lit(_EDGES))
-        start = s["start"] + F.length(raw) - F.length(left)
-        return F.struct(start.alias("start"), (start + F.length(F.rtrim(left, F.lit(_EDGES)))).alias("end"))
-
-    free = F.filter(F.transform(words, trimmed), lambda s: (s["end"] > s["start"]) & ~F.exists(
-        F.col("base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    other = F.filter(F.transform(free, lambda s: _occurrence(F.col("text"), F.lit(-1), s["start"], s["end"])), lambda o: o["cue"].isNotNull())
-    return rows.withColumn("other", F.coalesce(other, F.array().cast(_OCCURRENCES)).cast(_OCCURRENCES)).drop("text")
+    for i, k in enumerate(KINDS):
+        plain = plain.withColumn(f"b{i}", F.coalesce(F.when(whole.rlike(_GATES[k]), _spans(whole, PATTERNS[k], lambda x, k=k: _valid(k, x))), none))
+    plain = plain.withColumn("taken", F.concat(*[F.col(f"b{i}") for i in range(len(KINDS))]))
+    for i, k in enumerate(KINDS):
+        plain = plain.withColumn(f"c{i}", _apart(gated(i, k, SHAPES[k][0]), F.col("taken")))
+        for pattern in SHAPES[k][1:]:
+            plain = plain.withColumn(f"c{i}", F.concat(f"c{i}", _apart(gated(i, k, pattern), F.concat("taken", f"c{i}"))))
+    return plain.select(
+        "doc_id", "text_hash", F.concat(*[described(i, F.col(f"b{i}")) for i in range(len(KINDS))]).alias("base"),
+        F.concat(*[described(i, F.col(f"c{i}")) for i in range(len(KINDS))]).alias("other"))
 
 
 def _fits(kind: Column, value: Column) -> Column:
@@ -125,7 +152,7 @@ def _fits(kind: Column, value: Column) -> Column:
     digits = F.length(_digits(value))
     return (
         F.when(kind == 0, value.rlike("^[^@]+@[^@]+$"))
-        .when(kind == 1, value.rlike(r"^[0-9A-Fa-f:.]+$") & value.contains(":"))
+        .when(kind == 1, value.rlike(r"^[0-9A-Fa-f:.]+$") & value.contains(":") & value.rlike("[0-9]"))
         .when(kind == 2, value.rlike("^[0-9Xx* -]+$") & digits.between(8, 19))
         .otherwise(value.rlike(r"^[0-9().+/ -]+$") & digits.between(7, 15))
     )
@@ -134,22 +161,29 @@ def _fits(kind: Column, value: Column) -> Column:
 def good_patterns(rows: DataFrame) -> DataFrame:
     """cue, kind and score of the patterns that hold after all rounds; rows come from occurrences().
 
-    Edges join instances and cues. An instance starts with 1 for its kind if the base patterns know
-    it, else 0. In turn a cue gets the mean score of its distinct instances and an unknown instance
-    1 - prod(1 - score) over the cues with MIN_SEEDS distinct seeds. All steps are equi-joins and
+    Edges join instances and cues. The instances of a cue and kind are all base entities next to it, of any
+    kind, and the runs of that kind's shape. A cue scores the share of its distinct instances that
+    are seeds (base entities of the kind) or believed; a run is believed as much as the best cue
+    that holds (MIN_SCORE, and MIN_SEEDS distinct seeds). All steps are equi-joins and
     aggregates that combine before they shuffle; a cue is a key, so a frequent one is one row.
     """
-    base = rows.select(F.explode("base").alias("o")).filter("o.cue IS NOT NULL").select("o.kind", "o.value", "o.cue").distinct()
-    other = rows.select(F.explode("other").alias("o")).select("o.value", "o.cue").distinct()
+    def edges_of(column: str) -> DataFrame:
+        each = rows.select(F.explode(column).alias("o")).select("o.kind", "o.value", F.explode("o.contexts").alias("cue"))
+        return each.distinct()
+
+    base, other = edges_of("base"), edges_of("other")
     seeds = base.groupBy("cue", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= MIN_SEEDS)
-    total = base.select("value", "cue").union(other).distinct().groupBy("cue").agg(F.count("*").alias("instances"))
-    scores = staged(seeds.join(total, "cue").withColumn("score", F.col("seeds") / F.col("instances")), "pii-patterns")
-    edges = staged(other.join(scores.select("cue", "kind", "seeds", "instances"), "cue").filter(_fits(F.col("kind"), F.col("value"))), "pii-edges")
+    known = base.select("cue", "value").distinct().groupBy("cue").agg(F.count("*").alias("known"))
+    seeds = staged(seeds.join(known, "cue"), "pii-seeds")
+    edges = staged(other.join(seeds.select("cue", "kind"), ["cue", "kind"]), "pii-edges")
+    runs = edges.groupBy("cue", "kind").agg(F.count("*").alias("runs"))
+    counted = staged(seeds.join(runs, ["cue", "kind"], "left").withColumn("instances", F.col("known") + F.coalesce("runs", F.lit(0))), "pii-counted")
+    scores = counted.withColumn("score", F.col("seeds") / F.col("instances"))
     for _ in range(ROUNDS):
-        unknown = edges.join(scores.select("cue", "kind", "score"), ["cue", "kind"]).groupBy("value", "kind").agg(
-            (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-12)))))).alias("belief"))
-        gained = edges.join(unknown, ["value", "kind"]).groupBy("cue", "kind").agg(F.sum("belief").alias("gained"))
-        scores = staged(scores.select("cue", "kind", "seeds", "instances").join(gained, ["cue", "kind"], "left").withColumn(
+        holding = scores.filter(F.col("score") >= MIN_SCORE).select("cue", "kind", "score")
+        believed = edges.join(holding, ["cue", "kind"]).groupBy("value", "kind").agg(F.max("score").alias("belief"))
+        gained = edges.join(believed, ["value", "kind"]).groupBy("cue", "kind").agg(F.sum("belief").alias("gained"))
+        scores = staged(counted.join(gained, ["cue", "kind"], "left").withColumn(
             "score", (F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / F.col("instances")), "pii-patterns")
     return scores.filter(F.col("score") >= MIN_SCORE).select("cue", "kind", "score")
 
@@ -157,20 +191,31 @@ def good_patterns(rows: DataFrame) -> DataFrame:
 def find_entities(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, base and found for every row: arrays of kind (number in KINDS), start, end, value and cue.
 
-    base holds the leftmost non-overlapping matches of each base pattern that pass its check; found
-    what the bootstrap adds, never overlapping base. Spans are code points, ends exclusive. Null and
-    empty texts have empty arrays; rows repeat as they come; other columns are not read, so
-    their names can't clash; an empty table gives none.
+    base holds the leftmost non-overlapping matches of each base pattern that pass its check (without a cue); found
+    what the bootstrap adds, never overlapping base; of runs that overlap the one with the best cue. Spans are
+    code points, ends exclusive. Null and empty texts have empty arrays; rows repeat as they come; other
+    columns are not read, so their names can't clash; an empty table gives none.
     """
     rows = staged(occurrences(docs, text, doc_id), "pii-occurrences")
-    good = good_patterns(rows)
-    best = good.groupBy("cue").agg(F.max_by("kind", F.struct("score", -F.col("kind"))).alias("found_kind"))
-    each = rows.select("doc_id", "text_hash", F.explode("other").alias("o")).join(best, F.col("o.cue") == best["cue"])
-    fitting = each.filter(_fits(F.col("found_kind"), F.col("o.value"))).select("doc_id", "text_hash", F.struct(
-        F.col("found_kind").alias("kind"), "o.start", "o.end", "o.value", "o.cue").alias("o")).distinct()
-    found = fitting.groupBy(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).agg(F.array_sort(F.collect_list("o")).alias("found"))
+    good = good_patterns(rows).withColumnRenamed("kind", "good_kind").withColumnRenamed("cue", "good_cue")
+    each = rows.select("doc_id", "text_hash", F.explode("other").alias("o")).select("*", F.explode("o.contexts").alias("cue"))
+    fitting = each.join(good, (F.col("cue") == F.col("good_cue")) & (F.col("o.kind") == F.col("good_kind")))
+    best = fitting.groupBy("doc_id", "text_hash", "o.kind", "o.start", "o.end", "o.value").agg(F.max(F.struct("score", "cue")).alias("best"))
+    listed = best.groupBy(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).agg(
+        F.collect_list(F.struct("kind", "start", "end", "value", F.col("best.cue").alias("cue"), F.col("best.score").alias("score"))).alias("all"))
+
+    def beaten(s: Column, t: Column) -> Column:
+        better = (t["score"] > s["score"]) | ((t["score"] == s["score"]) & (t["kind"] < s["kind"]))
+        return (t["start"] < s["end"]) & (s["start"] < t["end"]) & (t["kind"] != s["kind"]) & better
+
+    def entity(cue):
+        return lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), cue(s).alias("cue"))
+
+    kept = F.filter("all", lambda s: ~F.exists("all", lambda t: beaten(s, t)))
+    found = listed.select("found_id", "found_hash", F.array_sort(F.transform(kept, entity(lambda s: s["cue"]))).alias("found"))
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["found_id"]) & (rows["text_hash"] == found["found_hash"]), "left")
-    return joined.select("doc_id", "base", F.coalesce("found", F.array().cast(_OCCURRENCES)).alias("found"))
+    base = F.transform("base", entity(lambda s: F.lit(None).cast("string"))).cast(_ENTITIES)
+    return joined.select("doc_id", base.alias("base"), F.coalesce("found", F.array().cast(_ENTITIES)).alias("found"))
 
 
 def entity_table(docs: DataFrame) -> DataFrame:
