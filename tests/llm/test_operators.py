@@ -246,6 +246,24 @@ def test_pii_bootstrap_finds_unseen_shapes_after_good_cues(docs):
     assert got[20] == "phone:5:16" and got[21] == got[22] == "" and got[0] == "phone:5:22"
 
 
+def test_pii_bootstrap_learns_words_on_both_sides_and_drops_imprecise_ones(docs):
+    seeds = [(i, f"please call me at +1 (523) 555-{1000 + i} today then") for i in range(8)]
+    mixed = [(100 + i, f"so the +1 (523) 555-{2000 + i} a{i}") for i in range(5)] + [(200 + i, f"so the {5550000 + i} b{i}") for i in range(5)]
+    more = [(20, "please call me at 555-1234-99, ok"), (21, "x 555-1234-98 today then y"), (22, "xx 555-1234-97 yy")]
+    got = {r.doc_id: r.spans for r in pii.entity_table(docs(*seeds, *mixed, *more)).collect()}
+    assert got[20] == "phone:18:29" and got[21] == "phone:2:13" and got[22] == "" and got[200] == got[204] == ""
+
+
+def test_pii_bootstrap_finds_spaced_and_glued_forms(docs):
+    seeds = [(i, f"Tel: +1 (523) 555-{1000 + i} ok") for i in range(8)] + [(50 + i, f"phone=+1523555{1000 + i}") for i in range(8)]
+    cards = ("4111 1111 1111 1111", "5500 0000 0000 0004", "3782 822463 10005", "6011 0000 0000 0004", "3056 930902 5904")
+    seeds += [(80 + i, f"Card: {c}") for i, c in enumerate(cards)]
+    more = [(20, "Tel: (523) 555 1055"), (21, "Card: 4111 1111 1112"), (22, "phone=5551234567"), (23, "Tel: 555-1234 (4111 1111 1111 1111)"), (24, "room=5551234567")]
+    got = {r.doc_id: r.spans for r in pii.entity_table(docs(*seeds, *more)).collect()}
+    assert got[20] == "phone:5:19" and got[21] == "card:6:20" and got[22] == "phone:6:16" and got[24] == ""
+    assert got[23] == "phone:5:13,card:15:34"
+
+
 def distance(pattern, text):
     previous, out = list(range(len(pattern) + 1)), []
     for c in text:
