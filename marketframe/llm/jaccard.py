@@ -313,7 +313,8 @@ def _class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Per row doc_id, text_hash, n, class; per class its component_id, the smallest doc_id in reach."""
     rows = staged(profiles(docs), "profiles")
-    classes = rows.filter("n > 0").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    classes = rows.filter("n > 0").groupBy("class").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("smallest"))  # only the second skips null ids
     regions = rows.select("class", "n", F.explode("prefix").alias("token"))
     together = Window.partitionBy("token")
     shared = regions.withColumns({"low": F.min("class").over(together), "high": F.max("class").over(together)}).filter("low <> high")
@@ -321,9 +322,9 @@ def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = shared.select("class").distinct().join(classes, "class").select("class", "first.doc_id", "first.text_hash")
     texts = _class_texts(docs, staged(wanted, "wanted"))
     roots = component_roots(shared, texts)
-    joined = classes.select("class", F.col("first.doc_id").alias("first")).join(roots, "class", "left")
+    joined = classes.select("class", "smallest").join(roots, "class", "left")
     joined = joined.withColumn("root", F.coalesce("root", "class"))
-    smallest = joined.groupBy("root").agg(F.min("first").alias("component_id"))
+    smallest = joined.groupBy("root").agg(F.min("smallest").alias("component_id"))
     return rows.drop("prefix"), joined.join(smallest, "root").select("class", "component_id")
 
 

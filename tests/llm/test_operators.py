@@ -225,6 +225,15 @@ def base_entities(text):
     return ",".join(x for *_, x in sorted(out))
 
 
+def test_copies_stay_linked_when_one_has_no_id(docs):
+    text = " ".join(f"w{i}" for i in range(60))
+    near = text + " tail"
+    got = jaccard.component_table(docs((None, text), (5, text), (7, text), (3, near))).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == [("3", 3), ("5", 3), ("7", 3), ("None", 3)]
+    got = jaccard.component_table(docs((None, text), (5, text), (7, text))).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == [("5", 5), ("7", 5), ("None", 5)]
+
+
 def test_pii_base_spans(docs, clashing):
     rng = random.Random(3)
     texts = CASES + ["".join(rng.choices("0123456789.@+-() ab", k=rng.randint(1, 80))) for _ in range(300)]
