@@ -1,15 +1,16 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages by a hash join at minimisers, in place of a sorted suffix array.
 
 Only suffixes at minimiser positions are kept: of every 20 consecutive 5-word grams the one with
 the smallest hash. A passage of 50 words or more selects the same positions wherever it stands,
 the first of them within its first 20 words, so copies of a passage meet as suffixes that agree in 31
 words at least.
 
-1. Suffixes are sorted by the hash of their first 31 words; those whose neighbours in that order
-   (equal keys) come from one document only are gone.
-2. Matches are extended 19 words to the left and 50 to the right in one step: equal hashes of that
-   stretch settle all passages that select this suffix.
-3. What is left, ends of passages and chance matches, is extended word by word: every 50-word
+No suffix order is built and no neighbours are compared:
+
+1. Suffixes are grouped by the hash of their first 31 words; groups from one document only are gone.
+2. Equal hashes of the 69 words from 19 before the suffix to 50 after its start settle all
+   passages that select this suffix.
+3. What is left, ends of passages and chance matches, is settled by further hashes: every 50-word
    passage that selects the suffix is compared by its own hash.
 
 Groups shrink to two ids each before they move and then meet rows in joins that Spark can split, so a passage that
