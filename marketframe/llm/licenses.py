@@ -165,7 +165,7 @@ def rules() -> list[Rule]:
 #: Word beginnings of which every match of a rule has one, so a text without them matches no rule.
 PREFILTER = ("licen", "unlicen", "copyright", "public domain", "bsd", "freebsd", "cc by", "cc0", "cc zero", "creative commons", "redistribut",
              "warrant", "hereby granted", "permission", "all rights reserved", "proprietary", "advertising materials", "neither the name",
-             "free software", "later version", "in compliance", "as is basis", "accompanying materials", "this is free", "unencumbered",
+             "free software", "later version", "mit no attribution", "in compliance", "as is basis", "accompanying materials", "this is free", "unencumbered",
              "source code form", "apache org", "boost org", "in no event", "you just do")
 _GATE = f" (?:{'|'.join(x.replace(' ', ' +') for x in PREFILTER)})"
 

@@ -79,6 +79,40 @@ def test_every_license_rule_passes_its_gates():
     assert len(licenses.rules()) > 200
 
 
+def shortest_texts(pattern):
+    """The shortest match of every alternative of a pattern."""
+    from re import _parser
+
+    def texts(tree):
+        out = [""]
+        for op, av in tree:
+            name = str(op)
+            if name == "LITERAL":
+                ends = [chr(av)]
+            elif name == "IN":
+                kind, value = av[0]
+                ends = ["x"] if str(kind) == "NEGATE" else [chr(value[0] if isinstance(value, tuple) else value)]
+            elif name == "NOT_LITERAL":
+                ends = ["x"]
+            elif name == "MAX_REPEAT":
+                ends = [t * av[0] for t in texts(av[2])] if av[0] else [""]
+            elif name == "SUBPATTERN":
+                ends = texts(av[-1])
+            else:
+                assert name == "BRANCH", name
+                ends = [t for branch in av[1] for t in texts(branch)]
+            out = [a + b for a in out for b in ends]
+        return out
+
+    return texts(_parser.parse(pattern))
+
+
+def test_every_license_rule_passes_the_text_gate():
+    for rule in licenses.rules():
+        for text in shortest_texts(rule.pattern):
+            assert re.fullmatch(rule.pattern, text) and re.search(licenses._GATE, text), (rule, text)
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     import public_tokenizers
