@@ -13,6 +13,7 @@ from .jaccard import component_table
 from .langid import identify
 from .licenses import license_table
 from .mixing import with_repeats
+from .packing import pack
 from .pii import entity_table
 from .registry import query
 from .repeats import repeated_passages
@@ -22,11 +23,10 @@ from .tokens import tokenize_documents
 _LOWER = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
 
-
-def tokenizer_file() -> str:
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op1_language")
@@ -121,3 +121,8 @@ def op8(spark, sf_dir):
 @query("op9_repeats")
 def op9(spark, sf_dir):
     return repeated_passages(documents(spark, sf_dir))
+
+
+@query("op13_packing")
+def op13(spark, sf_dir):
+    return pack(documents(spark, sf_dir), tokenizer_file(), with_ids=False)
