@@ -6,6 +6,7 @@ import string
 
 from pyspark.sql import functions as F
 
+from .alignment import alignment_table
 from .common import documents
 from .decontaminate import find_leaks
 from .exact import group_table
@@ -123,6 +124,11 @@ def op9(spark, sf_dir):
     return repeated_passages(documents(spark, sf_dir))
 
 
+@query("op12_alignment")
+def op12(spark, sf_dir):
+    return alignment_table(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 @query("op13_packing")
 def op13(spark, sf_dir):
     return pack(documents(spark, sf_dir), tokenizer_file(), with_ids=False)
