@@ -14,6 +14,7 @@ from .jaccard import component_table
 from .langid import identify
 from .licenses import license_table
 from .mixing import with_repeats
+from .negatives import hard_negatives
 from .packing import pack
 from .pii import entity_table
 from .registry import query
@@ -124,6 +125,32 @@ def op9(spark, sf_dir):
     return repeated_passages(documents(spark, sf_dir))
 
 
+_ANCHOR_EVERY, _RELABEL_EVERY, _LABELS = 50, 7, 10
+
+
+@query("op11_negatives", f"""
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % {_RELABEL_EVERY} = 0 THEN (label + 1) % {_LABELS} ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q, row_number() OVER () AS r
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND coalesce(list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false))), true)),
+    a AS (SELECT * FROM v WHERE vec_id % {_ANCHOR_EVERY} = 0),
+    s AS (SELECT a.r AS a_r, a.vec_id AS anchor_id, a.label = v.label AS same, v.r, v.vec_id,
+                 list_inner_product(a.q, v.q)::BIGINT AS score
+          FROM a JOIN v ON a.label <> v.label OR a.vec_id IS DISTINCT FROM v.vec_id),
+    p AS (SELECT *, row_number() OVER (PARTITION BY a_r ORDER BY score DESC, vec_id, r) AS n FROM s WHERE same),
+    m AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.a_r, p.n ORDER BY s.score DESC, s.vec_id) AS rank
+          FROM p JOIN s ON p.a_r = s.a_r AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+          WHERE p.n <= 5)
+    SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 3""")
+def op11(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % _RELABEL_EVERY == 0, (F.col("label") + 1) % _LABELS).otherwise(F.col("label"))
+    items = rows.select(F.col("vec_id").alias("id"), moved.alias("label"), (F.col("vec_id") % _ANCHOR_EVERY == 0).alias("is_anchor"), F.col("embedding").alias("vector"))
+    return hard_negatives(items)
+
+
 @query("op12_alignment")
 def op12(spark, sf_dir):
     return alignment_table(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
