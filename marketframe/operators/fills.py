@@ -135,7 +135,7 @@ def _scope(
 
 
 def _with_rest(
-    rows: DataFrame, outside: DataFrame, touched: bool | str, begin: DateLike | None, end: DateLike | None
+    rows: DataFrame, outside: DataFrame, touched: str | None, begin: DateLike | None, end: DateLike | None
 ) -> DataFrame:
     """Decorated rows plus those out of scope: all, or with ``touched`` those of the same partitions."""
     unit = partition_unit(touched)
@@ -174,7 +174,7 @@ def fill_price_limits(
     end: DateLike | None = None,
     exchanges: Iterable[str] | None = None,
     codes: Iterable[str] | None = None,
-    touched: bool | str = False,
+    touched: str | None = None,
 ) -> DataFrame:
     """Set limit prices and flags on days that traded with a known previous close."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -209,7 +209,7 @@ def fill_volume_ratio(
     end: DateLike | None = None,
     exchanges: Iterable[str] | None = None,
     codes: Iterable[str] | None = None,
-    touched: bool | str = False,
+    touched: str | None = None,
 ) -> DataFrame:
     """Volume over the mean of up to five preceding trading rows, two decimals.
 
@@ -279,7 +279,7 @@ def fill_shares(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
-    touched: bool | str = False,
+    touched: str | None = None,
 ) -> DataFrame:
     """Total and float shares from the latest share-count state on or before each day."""
     inside, outside = _scope(basic, begin, end, codes)
@@ -353,7 +353,7 @@ def fill_turnover(
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
     overwrite: bool = False,
-    touched: bool | str = False,
+    touched: str | None = None,
 ) -> DataFrame:
     """Turnover rate in percent on trading rows; only NULLs unless ``overwrite``."""
     rows, outside, hit = _turnover_rows(basic, bars, master, begin, end, codes, exchanges, overwrite)
@@ -384,7 +384,7 @@ def fill_market_value(
     end: DateLike | None = None,
     codes: Iterable[str] | None = None,
     exchanges: Iterable[str] | None = None,
-    touched: bool | str = False,
+    touched: str | None = None,
 ) -> DataFrame:
     """Market values wherever total shares are known and a bar exists, traded or not."""
     inside, outside = _scope(basic, begin, end, codes)

@@ -112,11 +112,11 @@ DAY, MONTH = "day", "month"
 MAX_LISTED_DAYS = 200
 
 
-def partition_unit(touched: bool | str | None, default: str = MONTH) -> str | None:
-    """DAY or MONTH as named, ``default`` for True, None (the whole table) for False."""
-    unit = default if touched is True else touched or None
+def partition_unit(touched: str | None) -> str | None:
+    """DAY or MONTH as named; None (or anything empty) for the whole table."""
+    unit = touched or None
     if unit not in (None, DAY, MONTH):
-        raise ValueError(f"no partition unit: {touched!r}")
+        raise ValueError(f"name the unit the store is partitioned by, {DAY!r} or {MONTH!r}, not {touched!r}")
     return unit
 
 

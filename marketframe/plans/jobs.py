@@ -26,7 +26,7 @@ HIERARCHY_COLUMNS = ("行业代码", "一级行业名称", "二级行业名称",
 
 
 def import_combined_bars(
-    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, touched: bool | str = MONTH,
+    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, touched: str | None = MONTH,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(bars, indicators, rejected codes) from the source that carries both."""
     daily, indicators, rejected = bar_sources.split_combined(raw)
@@ -39,7 +39,7 @@ def import_sparse_bars(
     calendar: DataFrame,
     stored_bars: DataFrame,
     stored_basic: DataFrame,
-    status: int | None = None, touched: bool | str = MONTH,
+    status: int | None = None, touched: str | None = MONTH,
 ) -> tuple[DataFrame, DataFrame]:
     """(bars, indicators) from a source that omits suspended days: bar files or online pages.
 
@@ -53,13 +53,13 @@ def import_sparse_bars(
 
 
 def import_lot_bars(
-    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, code: str = "code", touched: bool | str = MONTH,
+    raw: DataFrame, stored_bars: DataFrame, stored_basic: DataFrame, code: str = "code", touched: str | None = MONTH,
 ) -> tuple[DataFrame, DataFrame]:
     daily, indicators = bar_sources.lot_bars(raw, F.col(code))
     return loads.load_bars(stored_bars, daily, touched=partition_unit(touched)), loads.load_indicators(stored_basic, indicators, touched=partition_unit(touched))
 
 
-def import_index_bars(raw: DataFrame, stored_bars: DataFrame, touched: bool | str = MONTH) -> DataFrame:
+def import_index_bars(raw: DataFrame, stored_bars: DataFrame, touched: str | None = MONTH) -> DataFrame:
     return loads.load_index_bars(stored_bars, bar_sources.index_bars(raw), touched=partition_unit(touched))
 
 
@@ -72,7 +72,7 @@ def sync_securities(raw: DataFrame, stored: DataFrame, now: dt.datetime) -> Data
 
 
 def sync_beijing(
-    raw: DataFrame, stored: DataFrame, stored_basic: DataFrame, day: DateLike, now: dt.datetime, touched: bool | str = MONTH,
+    raw: DataFrame, stored: DataFrame, stored_basic: DataFrame, day: DateLike, now: dt.datetime, touched: str | None = MONTH,
 ) -> tuple[DataFrame, DataFrame]:
     """(securities, indicators) from the Beijing exchange list."""
     shares = bar_sources.beijing_shares(raw, F.lit(as_date(day)))
@@ -82,14 +82,14 @@ def sync_beijing(
     )
 
 
-def sync_capital(sources: Sequence[DataFrame], stored: DataFrame, now: dt.datetime, touched: bool | str = MONTH) -> DataFrame:
+def sync_capital(sources: Sequence[DataFrame], stored: DataFrame, now: dt.datetime, touched: str | None = MONTH) -> DataFrame:
     """Capital events from the first source, in order of preference, that has each event."""
     return loads.load_capital(stored, first_available(sources, ["code", "date", "category"]), now, touched=partition_unit(touched))
 
 
 def sync_margin_summary(
     primary: DataFrame, fallback: DataFrame, stored: DataFrame, now: dt.datetime,
-    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool | str = MONTH,
+    on: Sequence[str] = ("exchange_code", "trade_date"), touched: str | None = MONTH,
 ) -> DataFrame:
     """Cleaned totals; the fallback source fills the exchanges and days the primary lacks."""
     return loads.load_margin_summary(stored, fallback_union(primary, fallback, on), now, touched=partition_unit(touched))
@@ -97,7 +97,7 @@ def sync_margin_summary(
 
 def sync_margin_detail(
     primary: DataFrame, fallback: DataFrame, stored: DataFrame, now: dt.datetime,
-    on: Sequence[str] = ("exchange_code", "trade_date"), touched: bool | str = MONTH,
+    on: Sequence[str] = ("exchange_code", "trade_date"), touched: str | None = MONTH,
 ) -> DataFrame:
     return loads.load_margin_detail(stored, fallback_union(primary, fallback, on), now, touched=partition_unit(touched))
 
@@ -112,7 +112,7 @@ def sync_hierarchy(raw: DataFrame, version: str, stored: DataFrame, now: dt.date
 
 
 def sync_finance(
-    decoded: DataFrame, stored: DataFrame, now: dt.datetime, codes: str | Sequence[str] | None = None, touched: bool | str = MONTH,
+    decoded: DataFrame, stored: DataFrame, now: dt.datetime, codes: str | Sequence[str] | None = None, touched: str | None = MONTH,
 ) -> DataFrame:
     """Reports of all periods at once, whatever mix of layouts their files have."""
     return loads.load_finance(stored, event_sources.finance_report(decoded, codes), now, touched=partition_unit(touched))
@@ -120,7 +120,7 @@ def sync_finance(
 
 def fill_shares_and_value(
     basic: DataFrame, bars: DataFrame, capital: DataFrame, master: DataFrame,
-    begin: DateLike, end: DateLike, codes: Iterable[str] | None = None, exchanges: Iterable[str] | None = None, touched: bool | str = MONTH,
+    begin: DateLike, end: DateLike, codes: Iterable[str] | None = None, exchanges: Iterable[str] | None = None, touched: str | None = MONTH,
 ) -> DataFrame:
     """Share counts first, then the market values that need them."""
     counted = fills.fill_shares(basic, capital, master, begin, end, codes, exchanges, touched=partition_unit(touched))

@@ -2,9 +2,8 @@
 
 Tables with a day take ``touched``, the unit by which the store is partitioned (``"month"`` or
 ``"day"``): with it a load reads and returns only the partitions of the batch, each whole, as a
-dynamic partition overwrite wants; without it the untouched rows follow, unshuffled. ``True``
-means ``"day"`` here and must not be written over larger partitions. Batches are made unique on their keys first: the last row by ``order``, or
-the greatest by value where no order is known.
+dynamic partition overwrite wants; without it the untouched rows follow, unshuffled. Every batch is
+made unique on its keys first: the last row by ``order``, or the greatest by value where no order is known.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import loose_date
 from ..operators.merge import (
-    COALESCE, DAY, KEEP, NOW, OVERWRITE, dedup_by_values, merge_keyed, merge_present, merge_touched, partition_unit,
+    COALESCE, KEEP, NOW, OVERWRITE, dedup_by_values, dedup_last, merge_keyed, merge_present, merge_touched, partition_unit,
 )
 from ..schemas import MARGIN_COLUMNS, REPORT_FIELDS, TABLES
 from ..sources.bars import normalize_bars, numeric_bars
@@ -36,24 +35,28 @@ def _all(columns: Sequence[str], rule: str) -> dict[str, str]:
 
 
 def _dated(
-    stored: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], day: str, touched: bool | str, order: str | None, **options
+    stored: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], day: str, touched: str | None, order: str | None, **options
 ) -> DataFrame:
-    return merge_touched(stored, dedup_by_values(batch, keys, order), keys, rules, day, partition_unit(touched, DAY), **options)
+    return merge_touched(stored, dedup_by_values(batch, keys, order), keys, rules, day, partition_unit(touched), **options)
 
 
-def load_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
+def load_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: str | None = None) -> DataFrame:
     return _dated(stored, normalize_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE), "date", touched, order)
 
 
-def load_index_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
+def load_index_bars(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: str | None = None) -> DataFrame:
     return _dated(stored, numeric_bars(batch), ["code", "date"], _all(BAR_VALUES, OVERWRITE), "date", touched, order)
 
 
-def load_calendar(stored: DataFrame, batch: DataFrame) -> DataFrame:
-    return merge_keyed(stored, batch, ["cal_date"], {"is_open": OVERWRITE})
+def _whole(stored: DataFrame, batch: DataFrame, keys: list[str], rules: dict[str, str], order: str | None, **options) -> DataFrame:
+    return merge_keyed(stored, dedup_by_values(batch, keys, order), keys, rules, **options)
 
 
-def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
+def load_calendar(stored: DataFrame, batch: DataFrame, order: str | None = None) -> DataFrame:
+    return _whole(stored, batch, ["cal_date"], {"is_open": OVERWRITE}, order)
+
+
+def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: str | None = None) -> DataFrame:
     """Owned columns only; a NULL never erases a stored value."""
     return _dated(
         stored, batch, ["code", "trade_date"], _all(BASE_INDICATORS, COALESCE), "trade_date", touched, order,
@@ -61,7 +64,7 @@ def load_indicators(stored: DataFrame, batch: DataFrame, *, order: str | None =
     )
 
 
-def load_share_counts(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: bool | str = False) -> DataFrame:
+def load_share_counts(stored: DataFrame, batch: DataFrame, *, order: str | None = None, touched: str | None = None) -> DataFrame:
     renamed = batch.withColumnRenamed("date", "trade_date")
     return _dated(
         stored, renamed, ["code", "trade_date"], _all(SHARE_COUNTS, COALESCE), "trade_date", touched, order,
@@ -69,28 +72,26 @@ def load_share_counts(stored: DataFrame, batch: DataFrame, *, order: str | None
     )
 
 
-def load_securities(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
+def load_securities(stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None) -> DataFrame:
     """Rows change only when a tracked column differs; created_at never moves."""
     rules = {**_all(SECURITY_VALUES, OVERWRITE), "created_at": KEEP, "last_updated_at": NOW}
-    return merge_keyed(stored, batch, ["code"], rules, now=now, only_if_changed=SECURITY_VALUES)
+    return _whole(stored, batch, ["code"], rules, order, now=now, only_if_changed=SECURITY_VALUES)
 
 
-def load_hierarchy(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
+def load_hierarchy(stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None) -> DataFrame:
     require_columns(batch, ["sw_version", "industry_code", *HIERARCHY_VALUES], "industry hierarchy")
     rules = {**_all(HIERARCHY_VALUES, OVERWRITE), "updated_at": NOW}
-    return merge_keyed(
-        stored, batch, ["sw_version", "industry_code"], rules, now=now, only_if_changed=HIERARCHY_VALUES
-    )
+    return _whole(stored, batch, ["sw_version", "industry_code"], rules, order, now=now, only_if_changed=HIERARCHY_VALUES)
 
 
-def load_industry_history(stored: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
+def load_industry_history(stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None) -> DataFrame:
     keys = ["symbol", "start_date", "industry_code"]
     require_columns(batch, [*keys, "update_time"], "industry history")
-    return merge_keyed(stored, batch, keys, {"update_time": OVERWRITE, "updated_at": NOW}, now=now)
+    return _whole(stored, batch, keys, {"update_time": OVERWRITE, "updated_at": NOW}, order, now=now)
 
 
 def load_capital(
-    stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None, *, touched: bool | str = False
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, order: str | None = None, *, touched: str | None = None
 ) -> DataFrame:
     """Insert or replace; the day may come as compact number, ISO date or timestamp."""
     dated = batch.withColumn("date", loose_date(F.col("date")))
@@ -104,7 +105,7 @@ def _as_numbers(batch: DataFrame) -> DataFrame:
 
 
 def load_margin_summary(
-    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool | str = False
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: str | None = None
 ) -> DataFrame:
     """Insert or replace: both stamps are renewed."""
     rules = {**_all(MARGIN_COLUMNS, OVERWRITE), "created_at": NOW, "updated_at": NOW}
@@ -112,18 +113,25 @@ def load_margin_summary(
 
 
 def load_margin_detail(
-    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: bool | str = False
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: str | None = None
 ) -> DataFrame:
     """Values are replaced, created_at stays."""
     rules = {**_all(("code", *MARGIN_COLUMNS), OVERWRITE), "created_at": KEEP, "updated_at": NOW}
     return _dated(stored, _as_numbers(batch), ["trade_date", "exchange_code", "symbol"], rules, "trade_date", touched, order, now=now)
 
 
-def load_finance(stored: DataFrame, batch: DataFrame, now: dt.datetime, *, touched: bool | str = False) -> DataFrame:
-    """Only the report columns a batch carries are replaced, per row where layouts are mixed."""
-    layout = None
+def load_finance(
+    stored: DataFrame, batch: DataFrame, now: dt.datetime, *, order: str | None = None, touched: str | None = None
+) -> DataFrame:
+    """Only the report columns a batch carries are replaced, per row where layouts are mixed.
+
+    Of rows that repeat a key and tie in ``order`` (or have none) the one with the most columns stays.
+    """
+    keys, layout, latest = ["code", "report_date"], None, [order] if order else []
+    columns = list(REPORT_FIELDS.values())
     if "field_count" in batch.columns:
         layout = ("field_count", {name: number for number, name in REPORT_FIELDS.items()})
-    columns = list(REPORT_FIELDS.values())
-    return merge_present(
-        stored, batch, ["code", "report_date"], columns, day="report_date", unit=partition_unit(touched, DAY), now=now, carried_from=layout)
+        latest.append("field_count")
+    others = [c for c in batch.columns if c not in (*keys, *latest)]
+    unique = dedup_last(batch, keys, [*latest, *others])
+    return merge_present(stored, unique, keys, columns, day="report_date", unit=partition_unit(touched), now=now, carried_from=layout)

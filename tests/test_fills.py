@@ -175,7 +175,7 @@ def test_touched_fills_return_every_row_of_their_partitions(spark, table, tmp_pa
     by_day = fills.fill_turnover(stored, bars, master, *args, codes=["600000.SH"], touched="day")
     assert sorted((r.code, str(r.trade_date)) for r in by_day.collect()) == [("000001.SZ", "2024-01-03"), ("600000.SH", "2024-01-03")]
     for fill in (fills.fill_price_limits, fills.fill_volume_ratio, fills.fill_turnover, fills.fill_market_value):
-        assert fill(stored, bars, master, *args, codes=["600000.SH"], touched=True).count() == 4
+        assert fill(stored, bars, master, *args, codes=["600000.SH"], touched="month").count() == 4
     held = one.localCheckpoint()
     held.withColumn("month", F.date_format("trade_date", "yyyy-MM")).write.mode("overwrite").partitionBy("month").parquet(path)
     after = spark.read.parquet(path)

@@ -153,7 +153,7 @@ def test_touched_loads_read_only_the_days_of_the_batch(spark, table, tmp_path):
     stored.write.parquet(str(tmp_path / "bars"))
     stored = spark.read.parquet(str(tmp_path / "bars"))
     batch = table("stock_daily", {"code": "a", "date": "2024-01-03", "close": 5.0}, {"code": "a", "date": "2024-01-03", "close": 4.0})
-    part = loads.load_bars(stored, batch, touched=True)
+    part = loads.load_bars(stored, batch, touched="day")
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         part.explain("formatted")
@@ -208,3 +208,43 @@ def test_month_partitions_keep_their_untouched_rows_after_a_dynamic_overwrite(sp
     many = spark.range(0, 400, 2).unionAll(spark.range(1000, 1002)).selectExpr("date_add(DATE '2020-01-15', CAST(id AS INT)) AS date")
     every = spark.range(2000).selectExpr("date_add(DATE '2020-01-01', CAST(id AS INT)) AS date")
     assert every.where(touched(many, "date", unit=DAY)).count() == many.count() == 202
+
+
+@pytest.mark.parametrize("name", ["calendar", "securities", "hierarchy", "industry_history", "finance"])
+def test_repeated_keys_of_a_batch_give_one_row(spark, table, name):
+    """In a table loaded whole or by report period, as in the daily ones, the last row by order stays."""
+    stamp = dt.datetime(2025, 6, 1)
+    cases = {
+        "calendar": ("trade_cal", [{"cal_date": "2025-06-02", "is_open": 0}], {"is_open": (1, 0)}, lambda s, b, o: loads.load_calendar(s, b, o)),
+        "securities": ("stock_info", [{"code": "600001.SH", "name": "old"}], {"name": ("b", "a")}, lambda s, b, o: loads.load_securities(s, b, stamp, o)),
+        "hierarchy": ("sw_industry", [{"sw_version": "v", "industry_code": "1", "industry_name": "old", "sw_level": 1}], {"industry_name": ("b", "a")},
+                      lambda s, b, o: loads.load_hierarchy(s, b, stamp, o)),
+        "industry_history": ("stock_industry_clf_hist_sw_raw", [{"symbol": "600001", "start_date": "2025-06-02", "industry_code": "1"}],
+                             {"update_time": (dt.datetime(2025, 2, 2), dt.datetime(2025, 1, 1))}, lambda s, b, o: loads.load_industry_history(s, b, stamp, o)),
+        "finance": ("finance_report", [{"code": "600001.SH", "report_date": "2025-03-31", "eps": 9.0}], {"eps": (2.0, 1.0)},
+                    lambda s, b, o: loads.load_finance(s, b, stamp, order=o)),
+    }
+    stored_name, held, values, load = cases[name]
+    (column, (greater, lesser)), = values.items()
+    stored = table(stored_name, *held)
+    twice = table(stored_name, *[{**held[0], column: v} for v in (greater, lesser)])
+    by_value = load(stored, twice, None)
+    assert by_value.count() == 1 and by_value.first()[column] == greater
+    seen = twice.withColumn("arrival", F.when(F.col(column) == F.lit(greater), 1).otherwise(2))
+    in_order = load(stored, seen, "arrival")
+    assert in_order.count() == 1 and in_order.first()[column] == lesser
+
+
+def test_finance_rows_of_one_key_keep_the_widest_layout(spark, table):
+    stored = table("finance_report")
+    batch = spark.createDataFrame([("600001.SH", dt.date(2025, 3, 31), 1.0, 2.0, 120), ("600001.SH", dt.date(2025, 3, 31), 9.0, None, 60)],
+                                  "code string, report_date date, eps double, op_cost double, field_count int")
+    row = loads.load_finance(stored, batch, dt.datetime(2025, 6, 1))
+    assert [(r.eps, r.op_cost) for r in row.collect()] == [(1.0, 2.0)]
+
+
+def test_a_unit_of_partitions_has_to_be_named(table):
+    stored = table("stock_daily")
+    for unknown in (True, "year"):
+        with pytest.raises(ValueError, match="partitioned by"):
+            loads.load_bars(stored, stored, touched=unknown)
