@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,33 @@ def local_session(cores: int = 8, app: str = "marketframe", memory: str = "8g")
     return tune(spark)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it in ``spark.checkpoint.dir``.
+
+    A session whose only process is this one gets a temporary folder; a cluster without one is an error.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder: lineage ends there and lost executors cost nothing."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Compute a result once and cut its lineage, in the folder the cluster names.
 
@@ -46,8 +74,5 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
