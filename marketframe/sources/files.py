@@ -51,19 +51,46 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str) -> None:
         raise ValueError(f"{what} lacks columns {missing}; it has {df.columns}")
 
 
-def read_csv_text(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
-    """CSV with a header, every column as text, in header order; required columns are checked."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("encoding", "UTF-8").csv(path)
+#: A quote inside a quoted field is doubled, fields may hold line breaks, and an empty text is quoted while a NULL is not.
+_CSV = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+_BROKEN = "_broken"
+
+
+def read_csv_text(spark: SparkSession, path: str, required: Sequence[str], lines: bool = False, empty_is_null: bool = True) -> DataFrame:
+    """CSV with a header, every column as text, in header order; required columns are checked.
+
+    ``lines`` allows line breaks inside quoted fields; such a file is one task. With
+    ``empty_is_null=False`` a quoted empty field is an empty text and only a bare one NULL.
+    """
+    marks = {} if empty_is_null else {"nullValue": "\0"}  # what a bare empty field reads as, and no text holds
+    df = spark.read.options(**{**_CSV, **marks}, multiLine=lines, inferSchema=False).csv(path)
     require_columns(df, required, path)
     return df.select(*[F.col(f"`{c}`").cast(T.StringType()) for c in df.columns])
 
 
+def split_csv(spark: SparkSession, path: str, required: Sequence[str], lines: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, broken lines): a line whose number of fields is not the header's is kept apart, as it stands in the file."""
+    columns = read_csv_text(spark, path, required, lines).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, _BROKEN)])
+    read = spark.read.options(**_CSV, multiLine=lines, mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN, columnPruning=False).schema(schema).csv(path)
+    read = read.where(F.length(F.coalesce(F.col(f"`{columns[0]}`"), F.lit(""))) >= 0)  # true, but Spark reads no mark of broken lines alone
+    good = read.where(F.col(_BROKEN).isNull()).select(*[F.col(f"`{c}`") for c in columns])
+    return good, read.where(F.col(_BROKEN).isNotNull()).select(F.col(_BROKEN).alias("line"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV that ``read_csv_text(..., lines=True, empty_is_null=False)`` reads back as it was."""
+    df.write.mode("overwrite").options(**{**_CSV, "emptyValue": '""'}).csv(path)
+
+
+def read_json_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines under a declared schema; a field that a line lacks is NULL."""
+    return spark.read.schema(schema).json(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
 def as_document(df: DataFrame, out: str = "document") -> DataFrame:

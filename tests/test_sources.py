@@ -255,3 +255,29 @@ def test_values_that_cannot_be_read_are_named_or_null(spark):
     raw = spark.createDataFrame([("a", 2024, m, 5, 1, *[0.0] * 8) for m in (1, 12, 123)], ["code", "year", "month", "day", "category", *names])
     assert [str(r.date) for r in capital_events(raw).collect()] == ["2024-01-05", "2024-12-05", "None"]
     assert decode_day_files(spark.createDataFrame([], "path string, content binary"), "2024-01-01", "2024-01-02").count() == 0
+
+
+def test_csv_round_trip_keeps_quotes_breaks_empty_texts_and_nulls(spark, tmp_path):
+    texts = ['say "yes"', "a,b", "two\nlines", "", None, " padded ", "\\"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    files.write_csv(df, str(tmp_path / "out"))
+    back = files.read_csv_text(spark, str(tmp_path / "out"), ["text"], lines=True, empty_is_null=False)
+    assert sorted((r.n, r.text) for r in back.collect()) == sorted((str(n), t) for n, t in enumerate(texts))
+    assert {r.text for r in files.read_csv_text(spark, str(tmp_path / "out"), ["text"], lines=True).collect() if r.n in "34"} == {None}
+
+
+def test_broken_csv_lines_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('code,name,level\n1,one,1\n2,two\n3,three,3,more\n4,"f,our",\n')
+    good, broken = files.split_csv(spark, str(tmp_path / "a.csv"), ["code", "level"])
+    assert sorted(tuple(r) for r in good.collect()) == [("1", "one", "1"), ("4", "f,our", None)]
+    assert sorted(r.line for r in broken.collect()) == ["2,two", "3,three,3,more"]
+    assert broken.count() == 2 and good.count() == 2
+    with pytest.raises(ValueError, match="lacks columns"):
+        files.split_csv(spark, str(tmp_path / "a.csv"), ["price"])
+
+
+def test_json_lines_keep_nulls(spark, tmp_path):
+    df = spark.createDataFrame([(1, None), (2, 'a"b\n')], "n int, t string")
+    files.write_json(df, str(tmp_path / "j"))
+    assert '"t":null' in "".join(p.read_text() for p in (tmp_path / "j").glob("part*"))
+    assert sorted(tuple(r) for r in files.read_json_rows(spark, str(tmp_path / "j"), "n int, t string, u string").collect()) == [(1, None, None), (2, 'a"b\n', None)]
