@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import asof_ranges
+
 Chunk = Callable[[Column], Column]
 
 
@@ -25,27 +27,6 @@ def by_seconds(width: int = 600) -> Chunk:
     return lambda time: F.floor(F.unix_micros(time.cast("timestamp")) / F.lit(width * 1_000_000))
 
 
-#: Chunk widths of a timestamp in seconds, and the rows a chunk of one key may have.
-WIDTHS, ROWS_PER_CHUNK = (600, 60, 6, 1), 200_000
-
-
-def fitted_seconds(sides: Sequence[tuple[DataFrame, str]], on: Sequence[str], rows: int | None = None) -> Chunk:
-    """Chunk timestamps so that no chunk of a key has more than ``rows`` rows of one side.
-
-    One map-side combined count per width tried, widest first; mostly that is one count. Narrower
-    chunks only add carried rows.
-    """
-    most = rows or ROWS_PER_CHUNK
-    for width in WIDTHS[:-1]:
-        chunk = by_seconds(width)
-        densest = [
-            df.groupBy(*on, chunk(F.col(time)).alias("_c")).count().agg(F.max("count")).first()[0] or 0 for df, time in sides
-        ]
-        if max(densest) <= most:
-            return chunk
-    return by_seconds(WIDTHS[-1])
-
-
 def chunks_between(begin: Column, end: Column, chunk: Chunk) -> Column:
     """Every chunk number a closed interval touches, one per row."""
     return F.explode(F.sequence(chunk(begin), chunk(end)))
@@ -145,9 +126,11 @@ def asof_join(
 ) -> DataFrame:
     """Latest right row at or before (``strict``: before) each left row, per key.
 
-    ``values`` names the right columns to bring, or maps them to output names. With
-    ``left_unique=False`` many left rows may share (key, time): the match is computed once
-    per distinct pair and joined back, so a hot pair never has to fit one window group.
+    ``values`` names the right columns to bring, or maps them to output names. Dates are matched
+    by chunks of days; there, with ``left_unique=False``, many left rows may share (key, time): the match
+    is computed once per distinct pair and joined back, so a hot pair never has to fit one window group.
+    Timestamps are matched by sampled ranges, unless a ``chunk`` is given: no key and no moment has to
+    fit one task, and nothing is counted while planning.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported as-of join type: {how}")
@@ -155,10 +138,12 @@ def asof_join(
     clash = set(names.values()) & set(left.columns)
     if clash:
         raise ValueError(f"output columns already on the left side: {sorted(clash)}")
+    kind = dict(left.dtypes)[left_time]
+    if chunk is None and kind != "date":  # nothing bounds the rows of a time span
+        ticks = tick_of(F.col(left_time), kind), tick_of(F.col(right_time), dict(right.dtypes)[right_time])
+        return asof_ranges(left, right, on, left_time, right_time, names, how, strict, ticks)
     base = left if left_unique else left.select(*on, left_time).distinct()
-    if chunk is None:  # a year has at most a row per day; a timestamp has no such bound
-        dated = dict(left.dtypes)[left_time] == "date"
-        chunk = by_days() if dated else fitted_seconds([(base, left_time), (right, right_time)], on)
+    chunk = chunk or by_days()  # a year has at most a row per day
     marks = {"at_or_before": None, "strictly_before": "_known"} if strict else {}
     scanned = scan_known(
         base, right, on, left_time, right_time, list(names), chunk, left_chunks=left_chunks, **marks

@@ -88,21 +88,71 @@ def test_asof_on_timestamps(spark, seconds):
     assert rows(got.select("m", "rm"), "m") == want
 
 
-def test_dense_timestamps_get_narrower_chunks(spark):
-    """One key with many rows inside ten minutes is cut into several window groups."""
-    import datetime as dt
-
-    from pyspark.sql import functions as F
-
-    from marketframe.operators.joins import asof_join, fitted_seconds
-
-    start = dt.datetime(2024, 1, 1)
-    left = spark.createDataFrame([("a", start + dt.timedelta(milliseconds=500 * i), i) for i in range(1000)], "k string, t timestamp_ntz, i int")
-    right = left.where("i % 7 = 0").select("k", F.col("t").alias("r"), F.col("i").alias("v"))
-    chunk = fitted_seconds([(left, "t"), (right, "r")], ["k"], rows=50)
-    groups = left.groupBy(chunk(F.col("t")).alias("c")).count().collect()
-    assert len(groups) > 5 and max(g["count"] for g in groups) <= 50
-    wide = fitted_seconds([(left, "t")], ["k"])
-    assert left.select(wide(F.col("t")).alias("c")).distinct().count() == 1
-    got = asof_join(left, right, ["k"], "t", "r", ["v"], chunk=chunk).orderBy("i").collect()
-    assert [r.v for r in got] == [i - i % 7 for i in range(1000)]
+@pytest.fixture
+def many_ranges(spark):
+    """Every range sort makes eight ranges, however small the data."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+MOMENT = "timestampadd(MICROSECOND, m, TIMESTAMP_NTZ '2025-01-01 00:00:00')"
+
+
+def moments(spark, left, right):
+    lf = spark.createDataFrame(left, "k string, g int, m long, i int").withColumn("t", F.expr(MOMENT))
+    rf = spark.createDataFrame(right, "k string, g int, m long, v int").selectExpr("k", "g", f"{MOMENT} AS rt", "m AS rm", "v")
+    return lf, rf
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_ranges_equal_brute_force(spark, many_ranges, strict, how, seed):
+    rng = random.Random(seed)
+    keys = [("a", 1), ("a", 2), ("b", None), (None, 1), ("hot", 1)]
+    right = {(*rng.choice(keys[: 3 + seed % 2]), rng.randrange(-50, 400)): rng.choice([None, rng.randrange(99)]) for _ in range(60)}
+    right |= {("hot", 1, rng.randrange(-50, 400)): rng.randrange(99) for _ in range(seed * 4)} | {("a", 1, None): 5}
+    left = [(*rng.choice(keys + keys[-1:] * 20), rng.choice([None, 7, *range(300)]), i) for i in range(500)]
+    lf, rf = moments(spark, left, [(*k, v) for k, v in right.items()])
+    got = asof_join(lf, rf, ["k", "g"], "t", "rt", {"rm": "found", "v": "v"}, how=how, strict=strict)
+    want = []
+    for k, g, m, i in left:
+        before = [rm for rk, rg, rm in right if None not in (m, rm, rk, rg) and (rk, rg) == (k, g) and (rm < m if strict else rm <= m)]
+        if before:
+            want.append((i, max(before), right[(k, g, max(before))]))
+        elif how == "left":
+            want.append((i, None, None))
+    assert got.columns == ["k", "g", "m", "i", "t", "found", "v"]
+    assert rows(got.select("i", "found", "v"), "i") == sorted(want)
+
+
+def test_one_key_and_one_moment_are_spread_over_ranges(spark, many_ranges, monkeypatch):
+    """A key with nearly all rows, half of them at one moment: no task reads more than its share."""
+    from marketframe.operators import ranges
+
+    seen = []
+    whole = ranges.staged
+    monkeypatch.setattr(ranges, "staged", lambda df, name: seen.append(whole(df, name)) or seen[-1])
+    left = [("hot", 1, 500 if i % 2 else i, i) for i in range(8000)] + [("cold", 1, 3, -1)]
+    lf, rf = moments(spark, left, [("hot", 1, 200, 7)])
+    calls = []
+    monkeypatch.setattr(type(lf), "count", lambda self: calls.append(self))  # nothing is counted while planning
+    got = asof_join(lf.repartition(5), rf, ["k", "g"], "t", "rt", ["v"])
+    assert not calls
+    assert rows(got.groupBy("v").agg(F.count("*"))) in ([(None, 101), (7, 7900)], [(7, 7900), (None, 101)])
+    shares = [r["n"] for r in seen[0].where("_kind = 0").groupBy("_part").agg(F.count("*").alias("n")).collect()]
+    assert len(shares) >= 7 and max(shares) < 2000
+    moment = seen[0].where(f"_kind = 0 AND _l2 = 500").select("_part").distinct().collect()
+    assert len(moment) >= 3
+
+
+def test_ranges_of_empty_sides(spark):
+    lf, rf = moments(spark, [("a", 1, 5, 1)], [("a", 1, 5, 2)])
+    empty = asof_join(lf, rf.limit(0), ["k", "g"], "t", "rt", ["v"])
+    assert rows(empty.select("i", "v")) == [(1, None)]
+    assert asof_join(lf, rf.limit(0), ["k", "g"], "t", "rt", ["v"], how="inner").count() == 0
+    assert asof_join(lf.limit(0), rf, ["k", "g"], "t", "rt", ["v"]).count() == 0
