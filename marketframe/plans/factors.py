@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import DateLike, as_date
-from ..operators.merge import KEEP, NOW, OVERWRITE, dedup_last, in_partitions, merge_keyed, merge_touched, partition_unit
+from ..operators.merge import KEEP, MONTH, NOW, OVERWRITE, dedup_last, merge_keyed, merge_touched, partition_unit
+from ..operators.merge import touched as touched_days
 from ..operators.series import densify
+from ..session import staged
 from ..sources.files import require_columns
 
 FACTORS = ("fore_factor", "back_factor", "adjust_factor")
 FACTOR_RULES = {**{f: OVERWRITE for f in FACTORS}, "created_at": KEEP, "updated_at": NOW}
 
 
-def store_events(raw: DataFrame, events: DataFrame, now: dt.datetime, order: str, touched: bool | str = False) -> DataFrame:
+def store_events(raw: DataFrame, events: DataFrame, now: dt.datetime, order: str, touched: str | None = None) -> DataFrame:
     """Upsert change events (code, date, factors); repeated (code, date) rows keep the last by ``order``.
 
     Rows that tie in ``order`` too keep the greatest factors. ``touched`` returns only the whole months (or, if it is
@@ -73,21 +75,31 @@ def run_factors(
     as_of: DateLike,
     now: dt.datetime,
     order: str,
-    touched: bool | str = False,
+    touched: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(new raw table, new dense table). Both are plans; writing them is one commit.
 
-    The days to compute are known from one row per target, so their span is read first: the
-    dense table is joined inside it alone, and the rest follows unshuffled, or with ``touched``
-    is neither read nor returned; the span then is widened to whole months, unless it is ``"day"``.
+    The days to compute are intervals of single codes, one row per target, and written once. Stored
+    rows inside them are merged; all others of the table, or with ``touched`` of the months (days) that
+    some interval touches, pass by without a shuffle. With ``touched`` no other month is read:
+    a code that is backfilled far into the past adds its own months, not the time in between.
     """
     new_raw = store_events(raw, events, now, order)
-    ranges = recompute_ranges(targets, events, dense, as_of)
+    ranges = staged(recompute_ranges(targets, events, dense, as_of), "factor-ranges")
     rows = densify(ranges, new_raw, calendar, values=FACTORS)
-    span = ranges.agg(F.min("from_date").alias("first"), F.max("to_date").alias("last")).first()
-    inside = F.lit(False)
-    if span["first"] is not None:
-        inside = F.coalesce(in_partitions(F.col("trade_date"), span["first"], span["last"], partition_unit(touched)), F.lit(False))
-    merged = merge_keyed(dense.where(inside), rows, ["code", "trade_date"], FACTOR_RULES, now=now)
-    stored_raw = store_events(raw, events, now, order, touched) if touched else new_raw
-    return stored_raw, merged if touched else dense.where(~inside).unionByName(merged)
+    unit = partition_unit(touched)
+    scope = dense.where(touched_days(_days_of(ranges, unit), "trade_date", unit=unit)) if unit and ranges.take(1) else dense
+    scope = scope.limit(0) if unit and scope is dense else scope
+    spans = F.broadcast(ranges.select(F.col("code").alias("_code"), "from_date", "to_date"))  # one row per target
+    within = (F.col("code") == F.col("_code")) & F.col("trade_date").between(F.col("from_date"), F.col("to_date"))
+    merged = merge_keyed(scope.join(spans, within, "left_semi"), rows, ["code", "trade_date"], FACTOR_RULES, now=now)
+    stored_raw = store_events(raw, events, now, order, touched) if unit else new_raw
+    return stored_raw, scope.join(spans, within, "left_anti").unionByName(merged)
+
+
+def _days_of(ranges: DataFrame, unit: str) -> DataFrame:
+    """The days, or for months the first day of each, that some interval touches; about 1,200 months a century."""
+    first, last = (F.trunc(c, "month") if unit == MONTH else F.col(c) for c in ("from_date", "to_date"))
+    step = F.expr("INTERVAL 1 MONTH" if unit == MONTH else "INTERVAL 1 DAY")
+    different = ranges.select(first.alias("first"), last.alias("last")).distinct()
+    return different.select(F.explode(F.sequence("first", "last", step)).alias("trade_date"))
