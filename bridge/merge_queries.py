@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.operators import merge
+from marketframe.operators.unique import repeated_keys
 from marketframe.plans import loads
 from marketframe.plans.factors import FACTOR_RULES
 from marketframe.plans.transfer import IMPORT_RULES
 from marketframe.schemas import MARGIN_COLUMNS, REPORT_FIELDS, TABLES
+from marketframe.session import fresh_path
+from marketframe.sources import buckets
 from marketframe.sources.events import finance_report
 
 from .clean_queries import REPORTS, _report_columns, report_raw
@@ -45,6 +48,18 @@ def merge_overwrite(s: Shapes) -> DataFrame:
     return loads.load_bars(stored_bars(s), bar_batch(s))
 
 
+@query(MERGED_BARS.replace("-1.0 ELSE", "NULL ELSE"))
+def merge_bucketed(s: Shapes) -> DataFrame:
+    """The same rule on a store bucketed by its keys: merged into a new store, which is read back."""
+    rules = {c: merge.OVERWRITE for c in loads.BAR_VALUES}
+    folder = fresh_path(s.spark, "buckets")
+    name = folder.rpartition("/")[2].replace("-", "_")
+    store = buckets.BucketedStore("stock_daily", f"{name}_old", f"{folder}/old", 8).write(stored_bars(s))
+    merged = buckets.merge_bucketed(s.spark, store, bar_batch(s), rules, (f"{name}_new", f"{folder}/new"))
+    store.drop(s.spark)
+    return merged.read(s.spark)
+
+
 @query(MERGED_BARS.replace("-1.0 ELSE", "NULL ELSE"))
 def merge_within_days(s: Shapes) -> DataFrame:
     """The same rule, joining only the days the batch spans; a NULL overwrites here."""
@@ -279,3 +294,39 @@ def merge_mixed_layouts(s: Shapes) -> DataFrame:
     stored = finance_report(full).drop("field_count").selectExpr("*", f"{STAMP_OLD} AS updated_at")
     batch = finance_report(raw.withColumn("fields", F.expr("transform(fields, x -> x * IF(size(fields) = 120, 2, 3))")))
     return loads.load_finance(stored, batch, NOW).select("code", "report_date", "eps", "rd_expense", "updated_at")
+
+
+@query("SELECT code, date, 2 AS copies FROM bars WHERE day(date) % 9 = 4 UNION ALL SELECT NULL, NULL, count(*) FROM bars WHERE day(date) % 9 = 5 HAVING count(*) > 1")
+def repeated_bar_keys(s: Shapes) -> DataFrame:
+    """Bars of some days twice, and rows without a key: only crowded months are counted key by key."""
+    twice = s.bars().where("dayofmonth(date) % 9 = 4")
+    bare = s.bars().where("dayofmonth(date) % 9 = 5").selectExpr("CAST(NULL AS STRING) AS code", "CAST(NULL AS DATE) AS date")
+    every = s.bars().select("code", "date").unionByName(twice.select("code", "date")).unionByName(bare)
+    return repeated_keys(every, ["code", "date"], "date")
+
+
+TWO_MONTHS = "(date BETWEEN DATE '2021-03-01' AND DATE '2021-03-31' OR date BETWEEN DATE '2023-11-01' AND DATE '2023-11-30')"
+
+
+def touched_load(s: Shapes) -> tuple[DataFrame, DataFrame]:
+    """A long store, and a batch for a few days of two of its months."""
+    stored = s.long_bars().select(*TABLES["stock_daily"].schema.names)
+    batch = stored.where(f"{TWO_MONTHS} AND dayofmonth(date) BETWEEN 10 AND 14").withColumn("close", F.col("close") + 1)
+    return stored, batch
+
+
+@query(f"""
+SELECT code, date, open, high, low, CASE WHEN day(date) BETWEEN 10 AND 14 THEN close + 1 ELSE close END AS close, pre_close, tradestatus, volume, amount
+FROM long_bars WHERE {TWO_MONTHS}""")
+def load_touched_months(s: Shapes) -> DataFrame:
+    """The daily default: what a batch's months become, whole, ready to overwrite them."""
+    stored, batch = touched_load(s)
+    return loads.load_bars(stored, batch, touched=merge.MONTH)
+
+
+@query(f"""
+SELECT code, date, open, high, low, close + 1 AS close, pre_close, tradestatus, volume, amount
+FROM long_bars WHERE {TWO_MONTHS} AND day(date) BETWEEN 10 AND 14""")
+def load_touched_days(s: Shapes) -> DataFrame:
+    stored, batch = touched_load(s)
+    return loads.load_bars(stored, batch, touched=merge.DAY)

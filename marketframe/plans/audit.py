@@ -13,6 +13,7 @@ from ..functions.dates import DateLike, as_date, between_days
 from ..functions.numeric import any_of, failing_columns, missing_or_not_positive, missing_or_zero, round_at
 from ..operators.calendar import expand_open_days, last_open_day, open_days, previous_open_day
 from ..operators.merge import concat_sources
+from ..operators.unique import repeated_keys
 from ..schemas import TABLES, Table
 from ..session import checkpointed
 from ..sources.events import EX_RIGHTS
@@ -292,8 +293,7 @@ def domain_check(df: DataFrame, table: str | Table) -> DataFrame:
         ).alias("r")
     ).select("r.rule", "r.column_name", "r.violations")
     repeated = (
-        df.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
-        .agg(F.count(F.lit(1)).alias("violations"))
+        repeated_keys(df, spec.keys, spec.day).agg(F.count(F.lit(1)).alias("violations"))
         .select(F.lit("unique").alias("rule"), F.lit(",".join(spec.keys)).alias("column_name"), "violations")
     )
     return listed.unionByName(repeated).select(F.lit(spec.name).alias("table_name"), "rule", "column_name", "violations")
