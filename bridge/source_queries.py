@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from marketframe.plans import publish, transfer
 from marketframe.schemas import TABLES
 from marketframe.session import fresh_path
-from marketframe.sources import files, records
+from marketframe.sources import files, records, statistics
 from marketframe.sources.files import DAY_RECORD, REPORT_ENTRY, REPORT_HEADER
 
 from .clean_queries import REPORTS, report_raw
@@ -28,6 +28,14 @@ def scan_stats(s: Shapes) -> DataFrame:
     return files.scan_stats(s.table("lineitem"), "l_shipdate")
 
 
+@query("SELECT strftime(date, '%Y-%m') AS month, count(*) AS row_count, min(date) AS min_date, max(date) AS max_date FROM bars GROUP BY ALL")
+def footer_stats(s: Shapes) -> DataFrame:
+    """Counts and day spans of a stored table by month, from file footers."""
+    folder, schema = fresh_path(s.spark, "stats"), TABLES["stock_daily"].schema
+    publish.write_store(s.bars().select(*schema.names), folder, "date")
+    return statistics.footer_stats_by(s.spark, folder, schema, "date", publish.MONTH_FOLDER)
+
+
 @query("SELECT DISTINCT exchange FROM master")
 def distinct_exchanges(s: Shapes) -> DataFrame:
     return s.master().select("exchange").distinct()
