@@ -43,7 +43,7 @@ MAX_FREQUENT, LOCAL_FREQUENT, LOCAL_MIN = 1 << 18, 8192, 2
 MEMBERS_PER_TASK = 256
 #: A class table of up to so many rows (16 bytes each) is broadcast.
 BROADCAST_ROWS = 1_000_000
-_CHUNK_BYTES = 8 << 20
+_CHUNK_BYTES = 2 << 20
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -192,23 +192,24 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("hub", "class", "text").mapInArrow(_measure_batches, "hub bigint, class bigint, linked boolean, distance double")
 
 
-def possible(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Distinct pairs (hub, class) with maybe: whether their sets can be linked at all.
+def may_link(n: str, heads: str, other_n: str, other_heads: str):
+    """Whether two sets can be linked at all, by their sizes and the regions they share with others.
 
-    heads has per class its size n and the regions it shares with others. A common shingle is a
-    common region, or it lies past the regions of one of the two; that bounds the overlap.
+    A common shingle is a common region, or it lies past the regions of one of the two; that bounds the overlap.
     """
-    own = heads.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"), F.col("heads").alias("hub_heads"))
-    joined = _broadcast_small(pairs).join(heads, "class").join(own, "hub")
+    def past(size: str):
+        return F.expr(f"{size} - ({size} - int(ceil({size} * {PERCENT} / 100.0)) + 1)")
+
+    most = F.size(F.array_intersect(heads, other_heads)) + F.greatest(past(n), past(other_n))
+    most = F.least(most, F.col(n), F.col(other_n))
+    return 100 * most >= PERCENT * (F.col(n) + F.col(other_n) - most)
 
-    def past(n: str):
-        return F.expr(f"{n} - ({n} - int(ceil({n} * {PERCENT} / 100.0)) + 1)")
 
-    most = F.size(F.array_intersect("heads", "hub_heads")) + F.greatest(past("n"), past("hub_n"))
-    most = F.least(most, F.col("n"), F.col("hub_n"))
-    sized = joined.withColumn("most", most)
-    union = F.col("n") + F.col("hub_n") - F.col("most")
-    return sized.select("hub", "class", (100 * F.col("most") >= PERCENT * union).alias("maybe"))
+def possible(pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Of distinct pairs (hub, class) those whose sets may be linked; heads has per class its size n and its regions."""
+    own = heads.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"), F.col("heads").alias("hub_heads"))
+    joined = _broadcast_small(pairs).join(heads, "class").join(own, "hub")
+    return joined.filter(may_link("n", "heads", "hub_n", "hub_heads")).select("hub", "class")
 
 
 def _broadcast_small(rows: DataFrame) -> DataFrame:
@@ -230,10 +231,9 @@ def _leaf_pairs(regions: DataFrame) -> DataFrame:
     return numbered.select("hub", "hub_n", F.col("x.class").alias("class"), F.col("x.n").alias("n")).filter(_close("hub_n", "n")).select("hub", "class")
 
 
-def _measured_links(pairs: DataFrame, heads: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of distinct pairs the exact distances where a link is possible, and the links (u, v)."""
-    checked = staged(possible(pairs, heads).filter("maybe").select("hub", "class"), "checked")
-    result = staged(measured(checked, texts), "measured")
+def _measured_links(pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The exact distances of distinct pairs, and the links (u, v) among them."""
+    result = staged(measured(pairs, texts), "measured")
     return result, result.filter("linked").select(F.col("hub").alias("u"), F.col("class").alias("v"))
 
 
@@ -278,7 +278,7 @@ def component_roots(regions: DataFrame, texts: DataFrame) -> DataFrame:
     met = staged(_around_centres(counted.filter(F.col("members") > LEAF)).filter("class <> pivot"), "met")
     star = met.filter(_close("n", "pivot_n")).select(F.col("pivot").alias("hub"), "class")
     once = pairs.union(star).select(F.least("hub", "class").alias("hub"), F.greatest("hub", "class").alias("class")).distinct()
-    result, found = _measured_links(once, heads, texts)
+    result, found = _measured_links(staged(possible(once, heads), "checked"), texts)
     both = result.union(result.select("class", "hub", "linked", "distance")).toDF("pivot", "class", "linked", "distance")
     rest, pivots = met.join(both.drop("linked"), ["pivot", "class"], "left").select("token", "class", "n", "weight", "distance"), 16
     while True:
@@ -288,13 +288,18 @@ def component_roots(regions: DataFrame, texts: DataFrame) -> DataFrame:
             return roots
         best = Window.partitionBy("token").orderBy(F.desc("weight"), "class")
         ranked = opened.filter("minor").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= pivots)
-        chosen = staged(ranked.select("token", *[F.col(c).alias(f"pivot_{c}") for c in ("class", "n", "root", "distance")]), "pivots")
+        chosen = staged(ranked.select("token", "class", "n", "root", "distance"), "pivots")
+        # Regions that are still open, and all regions, go with every row: they decide inside the join.
+        known = staged(opened.groupBy("class").agg(F.collect_list("token").alias("open")).join(heads.select("class", "heads"), "class"), "known")
+        pivot = chosen.join(known, "class").select("token", *[F.col(c).alias(f"pivot_{c}") for c in ("class", "n", "root", "distance", "open", "heads")])
         window = F.coalesce(F.abs(F.col("distance") - F.col("pivot_distance")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
-        near = opened.join(chosen, "token").filter((F.col("root") != F.col("pivot_root")) & window & _close("n", "pivot_n"))
+        # A pair is named in the first open region that both are in. A pivot that is chosen elsewhere stays there until it is chosen there.
+        first = F.array_min(F.array_intersect("open", "pivot_open")) == F.col("token")
+        apart = (F.col("root") != F.col("pivot_root")) & window & _close("n", "pivot_n")
+        near = opened.join(known, "class").join(pivot, "token").filter(apart & first & may_link("n", "heads", "pivot_n", "pivot_heads"))
         once = near.select(F.least("pivot_class", "class").alias("hub"), F.greatest("pivot_class", "class").alias("class")).distinct()
-        found = staged(found.union(_measured_links(once, heads, texts)[1]), "links")
-        gone = chosen.select("token", F.col("pivot_class").alias("class"))
-        rest = opened.drop("root", "minor").join(gone, ["token", "class"], "left_anti")
+        found = staged(found.union(_measured_links(once, texts)[1]), "links")
+        rest = opened.drop("root", "minor").join(chosen.select("token", "class"), ["token", "class"], "left_anti")
         pivots *= 64
 
 
