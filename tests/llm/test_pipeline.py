@@ -16,7 +16,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_queries_are_there():
-    assert {n.split("_")[0] for n in llm_queries()} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in llm_queries()} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert len(corpus_pipeline.STAGES) == 5
 
 
