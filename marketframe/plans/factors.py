@@ -86,7 +86,9 @@ def run_factors(
     """
     new_raw = store_events(raw, events, now, order)
     ranges = staged(recompute_ranges(targets, events, dense, as_of), "factor-ranges")
-    rows = densify(ranges, new_raw, calendar, values=FACTORS)
+    # A few rows on disk, but each becomes all its open days: not the work of one task.
+    spread = ranges.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")), "code")
+    rows = densify(spread, new_raw, calendar, values=FACTORS)
     unit = partition_unit(touched)
     scope = dense.where(touched_days(_days_of(ranges, unit), "trade_date", unit=unit)) if unit and ranges.take(1) else dense
     scope = scope.limit(0) if unit and scope is dense else scope
