@@ -192,24 +192,37 @@ def measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("hub", "class", "text").mapInArrow(_measure_batches, "hub bigint, class bigint, linked boolean, distance double")
 
 
-def may_link(n: str, heads: str, other_n: str, other_heads: str):
-    """Whether two sets can be linked at all, by their sizes and the regions they share with others.
+def marked(regions: DataFrame) -> DataFrame:
+    """Per class its size n, marks (16 bits of each region it shares with others, distinct) and hidden (regions less marks).
+
+    Common regions have common marks, so two sets share at most as many regions as marks, and the fewer hidden ones more.
+    """
+    mark = (F.pmod("token", F.lit(1 << 16)) - (1 << 15)).cast("smallint")
+    found = regions.groupBy("class", "n").agg(F.collect_set(mark).alias("marks"), F.count("*").alias("held"))
+    return found.select("class", "n", "marks", (F.col("held") - F.size("marks")).cast("int").alias("hidden"))
+
+
+def may_link(other: str):
+    """Whether two sets (n, marks, hidden; those of the second with a prefix) can be linked at all.
 
     A common shingle is a common region, or it lies past the regions of one of the two; that bounds the overlap.
     """
+    n, other_n = "n", f"{other}_n"
+
     def past(size: str):
         return F.expr(f"{size} - ({size} - int(ceil({size} * {PERCENT} / 100.0)) + 1)")
 
-    most = F.size(F.array_intersect(heads, other_heads)) + F.greatest(past(n), past(other_n))
+    regions = F.size(F.array_intersect("marks", f"{other}_marks")) + F.least("hidden", f"{other}_hidden")
+    most = regions + F.greatest(past(n), past(other_n))
     most = F.least(most, F.col(n), F.col(other_n))
     return 100 * most >= PERCENT * (F.col(n) + F.col(other_n) - most)
 
 
-def possible(pairs: DataFrame, heads: DataFrame) -> DataFrame:
-    """Of distinct pairs (hub, class) those whose sets may be linked; heads has per class its size n and its regions."""
-    own = heads.select(F.col("class").alias("hub"), F.col("n").alias("hub_n"), F.col("heads").alias("hub_heads"))
-    joined = _broadcast_small(pairs).join(heads, "class").join(own, "hub")
-    return joined.filter(may_link("n", "heads", "hub_n", "hub_heads")).select("hub", "class")
+def possible(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Of distinct pairs (hub, class) those whose sets may be linked; marks is that of marked()."""
+    own = marks.select(F.col("class").alias("hub"), *[F.col(c).alias(f"hub_{c}") for c in ("n", "marks", "hidden")])
+    joined = _broadcast_small(pairs).join(marks, "class").join(own, "hub")
+    return joined.filter(may_link("hub")).select("hub", "class")
 
 
 def _broadcast_small(rows: DataFrame) -> DataFrame:
@@ -272,13 +285,13 @@ def component_roots(regions: DataFrame, texts: DataFrame) -> DataFrame:
     components, members outside the largest one become pivots, 64 times as many in each round: they
     meet the members of other components inside their window, and then leave the region.
     """
-    heads = staged(regions.groupBy("class", "n").agg(F.collect_list("token").alias("heads")), "heads")
+    marks = staged(marked(regions), "marks")
     counted = staged(_without_twins(regions), "regions")
     pairs = _leaf_pairs(counted.filter(F.col("members") <= LEAF).drop("members"))
     met = staged(_around_centres(counted.filter(F.col("members") > LEAF)).filter("class <> pivot"), "met")
     star = met.filter(_close("n", "pivot_n")).select(F.col("pivot").alias("hub"), "class")
     once = pairs.union(star).select(F.least("hub", "class").alias("hub"), F.greatest("hub", "class").alias("class")).distinct()
-    result, found = _measured_links(staged(possible(once, heads), "checked"), texts)
+    result, found = _measured_links(staged(possible(once, marks), "checked"), texts)
     both = result.union(result.select("class", "hub", "linked", "distance")).toDF("pivot", "class", "linked", "distance")
     rest, pivots = met.join(both.drop("linked"), ["pivot", "class"], "left").select("token", "class", "n", "weight", "distance"), 16
     while True:
@@ -289,14 +302,20 @@ def component_roots(regions: DataFrame, texts: DataFrame) -> DataFrame:
         best = Window.partitionBy("token").orderBy(F.desc("weight"), "class")
         ranked = opened.filter("minor").withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= pivots)
         chosen = staged(ranked.select("token", "class", "n", "root", "distance"), "pivots")
-        # Regions that are still open, and all regions, go with every row: they decide inside the join.
-        known = staged(opened.groupBy("class").agg(F.collect_list("token").alias("open")).join(heads.select("class", "heads"), "class"), "known")
-        pivot = chosen.join(known, "class").select("token", *[F.col(c).alias(f"pivot_{c}") for c in ("class", "n", "root", "distance", "open", "heads")])
+        # The open regions before this one and the marks of all regions go with every row: they decide inside the join.
+        known = opened.groupBy("class").agg(F.collect_list("token").alias("open")).join(marks.drop("n"), "class")
+        known = staged(known, "known")
+
+        def with_known(rows: DataFrame) -> DataFrame:
+            return rows.join(known, "class").withColumn("before", F.expr("filter(open, t -> t < token)")).drop("open")
+
+        columns = ("class", "n", "root", "distance", "before", "marks", "hidden")
+        pivot = with_known(chosen).select("token", *[F.col(c).alias(f"pivot_{c}") for c in columns])
         window = F.coalesce(F.abs(F.col("distance") - F.col("pivot_distance")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
         # A pair is named in the first open region that both are in. A pivot that is chosen elsewhere stays there until it is chosen there.
-        first = F.array_min(F.array_intersect("open", "pivot_open")) == F.col("token")
+        first = ~F.arrays_overlap("before", "pivot_before")
         apart = (F.col("root") != F.col("pivot_root")) & window & _close("n", "pivot_n")
-        near = opened.join(known, "class").join(pivot, "token").filter(apart & first & may_link("n", "heads", "pivot_n", "pivot_heads"))
+        near = with_known(opened.drop("weight", "minor")).join(pivot, "token").filter(apart & first & may_link("pivot"))
         once = near.select(F.least("pivot_class", "class").alias("hub"), F.greatest("pivot_class", "class").alias("class")).distinct()
         found = staged(found.union(_measured_links(once, texts)[1]), "links")
         rest = opened.drop("root", "minor").join(chosen.select("token", "class"), ["token", "class"], "left_anti")
