@@ -3,6 +3,9 @@
 Native: DataFrame expressions only. Texts without any keyword are done after one pass. Elsewhere a rule runs only if
 its keyword occurs; each match is a span of words with a priority, and a span inside another one is
 suppressed by it if the other has a better priority, or the same one and more words.
+
+Texts are scanned in blocks of 512 words with 64 more on both sides, more than any rule spans: a
+block owns the spans that start in it, so work grows with the text and not with the square of its matches.
 """
 
 from __future__ import annotations
@@ -41,9 +44,9 @@ FAMILIES = (
     ("gpl-3.0", f"(?:gnu )?general public license{_V3}", "general public", "gpl 3 0(?: only| or later)?"),
     ("gpl-2.0", f"(?:gnu )?general public license{_V2}", "general public", "gpl 2 0(?: only| or later)?"),
     ("gpl-1.0", f"(?:gnu )?general public license{_V1}", "general public", "gpl 1 0(?: only| or later)?"),
-    ("lgpl-3.0", f"(?:gnu )?lesser general public license{_V3}", "lesser general", "lgpl 3 0(?: only| or later)?"),
-    ("lgpl-2.1", "(?:gnu )?lesser general public license(?: version)? v?2 1", "lesser general", "lgpl 2 1(?: only| or later)?"),
-    ("lgpl-2.0", f"(?:gnu )?library general public license{_V2}", "library general", "lgpl 2 0(?: only| or later)?"),
+    ("lgpl-3.0", f"(?:gnu )?(?:lesser|library) general public license{_V3}", "general public", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl-2.1", "(?:gnu )?(?:lesser|library) general public license(?: version)? v?2 1", "general public", "lgpl 2 1(?: only| or later)?"),
+    ("lgpl-2.0", f"(?:gnu )?(?:lesser|library) general public license{_V2}", "general public", "lgpl 2 0(?: only| or later)?"),
     ("gfdl-1.3", "(?:gnu )?free documentation license(?: version)? v?1 3", "free documentation", "gfdl 1 3(?: only| or later)?"),
     ("gfdl-1.2", "(?:gnu )?free documentation license(?: version)? v?1 2", "free documentation", "gfdl 1 2(?: only| or later)?"),
     ("apache-2.0", f"apache (?:software )?license{_V2}", "apache", "apache 2 0"),
@@ -54,7 +57,7 @@ FAMILIES = (
     ("bsd-4-clause", "(?:original bsd|bsd 4 clause|4 clause bsd|old bsd)(?: license)?", "bsd", "bsd 4 clause"),
     ("0bsd", "(?:zero clause bsd|bsd zero clause)(?: license)?", "bsd", "0bsd"),
     ("mit-0", "mit no attribution(?: license)?", "mit no attribution", "mit 0"),
-    ("mit", "(?:mit|expat|x11) license", "license", "mit"),
+    ("mit", "(?:mit|expat|x11) license", "licen", "mit"),
     ("isc", "isc license", "isc", "isc"),
     ("mpl-2.0", f"mozilla public license{_V2}", "mozilla public", "mpl 2 0"),
     ("mpl-1.1", "mozilla public license(?: version)? v?1 1", "mozilla public", "mpl 1 1"),
@@ -64,10 +67,10 @@ FAMILIES = (
     ("edl-1.0", f"eclipse distribution license{_V1}", "eclipse distribution", "edl 1 0"),
     ("cddl-1.1", "common development and distribution license(?: version)? v?1 1", "common development", "cddl 1 1"),
     ("cddl-1.0", f"common development and distribution license{_V1}", "common development", "cddl 1 0"),
-    ("cpl-1.0", f"common public license{_V1}", "common public license", "cpl 1 0"),
+    ("cpl-1.0", f"common public license{_V1}", "common public", "cpl 1 0"),
     ("eupl-1.2", "european union public licen[cs]e(?: version)? v?1 2", "european union", "eupl 1 2"),
     ("eupl-1.1", "european union public licen[cs]e(?: version)? v?1 1", "european union", "eupl 1 1"),
-    ("osl-3.0", f"open software license{_V3}", "open software license", "osl 3 0"),
+    ("osl-3.0", f"open software license{_V3}", "open software", "osl 3 0"),
     ("afl-3.0", f"academic free license{_V3}", "academic free", "afl 3 0"),
     ("afl-2.1", "academic free license(?: version)? v?2 1", "academic free", "afl 2 1"),
     ("artistic-2.0", f"artistic license{_V2}", "artistic", "artistic 2 0"),
@@ -76,20 +79,20 @@ FAMILIES = (
     ("busl-1.1", "business source license(?: version)? v?1 1", "business source", "busl 1 1"),
     ("zlib", "zlib(?: libpng)? license", "zlib", "zlib"),
     ("libpng", "libpng license", "libpng", "libpng(?: 2 0)?"),
-    ("unlicense", "(?:the unlicense|unlicense org)", "unlicense", "unlicense"),
+    ("unlicense", "(?:the unlicense|unlicense org)", "unlicen", "unlicense"),
     ("wtfpl", "do what the fuck you want to public license", "want to public", "wtfpl"),
     ("cc0-1.0", "(?:cc0|cc zero)(?: 1 0)?(?: universal)?(?: license| public domain dedication)?", "cc", "cc0 1 0"),
     ("psf-2.0", f"python software foundation license{_V2}", "python software", "(?:psf|python) 2 0"),
-    ("php-3.01", "php license(?: version)? v?3 01", "php license", "php 3 01"),
-    ("php-3.0", "php license(?: version)? v?3 0", "php license", "php 3 0"),
+    ("php-3.01", "php license(?: version)? v?3 01", "php", "php 3 01"),
+    ("php-3.0", "php license(?: version)? v?3 0", "php", "php 3 0"),
     ("ruby", "ruby license", "ruby", "ruby"),
     ("ofl-1.1", "(?:sil )?open font license(?: version)? v?1 1", "open font", "ofl 1 1"),
     ("ofl-1.0", f"(?:sil )?open font license{_V1}", "open font", "ofl 1 0"),
     ("ms-pl", "microsoft public license", "microsoft public", "ms pl"),
     ("ms-rl", "microsoft reciprocal license", "microsoft reciprocal", "ms rl"),
-    ("odbl-1.0", f"open (?:data commons open )?database license{_V1}", "database license", "odbl 1 0"),
+    ("odbl-1.0", f"open (?:data commons open )?database license{_V1}", "database", "odbl 1 0"),
     ("odc-by-1.0", f"open data commons attribution license{_V1}", "data commons", "odc by 1 0"),
-    ("pddl-1.0", f"public domain dedication and license{_V1}", "dedication and license", "pddl 1 0"),
+    ("pddl-1.0", f"public domain dedication and license{_V1}", "dedication and", "pddl 1 0"),
     ("postgresql", "postgresql licen[cs]e", "postgresql", "postgresql"),
     ("openssl", "openssl license", "openssl", "openssl"),
     ("ssleay", "ssleay license", "ssleay", "ssleay"),
@@ -102,6 +105,49 @@ FAMILIES = (
     ("blueoak-1.0.0", "blue oak model license(?: 1 0 0)?", "blue oak", "blueoak 1 0 0"),
 )
 
+#: Names without a version: label, name as a pattern, keyword. A name with one is longer and suppresses it.
+UNVERSIONED = (
+    ("agpl", "(?:gnu )?affero general public license", "affero"),
+    ("gpl", "(?:gnu )?general public license", "general public"),
+    ("lgpl", "(?:gnu )?(?:lesser|library) general public license", "general public"),
+    ("gfdl", "(?:gnu )?free documentation license", "free documentation"),
+    ("apache", "apache (?:software )?license", "apache"),
+    ("bsd", "bsd(?: style)? license", "bsd"),
+    ("mpl", "mozilla public license", "mozilla public"),
+    ("epl", "eclipse public license", "eclipse public"),
+    ("edl", "eclipse distribution license", "eclipse distribution"),
+    ("cddl", "common development and distribution license", "common development"),
+    ("cpl", "common public license", "common public"),
+    ("eupl", "european union public license", "european union"),
+    ("osl", "open software license", "open software"),
+    ("afl", "academic free license", "academic free"),
+    ("artistic", "artistic license", "artistic"),
+    ("bsl", "boost software license", "boost software"),
+    ("busl", "business source license", "business source"),
+    ("psf", "python software foundation license", "python software"),
+    ("php", "php license", "php"),
+    ("ofl", "(?:sil )?open font license", "open font"),
+    ("odbl", "open (?:data commons open )?database license", "database"),
+    ("upl", "universal permissive license", "universal permissive"),
+    ("sspl", "server side public license", "server side"),
+    ("elastic", "elastic license", "elastic"),
+)
+
+#: Short forms with a version: label, form as a pattern, keyword.
+SHORT = (
+    ("agpl-3.0", "(?:gnu )?agpl ?v?3(?: 0)?(?: only| or later)?", "agpl"),
+    ("gpl-3.0", "(?:gnu )?gpl ?v?3(?: 0)?(?: only| or later)?", "gpl"),
+    ("gpl-2.0", "(?:gnu )?gpl ?v?2(?: 0)?(?: only| or later)?", "gpl"),
+    ("gpl-1.0", "(?:gnu )?gpl ?v?1(?: 0)?(?: only| or later)?", "gpl"),
+    ("lgpl-3.0", "(?:gnu )?lgpl ?v?3(?: 0)?(?: only| or later)?", "lgpl"),
+    ("lgpl-2.1", "(?:gnu )?lgpl ?v?2 1(?: only| or later)?", "lgpl"),
+    ("lgpl-2.0", "(?:gnu )?lgpl ?v?2(?: 0)?(?: only| or later)?", "lgpl"),
+    ("mpl-2.0", "mpl ?v?2(?: 0)?", "mpl"),
+    ("mpl-1.1", "mpl ?v?1 1", "mpl"),
+    ("epl-2.0", "epl ?v?2(?: 0)?", "epl"),
+    ("epl-1.0", "epl ?v?1(?: 0)?", "epl"),
+)
+
 #: Sentences that stand for a license: label, pattern, keyword.
 SENTENCES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted"),
@@ -140,12 +186,23 @@ _CC = ("by", "by sa", "by nd", "by nc", "by nc sa", "by nc nd")
 _CC_WORDS = {"by": "attribution", "sa": "share ?alike", "nd": "no ?deriv(?:ative|ative work)s", "nc": "non ?commercial"}
 
 
+def _spelled(name: str) -> str:
+    return name.replace("licen[cs]e", "license").replace("license", "licen[cs]e")
+
+
 def rules() -> list[Rule]:
-    """All rules in order: identifiers, sentences, license notices, then plain names."""
+    """All rules in order: identifiers, sentences, license notices, then plain names, each in both spellings of license."""
+    under = "(?:licen[cs]ed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?"
     out = []
+    for label, name, keyword in UNVERSIONED + SHORT:
+        name = _spelled(name)
+        out.append(Rule(2, label, f" {under}{name}", keyword, 0.95))
+        out.append(Rule(3, label, f" {name}", keyword, 0.8))
     for label, name, keyword, spdx in FAMILIES:
+        name = _spelled(name)
+        out.append(Rule(3, label, f" licen[cs]es? {spdx}", "licen", 0.8))
         out.append(Rule(0, label, f" spdx license identifiers? {spdx}", "spdx", 1.0))
-        out.append(Rule(2, label, f" (?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?{name}", "under", 0.95))
+        out.append(Rule(2, label, f" {under}{name}", "under", 0.95))
         out.append(Rule(3, label, f" {name}", keyword, 0.8))
     for label, sentence, keyword in SENTENCES:
         weak = label == "notice"
@@ -166,7 +223,8 @@ def rules() -> list[Rule]:
 PREFILTER = ("licen", "unlicen", "copyright", "public domain", "bsd", "freebsd", "cc by", "cc0", "cc zero", "creative commons", "redistribut",
              "warrant", "hereby granted", "permission", "all rights reserved", "proprietary", "advertising materials", "neither the name",
              "free software", "later version", "mit no attribution", "in compliance", "as is basis", "accompanying materials", "this is free", "unencumbered",
-             "source code form", "apache org", "boost org", "in no event", "you just do")
+             "source code form", "apache org", "boost org", "in no event", "you just do",
+             "gnu gpl", "gnu lgpl", "gnu agpl", "gpl", "lgpl", "agpl", "mpl", "epl")
 _GATE = f" (?:{'|'.join(x.replace(' ', ' +') for x in PREFILTER)})"
 
 _SEPARATORS = "".join(map(chr, range(128))).translate({ord(c): None for c in string.ascii_letters + string.digits})
@@ -195,6 +253,25 @@ def _starts(words: Column, pattern: Column) -> Column:
     return F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("found")), step, lambda acc: acc["found"])
 
 
+#: Words of a block, and words around it that its matches may reach into; every rule spans fewer.
+BLOCK, MARGIN = 512, 64
+
+
+def _blocks(words: Column, n_words: Column) -> Column:
+    """Blocks of a text of single-spaced words: its first word, the first and the end of the words it owns, and its words."""
+    def block(split: Column):
+        def made(i: Column) -> Column:
+            first = F.greatest(i * BLOCK - MARGIN, F.lit(0))
+            text = F.concat(F.lit(" "), F.array_join(F.slice(split, first + 1, F.lit(BLOCK + 2 * MARGIN)), " "), F.lit(" "))
+            return F.struct(first.alias("first"), (i * BLOCK).alias("low"), ((i + 1) * BLOCK).alias("high"),
+                            F.when(n_words <= BLOCK, words).otherwise(text).alias("words"))
+        return made
+
+    last = F.floor(F.greatest(n_words - 1, F.lit(0)) / BLOCK).cast("int")
+    split = F.when(n_words > BLOCK, F.split(F.trim(words), " "))
+    return F.flatten(F.transform(F.array(split), lambda all_: F.transform(F.sequence(F.lit(0), last), block(all_))))
+
+
 def _literal_rules() -> Column:
     return F.array(*[F.struct(
         F.lit(r.priority).alias("priority"), F.lit(r.label).alias("label"), F.lit(f"{r.pattern}(?= )").alias("pattern"),
@@ -202,7 +279,7 @@ def _literal_rules() -> Column:
 
 
 def _detections(words: Column) -> Column:
-    """Spans of all rules whose keyword occurs, less the suppressed ones."""
+    """Spans of all rules whose keyword occurs in a block, less the suppressed ones."""
     due = F.filter(_literal_rules(), lambda r: F.contains(words, r["keyword"]) & F.regexp(words, r["pattern"]))
     spans = F.flatten(F.transform(due, lambda r: F.transform(_starts(words, r["pattern"]), lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), r["priority"].alias("priority"), r["label"].alias("label"), r["weight"].alias("weight")))))
@@ -229,16 +306,22 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     def labelled(label: str):
         return lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(label).alias("label"))
 
-    def detect(words: Column) -> Column:
+    def placed(block: Column, spans: Column) -> Column:
+        """The spans that the block owns, numbered by the words of the text."""
+        own = F.filter(spans, lambda s: (s["start"] + block["first"] >= block["low"]) & (s["start"] + block["first"] < block["high"]))
+        return F.transform(own, lambda s: s.withField("start", s["start"] + block["first"]).withField("end", s["end"] + block["first"]))
+
+    def detect(block: Column) -> Column:
+        words = block["words"]
         parts = [F.transform(_starts(words, F.lit(f" {phrase}(?= )")), labelled(label)) for phrase, label in BASE]
-        return F.struct(F.concat(*parts).alias("base"), _detections(words).alias("found"))
+        return F.struct(placed(block, F.concat(*parts)).alias("base"), placed(block, _detections(words)).alias("found"))
 
     name, = own_columns(docs, "detected")
     out = docs.withColumn(norm, worded(F.col(text))).withColumn(n_words, F.regexp_count(F.col(norm), F.lit("[^ ]+")).cast("long"))
-    out = out.withColumn(name, F.when(gate, F.transform(F.array(single), detect)[0])).drop(norm)
+    out = out.withColumn(name, F.when(gate, F.flatten(F.transform(F.array(single), lambda words: F.transform(_blocks(words, F.col(n_words)), detect))))).drop(norm)
     empty = (F.array().cast("array<struct<start:int,end:int,label:string>>"),
              F.array().cast("array<struct<start:int,end:int,priority:int,label:string,weight:double>>"))
-    return out.withColumns({base: F.coalesce(F.col(name)["base"], empty[0]), found: F.coalesce(F.col(name)["found"], empty[1])}).drop(name)
+    return out.withColumns({base: F.coalesce(F.flatten(F.col(name)["base"]), empty[0]), found: F.coalesce(F.flatten(F.col(name)["found"]), empty[1])}).drop(name)
 
 
 def license_table(docs: DataFrame) -> DataFrame:

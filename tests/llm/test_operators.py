@@ -72,6 +72,30 @@ def test_license_words_base_phrases_and_suppression(docs, clashing):
     assert wide["base"] == "base" and wide["base_"][0].label == "mit"
 
 
+def test_license_names_without_version_short_forms_and_neighbours(docs):
+    named = {"GNU Lesser General Public License": "lgpl", "GNU Lesser General Public License version 2": "lgpl-2.0", "Mozilla Public License": "mpl",
+             "Eclipse Public License": "epl", "European Union Public Licence": "eupl", "BSD license": "bsd", "Licensed under GPLv3": "gpl-3.0",
+             "GPL-3.0-or-later": "gpl-3.0", "license: MIT": "mit", "released under the Apache Licence 2.0": "apache-2.0", "GNU Library General Public License v2.1": "lgpl-2.1",
+             "LGPLv2.1": "lgpl-2.1", "Mozilla Public Licence, version 2.0": "mpl-2.0", "AGPL v3": "agpl-3.0", "gplus 3": "", "simple general public": "", "MIT licensee": ""}
+    rows = {r.doc_id: r for r in licenses.license_table(docs(*enumerate(named))).collect()}
+    assert {text: rows[i].labels for i, text in enumerate(named)} == named
+
+
+def test_license_matches_of_one_text_cost_no_square(docs):
+    import time
+
+    unit = "mit license, cc by x "  # 5 words, two phrases
+    begun = time.monotonic()
+    row = licenses.license_table(docs((1, unit * 25_000))).first()
+    assert (row.n_words, row.n_base, row.first_word, row.last_word, row.labels) == (125_000, 50_000, 0, 124_997, "cc-by,mit")
+    assert time.monotonic() - begun < 60
+    # A match over a border of blocks, and one right before and behind it.
+    for at in (licenses.BLOCK - 2, licenses.BLOCK - 1, licenses.BLOCK):
+        text = "w " * at + "GNU General Public License version 3 " + "w " * 600
+        found = licenses.scan_licenses(docs((1, text))).first()
+        assert [(s.start, s.end) for s in found.base] == [(at, at + 4)] and [(s.start, s.end, s.label) for s in found.found] == [(at, at + 6, "gpl-3.0")]
+
+
 def test_every_license_rule_passes_its_gates():
     for rule in licenses.rules():
         sample = re.sub(r"\(\?:([^()|]*)(?:\|[^()]*)?\)[?]?|\[\^ \]\+|\(.*?\)|[?*+]|\{[0-9,]+\}", lambda m: m.group(1) or "", rule.pattern)
