@@ -134,9 +134,9 @@ def _margin_rows(df: DataFrame, exchange: str, ids: Sequence[str], scale: float
     return df.select("trade_date", F.lit(exchange).alias("exchange_code"), *ids, *values)
 
 
-def _margin_detail(df: DataFrame, exchange: str) -> DataFrame:
-    """Pad symbols first, then keep the exchange's own share symbols."""
-    padded = df.withColumn("symbol", zero_pad(F.col("symbol"))).where(F.col("symbol").rlike(SYMBOLS[exchange]))
+def _margin_detail(df: DataFrame, exchange: str, symbols: str | None = None) -> DataFrame:
+    """Pad symbols first, then keep the exchange's own share symbols, or those that the pattern ``symbols`` names."""
+    padded = df.withColumn("symbol", zero_pad(F.col("symbol"))).where(F.col("symbol").rlike(symbols or SYMBOLS[exchange]))
     return _margin_rows(
         padded.withColumn("code", suffixed(F.col("symbol"), F.lit(exchange))), exchange, ["symbol", "code"]
     )
@@ -158,8 +158,8 @@ def margin_summary_sz(raw: DataFrame) -> DataFrame:
     return rows.where(F.col("margin_balance").isNotNull())
 
 
-def margin_detail_sz(raw: DataFrame) -> DataFrame:
-    return _margin_detail(_renamed(raw, SZ_DETAIL, "SZ margin detail"), "SZ")
+def margin_detail_sz(raw: DataFrame, symbols: str | None = None) -> DataFrame:
+    return _margin_detail(_renamed(raw, SZ_DETAIL, "SZ margin detail"), "SZ", symbols)
 
 
 def margin_summary_sh_alt(raw: DataFrame) -> DataFrame:
@@ -176,8 +176,8 @@ def margin_summary_sz_alt(raw: DataFrame) -> DataFrame:
     return _margin_rows(renamed.withColumn("trade_date", loose_date(F.col("trade_date"))), "SZ", [], YI)
 
 
-def margin_detail_sz_alt(raw: DataFrame) -> DataFrame:
-    return _margin_detail(raw.withColumnsRenamed(SZ_DETAIL_ALT), "SZ")
+def margin_detail_sz_alt(raw: DataFrame, symbols: str | None = None) -> DataFrame:
+    return _margin_detail(raw.withColumnsRenamed(SZ_DETAIL_ALT), "SZ", symbols)
 
 
 def margin_detail_sh_alt(raw: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 import datetime as dt
 import struct
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from bridge.registry import all_queries, all_sql
+from bridge.shapes import SCHEMAS
 from marketframe.functions import codes, dates, numeric
 from marketframe.schemas import STATEMENT_FIELDS, TABLES, create_tables, statement_view
 from marketframe.sources import bars, events, files
@@ -281,3 +284,22 @@ def test_json_lines_keep_nulls(spark, tmp_path):
     files.write_json(df, str(tmp_path / "j"))
     assert '"t":null' in "".join(p.read_text() for p in (tmp_path / "j").glob("part*"))
     assert sorted(tuple(r) for r in files.read_json_rows(spark, str(tmp_path / "j"), "n int, t string, u string").collect()) == [(1, None, None), (2, 'a"b\n', None)]
+
+
+@pytest.mark.parametrize("name", ["margin_detail_sz"])
+def test_symbols_past_six_digits_follow_the_sql_of_their_query(spark, tmp_path, name):
+    keys = [1, 999, 1000, 3001, 9999, 10_000, 29_999, 30_000, 30_001, 39_999, 40_000, 300_000, 400_000]
+    made = [(100 + k % 13, k, "F", float(k) + 0.5, dt.datetime(1996, 3, 4), "1-URGENT") for k in keys]
+    spark.createDataFrame(made, SCHEMAS["orders"]).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM read_parquet('{tmp_path}/orders.parquet/*.parquet')")
+    cursor = con.execute(all_sql()[name])
+    columns = [c[0] for c in cursor.description]
+    expected = sorted(cursor.fetchall(), key=repr)
+    assert sorted(map(tuple, all_queries()[name](spark, str(tmp_path)).select(*columns).collect()), key=repr) == expected
+    assert "3000100" in {e[columns.index("symbol")] for e in expected} and len(expected) == 7
+
+
+def test_six_digit_symbols_are_the_rule_of_the_operator(spark):
+    sz = {c: ["1"] * 3 for c in events.SZ_DETAIL} | {"证券代码": ["300001", "3000001", "0000001"]}
+    assert rows(events.margin_detail_sz(frame(spark, sz)).select("code")) == [("300001.SZ",)]
