@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import NOT_AUDITED, in_codes, in_exchanges, not_in_boards
 from ..functions.dates import DateLike, as_date, between_days
 from ..functions.numeric import any_of, failing_columns, missing_or_not_positive, missing_or_zero, round_at
-from ..operators.calendar import expand_open_days, last_open_day, open_days, previous_open_day
+from ..operators.calendar import last_open_day, open_days, previous_open_day
 from ..operators.merge import concat_sources
 from ..operators.unique import repeated_keys
 from ..schemas import TABLES, Table
@@ -128,7 +128,6 @@ def missing_codes(
     """
     if gaps is None:
         gaps = gap_dates(table, day, bars, master, calendar, scope, is_bars, index)
-    only_gaps = gaps.select("cal_date", F.lit(1).alias("is_open"))
     active = active_securities(master, scope, index)
     first, last = F.lit(scope.begin).cast("date"), F.lit(scope.end).cast("date")
     intervals = active.where(F.col("list_date").isNotNull()).select(
@@ -136,11 +135,33 @@ def missing_codes(
         F.greatest(F.col("list_date"), first).alias("_from"),
         F.least(F.coalesce(F.col("delist_date"), last), last).alias("_to"),
     )
-    grid = expand_open_days(intervals, "_from", "_to", only_gaps, "date").select("date", "code", "name")
     present = _in_range(table, day, scope).select("code", F.col(day).alias("date"))
     if not is_bars:  # the bar table stores suspended days itself
         present = present.unionByName(_suspended(bars, scope, "date"))
-    return grid.join(present, ["code", "date"], "left_anti").select("date", "code", "name")
+    return _absent_days(intervals, gaps.select("cal_date"), present).select("date", "code", "name")
+
+
+def _month_days(df: DataFrame, day: str, out: str, *keys: str) -> DataFrame:
+    """The days of a month as a mask, a bit for each: one row per month and keys."""
+    month = df.select(*keys, F.trunc(day, "month").alias("_month"), F.expr(f"shiftleft(1L, dayofmonth(`{day}`) - 1)").alias("_bit"))
+    return month.groupBy(*keys, "_month").agg(F.bit_or("_bit").alias(out))
+
+
+def _absent_days(intervals: DataFrame, days: DataFrame, present: DataFrame) -> DataFrame:
+    """(date, code, name) of the days inside each interval on which its code is not present.
+
+    Days meet as masks, a row per code and month, and become rows after the join: what is
+    shuffled and sorted is one short row per security and month, not one per security and day.
+    """
+    months = intervals.where(F.col("_from") <= F.col("_to")).withColumn(
+        "_month", F.expr("explode(sequence(trunc(_from, 'month'), trunc(_to, 'month'), INTERVAL 1 MONTH))")
+    ).join(F.broadcast(_month_days(days, "cal_date", "_open")), "_month")
+    inside = F.expr("shiftleft(1L, dayofmonth(least(_to, last_day(_month)))) - shiftleft(1L, dayofmonth(greatest(_from, _month)) - 1)")
+    wanted = months.select("code", "name", "_month", F.col("_open").bitwiseAND(inside).alias("_wanted")).where(F.col("_wanted") != 0)
+    met = wanted.join(_month_days(present, "date", "_seen", "code"), ["code", "_month"], "left")
+    absent = met.select("code", "name", "_month", F.expr("_wanted & ~coalesce(_seen, 0L)").alias("_absent")).where(F.col("_absent") != 0)
+    listed = absent.select("code", "name", "_month", F.expr("explode(filter(sequence(0, 30), i -> getbit(_absent, i) = 1))").alias("_at"))
+    return listed.select(F.date_add("_month", F.col("_at")).alias("date"), "code", "name")
 
 
 # Rules of the indicator and bar checks, by column.

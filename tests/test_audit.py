@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +209,18 @@ def test_whole_audit_blocks_on_gaps_only(table, calendar):
     lines = [tuple(r) for r in audit.audit_document(empty, scope, limit=0).collect()]
     assert [part for part, _ in lines].count("gap") == 1 and not [1 for part, _ in lines if part == "missing"]
     assert '"status":"gaps_found"' in dict(lines)["status"]
+
+
+def test_missing_days_over_several_months_move_as_months(table, calendar, spark):
+    open_ = [d.isoformat() for i in range(70) if (d := day("2026-07-25") + dt.timedelta(days=i)).weekday() < 5 or i % 9 == 0]
+    spans = {"600519.SH": ("2026-07-31", None), "000001.SZ": ("2026-08-31", "2026-09-01"), "000002.SZ": ("2020-01-01", "2026-07-25"), "000003.SZ": ("2026-08-02", "2026-10-31")}
+    master = table("stock_info", *[security(c, list_date=a, delist_date=b) for c, (a, b) in spans.items()])
+    held = {(c, d) for i, c in enumerate(spans) for j, d in enumerate(open_) if (i + j) % 3 == 0}
+    bars = table("stock_daily", *[bar(c, d) for c, d in sorted(held)])
+    scope = audit.Scope("2026-07-20", "2026-10-02")
+    missing = audit.missing_codes(bars, "date", bars, master, calendar(*open_), scope, is_bars=True)
+    gap_days = {r.cal_date.isoformat() for r in audit.gap_dates(bars, "date", bars, master, calendar(*open_), scope, is_bars=True).collect()}
+    expected = [(day(d), c) for d in sorted(gap_days) for c, (a, b) in sorted(spans.items()) if a <= d <= (b or scope.end) and (c, d) not in held]
+    assert len(expected) > 60 and rows(missing.select("date", "code"), "date", "code") == expected
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(code#\d+, date#\d+", plan)  # no row per security and day is shuffled
