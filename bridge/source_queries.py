@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +73,12 @@ def period_list(s: Shapes) -> DataFrame:
     return files.list_periods(report_names(s), "name", "1996-01-01", "1999-12-31")
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """Where the lists of a column begin and end among its elements, and the elements: arrays as they lie, no Python objects."""
+    ends = column.offsets.to_numpy().astype(np.int64)
+    return ends - ends[0], column.flatten()
+
+
 def day_files(s: Shapes) -> DataFrame:
     """One fixed-record file per security and year; at most one record per day of the year."""
 
@@ -101,27 +108,29 @@ def day_file_scan(s: Shapes) -> DataFrame:
 def report_files(s: Shapes) -> DataFrame:
     """Report files per period and block of 200 suppliers, so that no file grows with the data."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            bounds, structs = _lists(batch.column("stocks"))
+            starts, values = _lists(structs.field("fields"))
+            codes, values = np.array(structs.field("code").to_pylist(), "S"), values.to_numpy(zero_copy_only=False)
             contents = []
-            for stocks in batch["stocks"]:
-                stocks = sorted(stocks, key=lambda r: r["code"])
-                width = max(len(r["fields"]) for r in stocks)
+            for first, last in zip(bounds[:-1], bounds[1:]):
+                stocks = first + np.argsort(codes[first:last], kind="stable")
+                width = int(starts[stocks[0] + 1] - starts[stocks[0]])  # a period has one layout
                 start = REPORT_HEADER.itemsize + REPORT_ENTRY.itemsize * len(stocks)
                 header = np.zeros(1, dtype=REPORT_HEADER)
                 header["count"], header["report_size"] = len(stocks), 4 * width
                 entries = np.zeros(len(stocks), dtype=REPORT_ENTRY)
-                entries["code"] = [r["code"].encode() for r in stocks]
-                entries["offset"] = start + 4 * width * np.arange(len(stocks))
-                blocks = b"".join(np.asarray(r["fields"], dtype="<f4").tobytes() for r in stocks)
-                contents.append(header.tobytes() + entries.tobytes() + blocks)
-            yield pd.DataFrame({"path": batch["path"], "content": contents})
+                entries["code"], entries["offset"] = codes[stocks], start + 4 * width * np.arange(len(stocks))
+                blocks = values[starts[stocks][:, None] + np.arange(width)].astype("<f4", copy=False)
+                contents.append(header.tobytes() + entries.tobytes() + blocks.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(contents, pa.binary())], ["path", "content"])
 
     grouped = report_raw(s).selectExpr(
         "concat('/reports/', CAST(code AS BIGINT) div 200, '/gpcw', date_format(report_date, 'yyyyMMdd'), '.dat') AS path",
         "struct(code, fields) AS stock",
     ).groupBy("path").agg(F.collect_list("stock").alias("stocks"))
-    return grouped.mapInPandas(encode, "path string, content binary")
+    return grouped.mapInArrow(encode, "path string, content binary")
 
 
 @query(f"""

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE re-plans joins by measured size and splits hot join partitions even where that adds
-# a shuffle; dynamic overwrite makes a merge rewrite only the partitions it touched.
+# a shuffle; dynamic overwrite makes a merge rewrite only the partitions it touched. Rows reach
+# Python in batches of some megabytes, so wide rows such as whole files cost a worker no more than narrow ones.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -16,6 +17,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,7 @@ REPORT_ENTRY = np.dtype([("code", "S6"), ("flag", "S1"), ("offset", "<u4")])
 DAY_SCHEMA = "path string, day int, open double, high double, low double, close double, volume long, amount double"
 REPORT_SCHEMA = "path string, code string, fields array<float>"
 _STOCKS_PER_FRAME = 500
+_BARS_PER_BATCH = 1 << 16
 
 
 def read_table(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
@@ -160,9 +162,10 @@ def decode_report_files(files: DataFrame) -> DataFrame:
     promises is skipped. A big file is emitted in slices of a few hundred securities.
     """
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                content = content.as_buffer()
                 try:
                     header = np.frombuffer(content, dtype=REPORT_HEADER, count=1)[0]
                     entries = np.frombuffer(
@@ -175,9 +178,14 @@ def decode_report_files(files: DataFrame) -> DataFrame:
                 codes = [c.decode("utf-8") for c in entries["code"]]
                 for at in range(0, len(codes), _STOCKS_PER_FRAME):
                     upto = at + _STOCKS_PER_FRAME
-                    yield pd.DataFrame({"path": path, "code": codes[at:upto], "fields": blocks[at:upto]})
-
-    rows = files.select("path", "content").mapInPandas(decode, REPORT_SCHEMA)
+                    own = blocks[at:upto]
+                    bounds = pa.array(np.arange(len(own) + 1, dtype=np.int32) * width)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path.as_py()] * len(own), pa.string()), pa.array(codes[at:upto], pa.string()),
+                         pa.ListArray.from_arrays(bounds, pa.array(np.concatenate(own)))],
+                        ["path", "code", "fields"])
+
+    rows = files.select("path", "content").mapInArrow(decode, REPORT_SCHEMA)
     return rows.select(report_period(F.col("path")).alias("report_date"), "code", "fields")
 
 

@@ -2,6 +2,7 @@ import datetime as dt
 import struct
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -303,3 +304,15 @@ def test_symbols_past_six_digits_follow_the_sql_of_their_query(spark, tmp_path,
 def test_six_digit_symbols_are_the_rule_of_the_operator(spark):
     sz = {c: ["1"] * 3 for c in events.SZ_DETAIL} | {"证券代码": ["300001", "3000001", "0000001"]}
     assert rows(events.margin_detail_sz(frame(spark, sz)).select("code")) == [("300001.SZ",)]
+
+
+@pytest.mark.parametrize("name", ["report_file_scan"])
+def test_whole_files_pass_python_as_arrays_in_batches_of_some_megabytes(spark, name):
+    def weigh(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["size"])
+
+    plan = all_queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "MapInPandas" not in plan  # records and fields never become Python objects
+    wide = spark.range(0, 40, 1, 1).selectExpr("CAST(repeat('x', 1048576) AS BINARY) AS content")
+    assert max(r.size for r in wide.mapInArrow(weigh, "size bigint").collect()) < 12 << 20
