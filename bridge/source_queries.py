@@ -82,22 +82,21 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
 def day_files(s: Shapes) -> DataFrame:
     """One fixed-record file per security and year; at most one record per day of the year."""
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            contents = []
-            for records in batch["records"]:
-                packed = np.zeros(len(records), dtype=DAY_RECORD)
-                for field in ("date", "open", "high", "low", "close", "volume", "amount"):
-                    packed[field] = [r[field] for r in records]
-                contents.append(packed.tobytes() + b"\x00\x01")  # a torn record at the end
-            yield pd.DataFrame({"path": batch["path"], "content": contents})
+            bounds, structs = _lists(batch.column("records"))
+            packed = np.zeros(len(structs), dtype=DAY_RECORD)
+            for field in ("date", "open", "high", "low", "close", "volume", "amount"):
+                packed[field] = structs.field(field).to_numpy(zero_copy_only=False)
+            contents = [packed[s:e].tobytes() + b"\x00\x01" for s, e in zip(bounds[:-1], bounds[1:])]  # a torn record at the end
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(contents, pa.binary())], ["path", "content"])
 
     cents = ", ".join(f"CAST(round({p} * 100) AS BIGINT) AS {p}" for p in ("open", "high", "low", "close"))
     grouped = s.bars().selectExpr(
         "concat('/bars/', year(date), '/', lower(substring(code, -2)), substring_index(code, '.', 1), '.day') AS path",
         f"struct(CAST(date_format(date, 'yyyyMMdd') AS BIGINT) AS date, {cents}, volume, CAST(amount AS FLOAT) AS amount) AS record",
     ).groupBy("path").agg(F.sort_array(F.collect_list("record")).alias("records"))
-    return grouped.mapInPandas(encode, "path string, content binary")
+    return grouped.mapInArrow(encode, "path string, content binary")
 
 
 @query("SELECT code, date, open, high, low, close, volume, amount::float::double AS amount FROM bars")

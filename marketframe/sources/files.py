@@ -114,29 +114,44 @@ def binary_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 def decode_day_files(files: DataFrame, begin: DateLike | None = None, end: DateLike | None = None) -> DataFrame:
     """Bars of a closed date range from (path, content) rows of files named like ``sh600000.day``.
 
-    One vectorised decode per file; a trailing partial record is ignored. Records stand in the
-    order of their dates, so the range is cut out by binary search before any row is built.
+    Files are decoded as arrays and their bars handed on some ten thousand at a time; a trailing
+    partial record is ignored. Records stand in the order of their dates, so the range is cut out by
+    binary search before any row is built.
     """
     first, last = (None if d is None else int(as_date(d).strftime("%Y%m%d")) for d in (begin, end))
 
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                whole = len(content) // DAY_RECORD.itemsize
-                records = np.frombuffer(content, dtype=DAY_RECORD, count=whole)
-                if whole and (np.diff(records["date"].astype("int64")) >= 0).all():
-                    start = 0 if first is None else np.searchsorted(records["date"], first, "left")
-                    stop = whole if last is None else np.searchsorted(records["date"], last, "right")
-                    records = records[start:stop]
-                if len(records):
-                    prices = {p: records[p] / 100.0 for p in ("open", "high", "low", "close")}
-                    yield pd.DataFrame(
-                        {"path": path, "day": records["date"].astype("int32"), **prices,
-                         "volume": records["volume"].astype("int64"),
-                         "amount": records["amount"].astype("float64")}
-                    )
+    def cut(content: pa.Buffer) -> np.ndarray:
+        whole = len(content) // DAY_RECORD.itemsize
+        records = np.frombuffer(content, dtype=DAY_RECORD, count=whole) if whole else np.zeros(0, DAY_RECORD)
+        if whole and (np.diff(records["date"].astype("int64")) >= 0).all():
+            start = 0 if first is None else np.searchsorted(records["date"], first, "left")
+            stop = whole if last is None else np.searchsorted(records["date"], last, "right")
+            records = records[start:stop]
+        return records
+
+    def bars(paths: pa.Array, held: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+        records = np.concatenate([r for _, r in held])
+        path = paths.take(pa.array(np.repeat([at for at, _ in held], [len(r) for _, r in held])))
+        prices = [pa.array(records[p] / 100.0) for p in ("open", "high", "low", "close")]
+        return pa.RecordBatch.from_arrays(
+            [path, pa.array(records["date"].astype("int32")), *prices, pa.array(records["volume"].astype("int64")), pa.array(records["amount"].astype("float64"))],
+            ["path", "day", "open", "high", "low", "close", "volume", "amount"])
 
-    rows = files.select("path", "content").mapInPandas(decode, DAY_SCHEMA)
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, rows = [], 0
+            for at, content in enumerate(batch.column("content")):
+                records = cut(content.as_buffer())
+                for piece in range(0, len(records), _BARS_PER_BATCH):
+                    held.append((at, records[piece:piece + _BARS_PER_BATCH]))
+                    rows += len(held[-1][1])
+                    if rows >= _BARS_PER_BATCH:
+                        yield bars(batch.column("path"), held)
+                        held, rows = [], 0
+            if held:
+                yield bars(batch.column("path"), held)
+
+    rows = files.select("path", "content").mapInArrow(decode, DAY_SCHEMA)
     market, symbol = file_security(F.col("path"))
     return rows.select(
         suffixed(symbol, market).alias("code"), compact_date(F.col("day").cast("string")).alias("date"),

@@ -306,7 +306,7 @@ def test_six_digit_symbols_are_the_rule_of_the_operator(spark):
     assert rows(events.margin_detail_sz(frame(spark, sz)).select("code")) == [("300001.SZ",)]
 
 
-@pytest.mark.parametrize("name", ["report_file_scan"])
+@pytest.mark.parametrize("name", ["report_file_scan", "day_file_scan"])
 def test_whole_files_pass_python_as_arrays_in_batches_of_some_megabytes(spark, name):
     def weigh(batches):
         for batch in batches:
@@ -316,3 +316,12 @@ def test_whole_files_pass_python_as_arrays_in_batches_of_some_megabytes(spark, n
     assert "MapInPandas" not in plan  # records and fields never become Python objects
     wide = spark.range(0, 40, 1, 1).selectExpr("CAST(repeat('x', 1048576) AS BINARY) AS content")
     assert max(r.size for r in wide.mapInArrow(weigh, "size bigint").collect()) < 12 << 20
+
+
+def test_many_bar_files_of_one_batch_keep_their_records(spark):
+    one = lambda n: b"".join(struct.pack("<IIIIIfII", 20240101 + i % 28, n, n, n, n, 1.0, n + i, 0) for i in range(n % 29)) + b"\x00" * (n % 32)
+    made = spark.createDataFrame([(f"/b/sz{n:06d}.day", one(n)) for n in range(200)], "path string, content binary").coalesce(1)
+    got = files.decode_day_files(made).groupBy("code").agg(F.count("*").alias("n"), F.sum("volume").alias("v"), F.max("open").alias("o"))
+    assert rows(got, "code") == [(f"{n:06d}.SZ", n % 29, sum(n + i for i in range(n % 29)), n / 100) for n in range(200) if n % 29]
+    ranged = files.decode_day_files(made, "2024-01-05", "2024-01-06")
+    assert ranged.count() == sum(len([i for i in range(n % 29) if i in (4, 5)]) for n in range(200))
