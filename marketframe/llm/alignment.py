@@ -11,8 +11,11 @@ A and the next from B is found where they meet.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,11 @@ LARGE_GROUP = 1 << 12
 #: Rows of the pair table that are broadcast (at 40 bytes each, 40 MB); all others are shuffled.
 BROADCAST_PAIRS = 1_000_000
 _CHUNK_BYTES = 1 << 20
+#: Pieces of texts whose ids a Python worker remembers (some 60 MB); a chunk with more is encoded all the same.
+KNOWN_PIECES = 1 << 18
+_PIECES_PER_LINE = 64
+_SPACES = r"\x00-\x20\x7f-\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff"
+_VISIBLE, _BETWEEN = re.compile(f"[^{_SPACES}]"), re.compile(f"(?<=[^{_SPACES}]) (?=[^{_SPACES}])")
 #: A pair of ids is held as one long: A's id in the upper half, B's in the lower.
 _SHIFT = 32
 
@@ -74,6 +82,37 @@ def _byte_level_table(size: int, vocabulary: dict[str, int]) -> list[bytes]:
     return out
 
 
+def came_back(found: list[np.ndarray], raw: list[bytes], flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each text, whether the bytes of its ids, joined, are its own. All texts are compared at once."""
+    lengths = np.array([len(x) for x in raw], np.int64)
+    whole = np.array([int(sizes[ids].sum()) for ids in found], np.int64) == lengths
+    same = np.flatnonzero(whole)
+    if not len(same):
+        return whole
+    ids = np.concatenate([found[i] for i in same])
+    width, ends = sizes[ids], np.cumsum(sizes[ids])
+    joined = flat[np.arange(int(ends[-1])) + np.repeat(starts[ids] - (ends - width), width)]
+    off = np.flatnonzero(joined != np.frombuffer(b"".join([raw[i] for i in same]), np.uint8))
+    whole[same[np.searchsorted(np.cumsum(lengths[same]), off, side="right")]] = False
+    return whole
+
+
+def counted(texts: np.ndarray, ids_a: np.ndarray, ids_b: np.ndarray, n_texts: int, size_a: int, size_b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, pair) in ascending order, and how often each stands there."""
+    bits_a, bits_b = size_a.bit_length(), size_b.bit_length()
+    if n_texts.bit_length() + bits_a + bits_b > 63:
+        keys = ids_a << _SHIFT | ids_b
+        order = np.lexsort((keys, texts))
+        texts, keys = texts[order], keys[order]
+        first = np.flatnonzero(np.append(True, (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1]))[:len(keys)])
+        return texts[first], keys[first], np.diff(np.append(first, len(keys)))
+    held = np.sort(((texts << bits_a | ids_a) << bits_b) | ids_b)  # text and both ids in one number
+    first = np.flatnonzero(np.append(True, held[1:] != held[:-1])[:len(held)])
+    times, held = np.diff(np.append(first, len(held))), held[first]
+    pairs = (held >> bits_b & (1 << bits_a) - 1) << _SHIFT | held & (1 << bits_b) - 1
+    return held >> (bits_a + bits_b), pairs, times
+
+
 class Pair:
     """Both tokenizers with the bytes of their entries."""
 
@@ -84,32 +123,71 @@ class Pair:
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        layout = json.loads(self.a.to_str())
+        split = layout["pre_tokenizer"] or {}
+        self.divides = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not layout["normalizer"]
+                        and all(x["special"] for x in layout["added_tokens"]) and not layout.get("truncation") and not layout.get("padding"))
+        self.known: dict[str, tuple[int, ...]] = {}
         vocabulary = self.a.get_vocab()
         self.bytes_a = _byte_level_table(max(vocabulary.values()) + 1, vocabulary)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         pieces = [(i, self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in pieces]
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b))
+        #: All entries' bytes, one after the other, and where each begins.
+        self.flat_a, self.flat_b = (np.frombuffer(b"".join(table), np.uint8) for table in (self.bytes_a, self.bytes_b))
+        self.starts_a, self.starts_b = (np.cumsum(sizes) - sizes for sizes in (self.sizes_a, self.sizes_b))
         #: Decimal ids with what follows them: inside a side of a group, at its end.
         words = [f"{i}{mark}" for size, marks in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;")) for mark in marks for i in range(size)]
         self.words = np.array(words, object)
 
-    def encode(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids under A of each text with a space before it.
+
+        A byte-level tokenizer never joins the two sides of a single space between visible characters. So a text is
+        divided there, and every different piece goes through the tokenizer once, many in one call, as long as it is remembered.
+        """
+        if not self.divides:
+            return [np.array(x.ids, np.int64) for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        divided = [_BETWEEN.split(t) for t in texts]
+        wanted = set(chain.from_iterable(divided))
+        fresh = [p for p in wanted if p not in self.known]
+        if len(self.known) + len(fresh) > KNOWN_PIECES:
+            self.known.clear()
+            fresh = list(wanted)
+        ends_open = {p for pieces in divided for p in (pieces[0], pieces[-1]) if not (_VISIBLE.match(p[0]) and _VISIBLE.match(p[-1]))}
+        closed = [p for p in fresh if p not in ends_open]
+        lines = ["".join([" " + p for p in closed[at:at + _PIECES_PER_LINE]]) for at in range(0, len(closed), _PIECES_PER_LINE)]
+        flat = tuple(chain.from_iterable(x.ids for x in self.a.encode_batch_fast(lines, add_special_tokens=False)))  # tuples of numbers are nothing to the garbage collector
+        ends, bounds = np.cumsum(self.sizes_a[np.array(flat, np.int64)]), np.cumsum(np.array([1 + len(p.encode()) for p in closed], np.int64))
+        if closed and ends[-1] == bounds[-1]:
+            upto = np.searchsorted(ends, bounds)
+            if (ends[upto] == bounds).all():
+                upto = (upto + 1).tolist()
+                self.known.update(zip(closed, [flat[s:e] for s, e in zip([0, *upto], upto)]))
+        rest = [p for p in fresh if p not in self.known]  # with white space at an end, or where bytes do not come back
+        self.known.update(zip(rest, [tuple(x.ids) for x in self.a.encode_batch_fast([" " + p for p in rest], add_special_tokens=False)]))
+        return [np.fromiter(chain.from_iterable(map(self.known.__getitem__, pieces)), np.int64) for pieces in divided]
+
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text under A and B; both empty where the text is, or where its bytes do not come back."""
         filled = [i for i, t in enumerate(texts) if t]
         given = [texts[i] for i in filled]
-        found_a = [x.ids for x in self.a.encode_batch([" " + t for t in given], add_special_tokens=False)]
-        found_b = self.b.encode(given, num_threads=1) if given else []
-        out_a, out_b = [[] for _ in texts], [[] for _ in texts]
-        for i, t, a, b in zip(filled, given, found_a, found_b):
-            raw = b" " + t.encode()
-            if b"".join(map(self.bytes_a.__getitem__, a)) == raw and b"".join(map(self.bytes_b.__getitem__, b)) == raw:
-                out_a[i], out_b[i] = a, b
+        none = np.zeros(0, np.int64)
+        out_a, out_b = [none for _ in texts], [none for _ in texts]
+        if not given:
+            return out_a, out_b
+        found_a = self.encode_a(given)
+        found_b = [np.array(x, np.int64) for x in self.b.encode(given, num_threads=1)]
+        raw = [b" " + t.encode() for t in given]
+        whole = came_back(found_a, raw, self.flat_a, self.starts_a, self.sizes_a) & came_back(found_b, raw, self.flat_b, self.starts_b, self.sizes_b)
+        for at in np.flatnonzero(whole):
+            out_a[filled[at]], out_b[filled[at]] = found_a[at], found_b[at]
         return out_a, out_b
 
     def groups(self, texts: list[str | None]) -> "Groups":
         a, b = self.encode(texts)
-        return Groups(self, [np.array(x, np.int64) for x in a], [np.array(x, np.int64) for x in b])
+        return Groups(self, a, b)
 
 
 class Groups:
@@ -146,17 +224,19 @@ class Groups:
         width = np.repeat(wide, sizes)
         ids_a = self.a[np.repeat(self.begin_a[small], sizes) + within // width]
         ids_b = self.b[np.repeat(self.begin_b[small], sizes) + within % width]
-        parts = [(np.repeat(text[small], sizes), ids_a << _SHIFT | ids_b, np.ones(len(within), np.int64))]
+        parts = [counted(np.repeat(text[small], sizes), ids_a, ids_b, len(self.texts), len(self.pair.bytes_a), len(self.pair.bytes_b))]
         for g in np.flatnonzero(self.links > LARGE_GROUP):
             one, times_a = np.unique(self.a[self.begin_a[g]:self.ends_a[g]], return_counts=True)
             other, times_b = np.unique(self.b[self.begin_b[g]:self.ends_b[g]], return_counts=True)
             keys = (one[:, None] << _SHIFT | other).ravel()
             parts.append((np.full(len(keys), text[g]), keys, np.outer(times_a, times_b).ravel()))
+        if len(parts) == 1:
+            return parts[0]
         texts, keys, times = (np.concatenate(x) for x in zip(*parts))
         order = np.lexsort((keys, texts))
         texts, keys, times = texts[order], keys[order], times[order]
-        first = np.flatnonzero(np.append(True, (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-        return texts[first], keys[first], np.add.reduceat(times, first) if len(first) else times
+        first = np.flatnonzero(np.append(True, (texts[1:] != texts[:-1]) | (keys[1:] != keys[:-1])))
+        return texts[first], keys[first], np.add.reduceat(times, first)
 
     def table(self) -> list[pa.Array]:
         texts, keys, times = self.pairs()

@@ -117,3 +117,15 @@ def test_pair_table_and_groups_of_texts(clashing, docs):
     assert found.columns == [*frame.columns, "groups_"]
     rows = {r.doc_id: r["groups_"] for r in found.collect()}
     assert [(g.a, g.b) for g in rows[1]][0] == ([the[0]], [the[1]]) and rows[2] == []
+
+
+def test_pieces_between_spaces_give_the_ids_of_whole_texts(monkeypatch):
+    pair = alignment.Pair(*FILES)
+    texts = ["a plain text", " led", "ends ", "two  spaces", "tab\t and\nline \n breaks ", "don't you'll I 'm", "日本語 テキスト　幅  thin", "é ́ x", "a\x1c b \x85 c",
+             "<|endoftext|> <|endoftext|>", " ", "  ", "\n", "x", "12 34 5,6 -7 %", "word " * 300, "a​ b", "🙂 🙂🙂 end"]
+    whole = [x.ids for x in pair.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    assert pair.divides and [x.tolist() for x in pair.encode_a(texts)] == whole
+    given = len(pair.known)
+    assert [x.tolist() for x in pair.encode_a(texts + texts)] == whole + whole and len(pair.known) == given  # each piece once
+    monkeypatch.setattr(alignment, "KNOWN_PIECES", 3)
+    assert [x.tolist() for x in pair.encode_a(texts)] == whole
