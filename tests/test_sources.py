@@ -306,7 +306,7 @@ def test_six_digit_symbols_are_the_rule_of_the_operator(spark):
     assert rows(events.margin_detail_sz(frame(spark, sz)).select("code")) == [("300001.SZ",)]
 
 
-@pytest.mark.parametrize("name", ["report_file_scan", "day_file_scan"])
+@pytest.mark.parametrize("name", ["report_file_scan", "day_file_scan", "report_file_ranges"])
 def test_whole_files_pass_python_as_arrays_in_batches_of_some_megabytes(spark, name):
     def weigh(batches):
         for batch in batches:
