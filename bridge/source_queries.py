@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from .registry import query
 from .shapes import NOW, OLD, Shapes
 
 OLD_TS, NEW_TS = f"TIMESTAMP '{OLD}'", f"TIMESTAMP '{NOW}'"
+_BYTES_PER_FRAME = 1 << 20
 
 
 @query("SELECT count(*) AS row_count, min(l_shipdate) AS min_date, max(l_shipdate) AS max_date FROM lineitem")
@@ -79,6 +80,17 @@ def _lists(column: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
     return ends - ends[0], column.flatten()
 
 
+def _frames(paths: pa.Array, contents: Iterable[bytes]) -> Iterator[pa.RecordBatch]:
+    """(path, content) rows about a megabyte at a time: packed files leave a worker before the next ones are packed."""
+    start, held, weight = 0, [], 0
+    for at, content in enumerate(contents, 1):
+        held.append(content)
+        weight += len(content)
+        if weight >= _BYTES_PER_FRAME or at == len(paths):
+            yield pa.RecordBatch.from_arrays([paths[start:at], pa.array(held, pa.binary())], ["path", "content"])
+            start, held, weight = at, [], 0
+
+
 def day_files(s: Shapes) -> DataFrame:
     """One fixed-record file per security and year; at most one record per day of the year."""
 
@@ -88,8 +100,7 @@ def day_files(s: Shapes) -> DataFrame:
             packed = np.zeros(len(structs), dtype=DAY_RECORD)
             for field in ("date", "open", "high", "low", "close", "volume", "amount"):
                 packed[field] = structs.field(field).to_numpy(zero_copy_only=False)
-            contents = [packed[s:e].tobytes() + b"\x00\x01" for s, e in zip(bounds[:-1], bounds[1:])]  # a torn record at the end
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(contents, pa.binary())], ["path", "content"])
+            yield from _frames(batch.column("path"), (packed[s:e].tobytes() + b"\x00\x01" for s, e in zip(bounds[:-1], bounds[1:])))  # a torn record at the end
 
     cents = ", ".join(f"CAST(round({p} * 100) AS BIGINT) AS {p}" for p in ("open", "high", "low", "close"))
     grouped = s.bars().selectExpr(
@@ -107,23 +118,24 @@ def day_file_scan(s: Shapes) -> DataFrame:
 def report_files(s: Shapes) -> DataFrame:
     """Report files per period and block of 200 suppliers, so that no file grows with the data."""
 
+    def contents(batch: pa.RecordBatch) -> Iterator[bytes]:
+        bounds, structs = _lists(batch.column("stocks"))
+        starts, values = _lists(structs.field("fields"))
+        codes, values = np.array(structs.field("code").to_pylist(), "S"), values.to_numpy(zero_copy_only=False)
+        for first, last in zip(bounds[:-1], bounds[1:]):
+            stocks = first + np.argsort(codes[first:last], kind="stable")
+            width = int(starts[stocks[0] + 1] - starts[stocks[0]])  # a period has one layout
+            start = REPORT_HEADER.itemsize + REPORT_ENTRY.itemsize * len(stocks)
+            header = np.zeros(1, dtype=REPORT_HEADER)
+            header["count"], header["report_size"] = len(stocks), 4 * width
+            entries = np.zeros(len(stocks), dtype=REPORT_ENTRY)
+            entries["code"], entries["offset"] = codes[stocks], start + 4 * width * np.arange(len(stocks))
+            blocks = values[starts[stocks][:, None] + np.arange(width)].astype("<f4", copy=False)
+            yield header.tobytes() + entries.tobytes() + blocks.tobytes()
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bounds, structs = _lists(batch.column("stocks"))
-            starts, values = _lists(structs.field("fields"))
-            codes, values = np.array(structs.field("code").to_pylist(), "S"), values.to_numpy(zero_copy_only=False)
-            contents = []
-            for first, last in zip(bounds[:-1], bounds[1:]):
-                stocks = first + np.argsort(codes[first:last], kind="stable")
-                width = int(starts[stocks[0] + 1] - starts[stocks[0]])  # a period has one layout
-                start = REPORT_HEADER.itemsize + REPORT_ENTRY.itemsize * len(stocks)
-                header = np.zeros(1, dtype=REPORT_HEADER)
-                header["count"], header["report_size"] = len(stocks), 4 * width
-                entries = np.zeros(len(stocks), dtype=REPORT_ENTRY)
-                entries["code"], entries["offset"] = codes[stocks], start + 4 * width * np.arange(len(stocks))
-                blocks = values[starts[stocks][:, None] + np.arange(width)].astype("<f4", copy=False)
-                contents.append(header.tobytes() + entries.tobytes() + blocks.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(contents, pa.binary())], ["path", "content"])
+            yield from _frames(batch.column("path"), contents(batch))
 
     grouped = report_raw(s).selectExpr(
         "concat('/reports/', CAST(code AS BIGINT) div 200, '/gpcw', date_format(report_date, 'yyyyMMdd'), '.dat') AS path",

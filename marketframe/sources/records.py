@@ -342,14 +342,14 @@ class FileWriter(DataSourceArrowWriter):
         store, root = opened(self.folder)
         written = []
         for batch in iterator:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content")):  # contents are written as they lie in the batch
                 inside = path.strip("/")
                 if not inside or ".." in inside.split("/"):
                     raise ValueError(f"not a path inside the folder: {path!r}")
                 held = f"{root}/{self.staging}/{uuid.uuid4().hex}"
                 store.create_dir(f"{root}/{self.staging}", recursive=True)
                 with store.open_output_stream(held) as out:
-                    out.write(content or b"")
+                    out.write(content.as_buffer() or b"")
                 written.append((held, f"{root}/{inside}"))
         return Moved(written)
 

@@ -1,16 +1,18 @@
 import datetime as dt
 import struct
+import tracemalloc
 
 import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from bridge import source_queries
 from bridge.registry import all_queries, all_sql
-from bridge.shapes import SCHEMAS
+from bridge.shapes import SCHEMAS, Shapes
 from marketframe.functions import codes, dates, numeric
 from marketframe.schemas import STATEMENT_FIELDS, TABLES, create_tables, statement_view
-from marketframe.sources import bars, events, files
+from marketframe.sources import bars, events, files, records
 from tests.conftest import day, rows
 
 
@@ -318,6 +320,33 @@ def test_whole_files_pass_python_as_arrays_in_batches_of_some_megabytes(spark, n
     assert max(r.size for r in wide.mapInArrow(weigh, "size bigint").collect()) < 12 << 20
 
 
+def test_packed_report_files_leave_a_worker_about_a_megabyte_at_a_time(spark, monkeypatch):
+    caught = []
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", lambda self, f, schema: caught.append(f))
+    source_queries.report_files(Shapes(spark, "/root/testdata/sf0.001"))
+    stocks = [{"code": f"{n:06d}", "fields": [float(n)] * 320} for n in range(200)]
+    kind = pa.struct([("code", pa.string()), ("fields", pa.list_(pa.float32()))])
+    batch = pa.RecordBatch.from_arrays([pa.array([f"/r/{n}/gpcw20240331.dat" for n in range(30)]), pa.array([stocks] * 30, pa.list_(kind))], ["path", "stocks"])
+    out = list(caught[0](iter([batch])))
+    assert pa.Table.from_batches(out).column("path").to_pylist() == batch.column("path").to_pylist()
+    assert len({c for b in out for c in b.column("content").to_pylist()}) == 1 and len(out) > 1
+    assert max(b.get_total_buffer_size() for b in out) < 2 << 20
+
+
+def test_files_are_written_from_their_batch_without_copies(tmp_path):
+    wide = pa.RecordBatch.from_arrays([pa.array([f"/a/{n}" for n in range(9)]), pa.array([bytes([n]) * (1 << 20) for n in range(7)] + [b"", None], pa.binary())], ["path", "content"])
+    writer = records.FileWriter(str(tmp_path))
+    tracemalloc.start()
+    try:
+        moved = writer.write(iter([wide]))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    writer.commit([moved])
+    assert [(tmp_path / "a" / str(n)).read_bytes() for n in range(9)] == [c or b"" for c in wide.column("content").to_pylist()]
+    assert most < 1 << 20
+
+
 def test_many_bar_files_of_one_batch_keep_their_records(spark):
     one = lambda n: b"".join(struct.pack("<IIIIIfII", 20240101 + i % 28, n, n, n, n, 1.0, n + i, 0) for i in range(n % 29)) + b"\x00" * (n % 32)
     made = spark.createDataFrame([(f"/b/sz{n:06d}.day", one(n)) for n in range(200)], "path string, content binary").coalesce(1)
